@@ -173,28 +173,39 @@ def batch_keys(
     return c.select(*keys).groupBy(*CONTEST_KEY).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def classify_contests(keys: DataFrame, entities: DataFrame, existing: DataFrame) -> DataFrame:
+def unknown_ids(keys: DataFrame, entities: DataFrame) -> DataFrame:
+    """Ids the contests mention that no stored entity has: (entity_id).
+
+    The ids are made distinct in the map tasks first, so this shuffles far less than
+    the contests themselves, and its result is small wherever the data is mostly sound.
+    """
+    ids = keys.unpivot([], CONTEST_KEY, "role", ENTITY_ID).select(ENTITY_ID)
+    mentioned = ids.filter(F.col(ENTITY_ID).isNotNull()).distinct()
+    return mentioned.join(entities.select(ENTITY_ID), ENTITY_ID, "left_anti")
+
+
+def classify_contests(keys: DataFrame, unknown: DataFrame, existing: DataFrame) -> DataFrame:
     """Give every key of a batch its load status.
 
-    ``keys`` comes from batch_keys; ``existing`` is the stored table or the part of it
-    that existing_contests found. Status is one of out_of_range, unknown_entity, present
-    and new. The rows to insert and the load report are both read off this one frame.
+    ``keys`` comes from batch_keys and ``unknown`` from unknown_ids; ``existing`` is the
+    stored table or the part of it that existing_contests found. Status is one of
+    out_of_range, unknown_entity, present and new. The rows to insert and the load report
+    are both read off this one frame.
+
+    Looking for the few unknown ids, and not for the many known ones, is what lets the
+    three lookups be broadcast joins however many entities are stored.
     """
     out = keys
-    ids = entities.select(ENTITY_ID).distinct()
     for column in CONTEST_KEY:
         out = out.join(
-            ids.select(F.col(ENTITY_ID).alias(column), F.lit(True).alias(f"_{column}")), column, "left"
+            unknown.select(F.col(ENTITY_ID).alias(column), F.lit(True).alias(f"_{column}")), column, "left"
         )
     there = existing.select(*CONTEST_KEY).distinct().withColumn("_there", F.lit(True))
     out = out.join(there, CONTEST_KEY, "left")
-    known = F.lit(True)
-    for column in CONTEST_KEY:
-        known = known & F.col(f"_{column}").isNotNull()
     status = (
         F.when(F.col(FIRST_ID).isNull(), F.lit("out_of_range"))
-        .when(~known, F.lit("unknown_entity"))
-        .when(F.col("_there").isNotNull(), F.lit("present"))
+        .when(F.coalesce(*[F.col(f"_{c}") for c in CONTEST_KEY]), F.lit("unknown_entity"))
+        .when(F.col("_there"), F.lit("present"))
         .otherwise(F.lit("new"))
     )
     return out.select(*CONTEST_KEY, "copies", status.alias("status"))
@@ -205,7 +216,11 @@ def contests_to_insert(classified: DataFrame) -> DataFrame:
 
 
 def contest_load_report(classified: DataFrame) -> DataFrame:
-    """One row: raw, out_of_range, unknown_entity, source_duplicates, unique_valid, present, inserted."""
+    """One row with the counts of a load.
+
+    raw, out_of_range, unknown_entity and source_duplicates count rows; unique_valid,
+    already_present and inserted count distinct contests.
+    """
     status, copies = F.col("status"), F.col("copies")
     valid = status.isin("present", "new")
     return classified.agg(

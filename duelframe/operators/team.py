@@ -43,6 +43,12 @@ def diverse_top_n(
     best = top_rows_per_group(rows, ["_category"], order, team_size, "_rn")
     firsts = best.filter((F.col("_rn") == 1) | F.col("_category").isNull()).select(*metrics.columns)
     firsts = firsts.orderBy(*order).limit(team_size)
-    fill = overall.exceptAll(firsts)
-    team = firsts.withColumn("_fill", F.lit(0)).unionByName(fill.withColumn("_fill", F.lit(1)))
+    # A row that is in both frames is a first; what is left of the overall best is fill.
+    both = firsts.withColumn("_first", F.lit(1)).unionByName(overall.withColumn("_first", F.lit(0)))
+    first_copies = F.sum("_first").cast("int")
+    copies = both.groupBy(*metrics.columns).agg(
+        first_copies.alias("_f"), F.greatest(F.count(F.lit(1)).cast("int") - 2 * first_copies, F.lit(0)).alias("_o")
+    )
+    marks = F.concat(F.array_repeat(F.lit(0), F.col("_f")), F.array_repeat(F.lit(1), F.col("_o")))
+    team = copies.select(*metrics.columns, F.explode(marks).alias("_fill"))
     return team.orderBy("_fill", *order).limit(team_size).drop("_fill")

@@ -23,6 +23,9 @@ from duelframe.streaming import incremental
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# What a user picks from the category list for the reports on one category.
+CATEGORY = "ECONOMY"
+
 
 def query(fun: Query) -> Query:
     QUERIES[fun.__name__] = fun
@@ -42,11 +45,6 @@ def correlations(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("r", F.round("r", 9))
 
 
-def first_category(spark: SparkSession, folder: str) -> str:
-    """The category the single-category reports are run for, as picked from the list."""
-    return "ECONOMY"
-
-
 def stored_entities(spark: SparkSession, folder: str) -> DataFrame:
     """An older state of the entity table: the smaller parts, with older attributes."""
     old = bridge.entities(spark, folder).filter("hp <= 25")
@@ -158,7 +156,7 @@ def top_n_by_category(spark, folder):
 
 @query
 def top_n_in_category(spark, folder):
-    return cat.top_n_by_category(scored(spark, folder), 5, first_category(spark, folder))
+    return cat.top_n_by_category(scored(spark, folder), 5, CATEGORY)
 
 
 @query
@@ -314,9 +312,14 @@ def contests_append(spark, folder):
 
 def classified(spark: SparkSession, folder: str) -> DataFrame:
     keys = load.batch_keys(bridge.raw_contests(spark, folder), max_id=None)
-    return load.classify_contests(
-        keys, bridge.entities(spark, folder), stored_contests(spark, folder)
-    )
+    unknown = load.unknown_ids(keys, bridge.entities(spark, folder))
+    return load.classify_contests(keys, unknown, stored_contests(spark, folder))
+
+
+@query
+def unknown_ids(spark, folder):
+    contests = clean.clean_contests(bridge.raw_contests(spark, folder))
+    return load.unknown_ids(contests, stored_entities(spark, folder))
 
 
 @query
@@ -438,7 +441,7 @@ def win_rate_by_type(spark, folder):
 
 @query
 def top_cards(spark, folder):
-    return reports.top_cards(scored(spark, folder), first_category(spark, folder))
+    return reports.top_cards(scored(spark, folder), CATEGORY)
 
 
 @query
@@ -448,12 +451,12 @@ def team_cards(spark, folder):
 
 @query
 def diagnostics(spark, folder):
-    return reports.diagnostics(scored(spark, folder), first_category(spark, folder))
+    return reports.diagnostics(scored(spark, folder), CATEGORY)
 
 
 @query
 def diagnostic_message(spark, folder):
-    return reports.diagnostic_message(scored(spark, folder), first_category(spark, folder))
+    return reports.diagnostic_message(scored(spark, folder), CATEGORY)
 
 
 @query

@@ -219,6 +219,9 @@ BODIES = {
     "contests_append": """SELECT DISTINCT * FROM ccon WHERE first_id IN (SELECT entity_id FROM ent)
         AND second_id IN (SELECT entity_id FROM ent) AND winner_id IN (SELECT entity_id FROM ent)
         EXCEPT SELECT * FROM old_con""",
+    "unknown_ids": """SELECT DISTINCT id AS entity_id FROM (SELECT first_id AS id FROM ccon UNION ALL
+        SELECT second_id FROM ccon UNION ALL SELECT winner_id FROM ccon) u
+        WHERE id IS NOT NULL AND id NOT IN (SELECT entity_id FROM old_ent)""",
     "contests_classified": "SELECT first_id, second_id, winner_id, copies, status FROM classified",
     "contest_load_report": """SELECT sum(copies)::BIGINT AS raw,
         coalesce(sum(copies) FILTER (status = 'out_of_range'), 0)::BIGINT AS out_of_range,

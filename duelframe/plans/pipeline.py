@@ -10,11 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from duelframe.operators import load
 from duelframe.operators.clean import clean_entities
 from duelframe.operators.metrics import outcome_metrics
-from duelframe.schemas import CONTEST_KEY, MAX_ENTITY_ID
+from duelframe.schemas import MAX_ENTITY_ID
 from duelframe.sources import landing, tables
 
-BATCH_SCHEMA = ", ".join(f"{c} bigint" for c in [*CONTEST_KEY, "copies"])
-
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -24,13 +22,28 @@ class LoadResult:
     contest_report: DataFrame
 
 
-def entity_source(listing_pages: DataFrame, detail_pages: DataFrame | None) -> DataFrame:
-    """Raw entity rows: details for the listed ids, or the listing if there are none."""
+def new_batch(warehouse: str) -> str:
+    return f"{warehouse}/batches/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame and read it back.
+
+    What several steps need is computed once, survives the loss of executors, and has
+    a size Catalyst knows when it plans the joins of the next step.
+    """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def entity_source(listing_pages: DataFrame, detail_pages: DataFrame | None, batch: str) -> DataFrame:
+    """Raw entity rows, staged: details for the listed ids, or the listing if there are none."""
     listing = landing.raw_entities(landing.records(landing.page_items(listing_pages)))
+    listing = staged(listing, f"{batch}/listing")
     if detail_pages is None:
         return listing
     details = landing.raw_entities(landing.records(landing.page_items(detail_pages)))
-    return landing.details_or_listing(landing.details_for(listing, details), listing)
+    return landing.details_or_listing(staged(landing.details_for(listing, details), f"{batch}/details"), listing)
 
 
 def load_entities(
@@ -52,18 +65,15 @@ def load_contests(
 ) -> DataFrame:
     """Append the contests that are valid and new; returns the load report.
 
-    The batch is written once as distinct keys and once with its statuses. Both the
-    appended rows and the report are read from there, so nothing is computed twice and a
-    lost executor cannot make them disagree. Running the same batch again adds nothing.
+    The batch is written as distinct keys, then with statuses. Both the appended rows and
+    the report are read from there, so they cannot disagree, and running the same batch
+    again adds nothing.
     """
-    batch = f"{warehouse}/batches/{uuid.uuid4().hex}"
-    load.batch_keys(raw, max_id=max_id).write.parquet(f"{batch}/keys")
-    keys = spark.read.schema(BATCH_SCHEMA).parquet(f"{batch}/keys")
+    batch = new_batch(warehouse)
+    keys = staged(load.batch_keys(raw, max_id=max_id), f"{batch}/keys")
+    unknown = staged(load.unknown_ids(keys, tables.read_entities(spark, warehouse)), f"{batch}/unknown")
     existing = load.existing_contests(tables.read_contests(spark, warehouse), keys)
-    load.classify_contests(keys, tables.read_entities(spark, warehouse), existing).write.partitionBy(
-        "status"
-    ).parquet(f"{batch}/classified")
-    classified = spark.read.schema(f"{BATCH_SCHEMA}, status string").parquet(f"{batch}/classified")
+    classified = staged(load.classify_contests(keys, unknown, existing), f"{batch}/classified")
     tables.append_contest_rows(load.contests_to_insert(classified), warehouse)
     return load.contest_load_report(classified)
 
@@ -78,8 +88,12 @@ def run_pipeline(
     max_id: int | None = MAX_ENTITY_ID,
     max_records: int | None = None,
 ) -> LoadResult:
-    """Landed pages to stored entities and contests. Safe to run again on the same pages."""
-    entity_report = load_entities(spark, entity_source(listing_pages, detail_pages), warehouse, max_id=max_id)
+    """Landed pages to stored entities and contests. Safe to run again on the same pages.
+
+    Metrics are not stored: stored_metrics derives them from the two tables.
+    """
+    raw = entity_source(listing_pages, detail_pages, new_batch(warehouse))
+    entity_report = load_entities(spark, raw, warehouse, max_id=max_id)
     recs = landing.records(landing.page_items(contest_pages), max_records=max_records)
     contest_report = load_contests(spark, landing.raw_contests(recs), warehouse, max_id=max_id)
     return LoadResult(
