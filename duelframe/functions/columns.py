@@ -60,8 +60,8 @@ def to_long(c: Column, t: T.DataType) -> Column:
         return whole
     if isinstance(t, T.DecimalType):
         return F.when(c == F.floor(c), c.try_cast("bigint"))
-    # Digits are read directly, so that ids beyond 2**53 keep every digit.
-    return F.coalesce(strip(c.cast("string")).try_cast("bigint"), whole)
+    # Digits are read directly: that is cheap, and ids beyond 2**53 keep every digit.
+    return F.coalesce(c.cast("string").try_cast("bigint"), whole)
 
 
 def to_int(c: Column, t: T.DataType) -> Column:
@@ -85,6 +85,22 @@ def filled(c: Column, t: T.DataType, fill: float = 0.0) -> Column:
     return F.coalesce(to_double(c, t), F.lit(float(fill)))
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """The frame with these columns set, each evaluated exactly once per row.
+
+    A filter on a projected column is pushed below the projection with a copy of the
+    column's whole expression, and every later join on it adds such a filter. For costly
+    expressions that multiplies the work. What a generator puts out is not copied, so
+    the values go through a one-element inline.
+    """
+    kept = [named(c) for c in df.columns if c not in columns]
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    order = [*[c for c in df.columns if c not in columns], *columns]
+    out = df.select(*kept, F.inline(F.array(row)))
+    wanted = [*df.columns, *[c for c in columns if c not in df.columns]]
+    return out if order == wanted else out.select(*[named(c) for c in wanted])
+
+
 def missing_last(c: Column, t: T.DataType) -> Column:
     """A sort key in which NaN counts as missing."""
     return F.when(~F.isnan(c), c) if isinstance(t, (T.FloatType, T.DoubleType)) else c

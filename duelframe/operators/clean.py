@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duelframe.functions.columns import (
-    clean_text, dtype, named, strip, to_bool, to_double, to_long,
+    clean_text, computed_once, dtype, named, strip, to_bool, to_double, to_long,
 )
 from duelframe.operators.checks import require_rows
 from duelframe.schemas import (
@@ -135,4 +135,4 @@ def clean_contests(df: DataFrame) -> DataFrame:
         for c in CONTEST_KEY
         if c in out.columns and not isinstance(dtype(out, c), T.LongType)
     }
-    return out.withColumns(changed) if changed else out
+    return computed_once(out, changed) if changed else out

@@ -14,18 +14,45 @@ from duelframe.operators.checks import not_negative, require_columns
 from duelframe.schemas import OUTCOME_COLUMNS, STAT_COLUMNS
 
 
-def _pearson(x: Column, y: Column) -> Column:
-    """Pearson r over rows where both are present; NULL for a constant column.
+def _numeric(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
+    return metrics.select(*[to_double(named(c), dtype(metrics, c)).alias(c) for c in names])
 
-    The built-in corr divides by zero there, which raises under ANSI mode.
-    """
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-    return clip(F.try_divide(F.covar_pop(x, y), spread), -1.0, 1.0)
 
+def _pairs(metrics: DataFrame, stats: list[str], outcomes: list[str]) -> DataFrame:
+    """One row with r_i_j and n_i_j for attribute i and outcome j.
 
-def _numeric(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
-    return metrics.select(*[to_double(named(c), dtype(metrics, c)).alias(c) for c in names])
+    Each row is unpivoted to its attribute/outcome pairs and aggregated by pair. That
+    keeps the generated code small, so it is compiled as one stage; a single aggregate
+    with all pairs side by side has too many buffers for that and is several times
+    slower. Only one row per pair and task is shuffled.
+
+    r uses rows where both are present and is NULL for a constant column, where the
+    built-in corr divides by zero and raises under ANSI mode.
+    """
+    require_columns(metrics, outcomes + stats, "metrics")
+    numbers = _numeric(metrics, list(dict.fromkeys(outcomes + stats)))
+    # Copies under names of their own, as a column may be both attribute and outcome.
+    numbers = numbers.select(
+        *[named(s).alias(f"s{i}") for i, s in enumerate(stats)],
+        *[named(m).alias(f"m{j}") for j, m in enumerate(outcomes)],
+    )
+    m_names = [f"m{j}" for j in range(len(outcomes))]
+    by_stat = numbers.unpivot(m_names, [f"s{i}" for i in range(len(stats))], "stat", "x")
+    pairs = by_stat.unpivot(["stat", "x"], m_names, "metric", "y")
+    x, y = F.col("x"), F.col("y")
+    both = x.isNotNull() & y.isNotNull()
+    pairs = pairs.select("stat", "metric", F.when(both, x).alias("x"), F.when(both, y).alias("y"))
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    found = pairs.groupBy("stat", "metric").agg(
+        clip(F.try_divide(F.covar_pop("x", "y"), spread), -1.0, 1.0).alias("r"), F.count("x").alias("n")
+    )
+    cells = []
+    for i in range(len(stats)):
+        for j in range(len(outcomes)):
+            here = (F.col("stat") == f"s{i}") & (F.col("metric") == f"m{j}")
+            cells.append(F.max(F.when(here, F.col("r"))).alias(f"r_{i}_{j}"))
+            cells.append(F.coalesce(F.max(F.when(here, F.col("n"))), F.lit(0)).alias(f"n_{i}_{j}"))
+    return found.agg(*cells)
 
 
 def attribute_correlation(
@@ -34,27 +61,17 @@ def attribute_correlation(
     metric_columns: Sequence[str] = OUTCOME_COLUMNS,
     stat_columns: Sequence[str] = STAT_COLUMNS,
 ) -> DataFrame:
-    """Pearson r and pair count for every attribute and outcome: (stat, metric, r, n).
-
-    All pairs are aggregated in one pass, however many there are; only one row per
-    task is shuffled.
-    """
+    """Pearson r and pair count for every attribute and outcome: (stat, metric, r, n)."""
     stats, outcomes = list(stat_columns), list(metric_columns)
-    require_columns(metrics, outcomes + stats, "metrics")
-    numbers = _numeric(metrics, list(dict.fromkeys(outcomes + stats)))
-    aggregates, cells = [], []
-    for i, s in enumerate(stats):
-        for j, m in enumerate(outcomes):
-            x, y = named(s), named(m)
-            aggregates.append(_pearson(x, y).alias(f"r_{i}_{j}"))
-            aggregates.append(F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n_{i}_{j}"))
-            cells.append(
-                F.struct(
-                    F.lit(s).alias("stat"), F.lit(m).alias("metric"),
-                    F.col(f"r_{i}_{j}").alias("r"), F.col(f"n_{i}_{j}").alias("n"),
-                )
-            )
-    return numbers.agg(*aggregates).select(F.inline(F.array(*cells)))
+    cells = [
+        F.struct(
+            F.lit(s).alias("stat"), F.lit(m).alias("metric"),
+            F.col(f"r_{i}_{j}").alias("r"), F.col(f"n_{i}_{j}").alias("n"),
+        )
+        for i, s in enumerate(stats)
+        for j, m in enumerate(outcomes)
+    ]
+    return _pairs(metrics, stats, outcomes).select(F.inline(F.array(*cells)))
 
 
 def correlation_matrix(
@@ -65,21 +82,13 @@ def correlation_matrix(
 ) -> DataFrame:
     """The same correlations as a matrix: one row per attribute, one column per outcome."""
     stats, outcomes = list(stat_columns), list(metric_columns)
-    require_columns(metrics, outcomes + stats, "metrics")
-    numbers = _numeric(metrics, list(dict.fromkeys(outcomes + stats)))
-    aggregates = [
-        _pearson(named(s), named(m)).alias(f"r_{i}_{j}")
-        for i, s in enumerate(stats)
-        for j, m in enumerate(outcomes)
-    ]
     rows = [
         F.struct(
-            F.lit(s).alias("stat"),
-            *[F.col(f"r_{i}_{j}").alias(m) for j, m in enumerate(outcomes)],
+            F.lit(s).alias("stat"), *[F.col(f"r_{i}_{j}").alias(m) for j, m in enumerate(outcomes)]
         )
         for i, s in enumerate(stats)
     ]
-    return numbers.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return _pairs(metrics, stats, outcomes).select(F.inline(F.array(*rows)))
 
 
 def influence(

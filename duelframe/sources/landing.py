@@ -7,7 +7,7 @@ lines per file (read_page_lines), which Spark splits; one file per page also wor
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,12 +44,13 @@ def page_items(pages: DataFrame, *, strict: bool = False) -> DataFrame:
     text (shortened), and does not stop the other records or pages. With ``strict`` a
     page without a record list fails the job instead.
     """
-    document = F.try_parse_json(F.col("raw"))
+    # A step of its own, so that the text is parsed once and not once per place.
+    parsed = pages.select("page", "raw", F.try_parse_json(F.col("raw")).alias("document"))
     places = ["$"] + [f"$.{key}" for key in ENVELOPE_KEYS]
-    found = F.coalesce(*[F.try_variant_get(document, place, "array<variant>") for place in places])
+    found = F.coalesce(*[F.try_variant_get("document", place, "array<variant>") for place in places])
     if strict:
         found = F.coalesce(found, F.raise_error(F.lit(NO_RECORDS)).cast("array<variant>"))
-    listed = pages.select("page", "raw", found.alias("found"))
+    listed = parsed.select("page", "raw", found.alias("found"))
     # An element left by an empty list is dropped; one left by a missing list is kept as bad page.
     items = listed.select(
         "page", "raw", F.col("found").isNull().alias("no_list"), F.posexplode_outer("found").alias("pos", "rec")
@@ -78,42 +79,67 @@ def quarantine(items: DataFrame) -> DataFrame:
     return items.filter(F.col("reason").isNotNull()).select("page", "pos", "reason", "text")
 
 
-def _field(aliases: Sequence[str]) -> Column:
+def _texts(recs: DataFrame) -> DataFrame:
+    """The records with all their fields as one map of texts, so each is decoded once."""
+    return recs.withColumn("_texts", F.try_variant_get(F.col("rec"), "$", "map<string,string>"))
+
+
+def _text(aliases: Sequence[str]) -> Column:
     """Text of the first spelling the record has a value for."""
-    return F.coalesce(*[F.try_variant_get(F.col("rec"), f"$['{a}']", "string") for a in aliases])
+    return F.coalesce(*[F.try_element_at("_texts", F.lit(a)) for a in aliases])
+
+
+def _json_type(aliases: Sequence[str]) -> Column:
+    found = [F.try_variant_get(F.col("rec"), f"$['{a}']", "variant") for a in aliases]
+    return F.schema_of_variant(F.coalesce(*found))
+
+
+def _stat(aliases: Sequence[str]) -> Column:
+    """Integer value: a JSON number is truncated, a JSON text must be a plain integer.
+
+    The JSON type is looked up only for values that are not plain integers.
+    """
+    text = _text(aliases)
+    number = F.when(_json_type(aliases) != "STRING", text.try_cast("double").try_cast("int"))
+    return F.coalesce(text.try_cast("int"), number)
 
 
-def _typed(recs: DataFrame, fields: Mapping[str, Sequence[str]]) -> list[Column]:
-    return [_field(spellings).alias(name) for name, spellings in fields.items()]
+def _flag(name: str) -> Column:
+    """Text of a flag; the number 1.0 keeps its decimals, which make it a false flag."""
+    text = _text([name])
+    decimal = (text == "1") & _json_type([name]).startswith("DECIMAL")
+    return F.when(decimal, F.lit("1.0")).otherwise(text)
 
 
 def raw_entities(recs: DataFrame) -> DataFrame:
-    """Entity records as text columns under the canonical names, with page and pos.
+    """Entity records under the canonical names, with page and pos.
 
-    A record without own categories takes them from its ``types``, a list or a text.
+    Attributes are integers, everything else is text for cleaning to coerce. A record
+    without own categories takes them from its ``types``, a list or a text.
     """
-    names = [ENTITY_ID, "name", "type_1", "type_2", "generation", "legendary", *STAT_COLUMNS]
-    fields = {n: ENTITY_ALIASES.get(n, (n,)) for n in names}
-    listed = category_parts(
-        F.coalesce(
-            F.concat_ws("/", F.try_variant_get(F.col("rec"), "$.types", "array<string>")),
-            F.lit(""),
-        )
+    types = _text(["types"])
+    listed = F.array_join(F.from_json(types, "array<string>"), "/")
+    parts = category_parts(F.when(types.startswith("["), listed).otherwise(types))
+
+    def text(name: str) -> Column:
+        return _text(ENTITY_ALIASES.get(name, (name,)))
+
+    return _texts(recs).select(
+        "page",
+        "pos",
+        text(ENTITY_ID).alias(ENTITY_ID),
+        text("name").alias("name"),
+        F.coalesce(text("type_1"), F.get(parts, F.lit(0))).alias("type_1"),
+        F.coalesce(text("type_2"), F.get(parts, F.lit(1))).alias("type_2"),
+        text("generation").alias("generation"),
+        _flag("legendary").alias("legendary"),
+        *[_stat(ENTITY_ALIASES[c]).alias(c) for c in STAT_COLUMNS],
     )
-    text = category_parts(F.try_variant_get(F.col("rec"), "$.types", "string"))
-    parts = F.when(F.size(listed) > 0, listed).otherwise(text)
-    flat = recs.select("page", "pos", *_typed(recs, fields), parts.alias("_types"))
-    return flat.withColumns(
-        {
-            "type_1": F.coalesce(F.col("type_1"), F.get("_types", F.lit(0))),
-            "type_2": F.coalesce(F.col("type_2"), F.get("_types", F.lit(1))),
-        }
-    ).drop("_types")
 
 
 def raw_contests(recs: DataFrame) -> DataFrame:
-    """Contest records as text columns under the canonical names, with page and pos."""
-    return recs.select("page", "pos", *_typed(recs, {n: CONTEST_ALIASES[n] for n in CONTEST_KEY}))
+    """Contest records as texts under the canonical names, with page and pos."""
+    return _texts(recs).select("page", "pos", *[_text(CONTEST_ALIASES[c]).alias(c) for c in CONTEST_KEY])
 
 
 def details_for(ids: DataFrame, details: DataFrame) -> DataFrame:
