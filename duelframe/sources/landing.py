@@ -7,7 +7,7 @@ lines per file (read_page_lines), which Spark splits; one file per page also wor
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,14 +79,17 @@ def quarantine(items: DataFrame) -> DataFrame:
     return items.filter(F.col("reason").isNotNull()).select("page", "pos", "reason", "text")
 
 
-def _texts(recs: DataFrame) -> DataFrame:
-    """The records with all their fields as one map of texts, so each is decoded once."""
-    return recs.withColumn("_texts", F.try_variant_get(F.col("rec"), "$", "map<string,string>"))
+def _texts(recs: DataFrame, fields: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The records with one text column per field: that of the first spelling with a value.
 
-
-def _text(aliases: Sequence[str]) -> Column:
-    """Text of the first spelling the record has a value for."""
-    return F.coalesce(*[F.try_element_at("_texts", F.lit(a)) for a in aliases])
+    A record is decoded once, into a map of texts, however many spellings there are.
+    """
+    decoded = recs.withColumn("_texts", F.try_variant_get(F.col("rec"), "$", "map<string,string>"))
+    found = {
+        name: F.coalesce(*[F.try_element_at("_texts", F.lit(a)) for a in aliases])
+        for name, aliases in fields.items()
+    }
+    return decoded.select("page", "pos", "rec", *[c.alias(name) for name, c in found.items()])
 
 
 def _json_type(aliases: Sequence[str]) -> Column:
@@ -94,21 +97,20 @@ def _json_type(aliases: Sequence[str]) -> Column:
     return F.schema_of_variant(F.coalesce(*found))
 
 
-def _stat(aliases: Sequence[str]) -> Column:
+def _stat(name: str) -> Column:
     """Integer value: a JSON number is truncated, a JSON text must be a plain integer.
 
     The JSON type is looked up only for values that are not plain integers.
     """
-    text = _text(aliases)
-    number = F.when(_json_type(aliases) != "STRING", text.try_cast("double").try_cast("int"))
-    return F.coalesce(text.try_cast("int"), number)
+    text = F.col(name)
+    is_number = text.isNotNull() & (_json_type(ENTITY_ALIASES[name]) != "STRING")
+    return F.coalesce(text.try_cast("int"), F.when(is_number, text.try_cast("double").try_cast("int")))
 
 
 def _flag(name: str) -> Column:
     """Text of a flag; the number 1.0 keeps its decimals, which make it a false flag."""
-    text = _text([name])
-    decimal = (text == "1") & _json_type([name]).startswith("DECIMAL")
-    return F.when(decimal, F.lit("1.0")).otherwise(text)
+    decimal = (F.col(name) == "1") & _json_type([name]).startswith("DECIMAL")
+    return F.when(decimal, F.lit("1.0")).otherwise(F.col(name))
 
 
 def raw_entities(recs: DataFrame) -> DataFrame:
@@ -117,29 +119,24 @@ def raw_entities(recs: DataFrame) -> DataFrame:
     Attributes are integers, everything else is text for cleaning to coerce. A record
     without own categories takes them from its ``types``, a list or a text.
     """
-    types = _text(["types"])
+    names = [ENTITY_ID, "name", "type_1", "type_2", "generation", "legendary", *STAT_COLUMNS]
+    texts = _texts(recs, {n: ENTITY_ALIASES.get(n, (n,)) for n in [*names, "types"]})
+    types = F.col("types")
     listed = F.array_join(F.from_json(types, "array<string>"), "/")
     parts = category_parts(F.when(types.startswith("["), listed).otherwise(types))
-
-    def text(name: str) -> Column:
-        return _text(ENTITY_ALIASES.get(name, (name,)))
-
-    return _texts(recs).select(
-        "page",
-        "pos",
-        text(ENTITY_ID).alias(ENTITY_ID),
-        text("name").alias("name"),
-        F.coalesce(text("type_1"), F.get(parts, F.lit(0))).alias("type_1"),
-        F.coalesce(text("type_2"), F.get(parts, F.lit(1))).alias("type_2"),
-        text("generation").alias("generation"),
-        _flag("legendary").alias("legendary"),
-        *[_stat(ENTITY_ALIASES[c]).alias(c) for c in STAT_COLUMNS],
-    )
+    derived = {
+        "type_1": F.coalesce(F.col("type_1"), F.get("_parts", F.lit(0))),
+        "type_2": F.coalesce(F.col("type_2"), F.get("_parts", F.lit(1))),
+        "legendary": _flag("legendary"),
+        **{c: _stat(c) for c in STAT_COLUMNS},
+    }
+    rows = texts.withColumn("_parts", parts)
+    return rows.select("page", "pos", *[derived.get(n, F.col(n)).alias(n) for n in names])
 
 
 def raw_contests(recs: DataFrame) -> DataFrame:
     """Contest records as texts under the canonical names, with page and pos."""
-    return _texts(recs).select("page", "pos", *[_text(CONTEST_ALIASES[c]).alias(c) for c in CONTEST_KEY])
+    return _texts(recs, {c: CONTEST_ALIASES[c] for c in CONTEST_KEY}).drop("rec")
 
 
 def details_for(ids: DataFrame, details: DataFrame) -> DataFrame:
