@@ -17,7 +17,8 @@ from duelframe.schemas import TRUE_WORDS
 # Every character Unicode counts as white space; Spark's trim() knows only the blank.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Numbers as text; it keeps out Java-only spellings such as '1d', '0x1p3' and 'NaN'.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def named(name: str) -> Column:
@@ -45,8 +46,7 @@ def to_double(c: Column, t: T.DataType) -> Column:
         return F.when(~F.isnan(d), d)
     if isinstance(t, (T.NumericType, T.BooleanType)):
         return c.cast("double")
-    text = strip(c.cast("string"))
-    # The pattern keeps out Java-only spellings such as '1d' and '1f'.
+    text = c.cast("string")
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
@@ -54,14 +54,12 @@ def to_long(c: Column, t: T.DataType) -> Column:
     """Whole number as bigint; fractions and non-numbers are NULL."""
     if isinstance(t, (T.IntegralType, T.BooleanType)):
         return c.cast("bigint")
-    d = to_double(c, t)
-    whole = F.when(d == F.floor(d), d.try_cast("bigint"))
-    if isinstance(t, (T.FloatType, T.DoubleType)):
-        return whole
-    if isinstance(t, T.DecimalType):
-        return F.when(c == F.floor(c), c.try_cast("bigint"))
-    # Digits are read directly: that is cheap, and ids beyond 2**53 keep every digit.
-    return F.coalesce(c.cast("string").try_cast("bigint"), whole)
+    if isinstance(t, T.StringType):
+        # Plain digits are read directly, which is cheap and keeps every digit of a long id.
+        number = c.try_cast("decimal(38,18)")
+        return F.coalesce(c.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
+    number = c if isinstance(t, T.DecimalType) else to_double(c, t)
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def to_int(c: Column, t: T.DataType) -> Column:
@@ -70,7 +68,7 @@ def to_int(c: Column, t: T.DataType) -> Column:
         return c
     if isinstance(t, (T.NumericType, T.BooleanType)):
         return c.try_cast("int")
-    return strip(c.cast("string")).try_cast("int")
+    return c.cast("string").try_cast("int")
 
 
 def to_bool(c: Column, t: T.DataType) -> Column:

@@ -69,13 +69,17 @@ def last_per_key(df: DataFrame, ordinal: Sequence[str] = (), key: str = ENTITY_I
 
 
 def new_entities(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Incoming rows whose key is not stored yet."""
+    """Incoming rows whose key is not stored yet (the stored table has one row per key)."""
     return incoming.join(stored.select(ENTITY_ID), ENTITY_ID, "left_anti")
 
 
 def existing_ids(stored: DataFrame, ids: DataFrame) -> DataFrame:
-    """The given ids that are stored."""
-    return stored.select(ENTITY_ID).join(ids.select(ENTITY_ID), ENTITY_ID, "left_semi")
+    """The given ids that are stored.
+
+    Listed keys are made distinct before they are joined, here and in the other lookups:
+    a key listed very often is then one row, and the shuffle this takes is the join's own.
+    """
+    return stored.select(ENTITY_ID).join(ids.select(ENTITY_ID).distinct(), ENTITY_ID, "left_semi")
 
 
 def upsert_entities(stored: DataFrame, incoming: DataFrame, *, partial: bool = False) -> DataFrame:
@@ -143,7 +147,7 @@ def known_contests(contests: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def existing_contests(stored: DataFrame, keys: DataFrame) -> DataFrame:
-    """Stored contests that are among the given keys.
+    """Stored contests that are among the given distinct keys.
 
     The keys are the side that can be broadcast here, so a small batch is looked up by
     scanning the stored table without shuffling it.
@@ -243,7 +247,7 @@ def append_contests(stored: DataFrame, incoming: DataFrame, entities: DataFrame)
 def delete_by_key(stored: DataFrame, keys: DataFrame, on: Sequence[str] = (ENTITY_ID,)) -> DataFrame:
     """The stored table without the rows whose key is listed."""
     on = list(on)
-    return stored.join(keys.select(*on), on, "left_anti")
+    return stored.join(keys.select(*on).distinct(), on, "left_anti")
 
 
 def get_by_id(stored: DataFrame, entity_id: int) -> DataFrame:

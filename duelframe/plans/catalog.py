@@ -311,8 +311,9 @@ def contests_append(spark, folder):
 
 
 def classified(spark: SparkSession, folder: str) -> DataFrame:
-    keys = load.batch_keys(bridge.raw_contests(spark, folder), max_id=None)
-    unknown = load.unknown_ids(keys, bridge.entities(spark, folder))
+    contests = clean.clean_contests(bridge.raw_contests(spark, folder))
+    keys = load.batch_keys(contests, max_id=None)
+    unknown = load.unknown_ids(contests, bridge.entities(spark, folder))
     return load.classify_contests(keys, unknown, stored_contests(spark, folder))
 
 

@@ -150,7 +150,7 @@ def missing_details(ids: DataFrame, details: DataFrame) -> DataFrame:
     """Wanted ids for which no detail was landed."""
     wanted = ids.select(F.col(ENTITY_ID).cast("string").alias(ENTITY_ID)).distinct()
     wanted = wanted.filter(F.col(ENTITY_ID).isNotNull())
-    return wanted.join(details.select(ENTITY_ID), ENTITY_ID, "left_anti")
+    return wanted.join(details.select(ENTITY_ID).distinct(), ENTITY_ID, "left_anti")
 
 
 def details_or_listing(details: DataFrame, listing: DataFrame) -> DataFrame:

@@ -33,16 +33,16 @@ def read_table(
     return mapper(df) if mapper else df
 
 
-def _committed(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+def _found(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(status.getPath().getParent().toString() for status in (found or []))
+    return sorted(status.getPath().toString() for status in (found or []))
 
 
 def latest_version(spark: SparkSession, path: str) -> str | None:
     """Folder of the newest complete version, or None before the first load."""
-    versions = _committed(spark, f"{path}/version-*")
-    return versions[-1] if versions else None
+    versions = _found(spark, f"{path}/version-*/_SUCCESS")
+    return versions[-1].removesuffix("/_SUCCESS") if versions else None
 
 
 def publish_version(df: DataFrame, path: str) -> str:
@@ -62,10 +62,15 @@ def read_entities(spark: SparkSession, warehouse: str) -> DataFrame:
 
 
 def read_contests(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The stored contests; an empty frame before the first load."""
+    """The stored contests; an empty frame before the first load.
+
+    Files an interrupted append got to publish count as stored, so that running the
+    append again adds exactly the rest.
+    """
     path = f"{warehouse}/contests"
-    done = _committed(spark, path)
-    return read_table(spark, path, CONTEST) if done else spark.createDataFrame([], CONTEST)
+    if not _found(spark, f"{path}/*.parquet"):
+        return spark.createDataFrame([], CONTEST)
+    return read_table(spark, path, CONTEST)
 
 
 def append_contest_rows(df: DataFrame, warehouse: str) -> None:
