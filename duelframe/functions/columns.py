@@ -8,6 +8,8 @@ the wanted type costs nothing and keeps its filters pushable to the scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,18 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def quoted(text: str) -> str:
+    """A text as SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stacked(rows: Sequence[Sequence[str]], names: Sequence[str]) -> Column:
+    """Rows of SQL expressions over one row, as that many rows with these column names."""
+    cells = ", ".join(cell for row in rows for cell in row)
+    ticked = ", ".join("`" + n.replace("`", "``") + "`" for n in names)
+    return F.expr(f"stack({len(rows)}, {cells}) AS ({ticked})")
+
+
 def dtype(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 

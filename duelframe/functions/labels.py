@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from duelframe.functions.columns import clean_text, format_fixed
+from duelframe.functions.columns import clean_text, format_fixed, quoted
 
 # --- fixed values -----------------------------------------------------------
 STAT_LABELS = {
@@ -61,8 +60,8 @@ def label(c: Column, labels: Mapping[str, str]) -> Column:
     """The label of a key; a key without one is its own label."""
     if not labels:
         return c
-    table = F.create_map(*[F.lit(v) for v in chain.from_iterable(labels.items())])
-    return F.coalesce(F.try_element_at(table, c), c)
+    pairs = ", ".join(f"{quoted(key)}, {quoted(text)}" for key, text in labels.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), c), c)
 
 
 def tier(c: Column, steps: Sequence[tuple[float, str]], below: str) -> Column:

@@ -9,7 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from duelframe.functions import labels as lb
-from duelframe.functions.columns import clip, dtype, format_fixed, named, round_to, to_double
+from duelframe.functions.columns import (
+    clip, dtype, format_fixed, named, quoted, round_to, stacked, to_double,
+)
 from duelframe.operators.checks import not_negative, require_columns
 from duelframe.schemas import OUTCOME_COLUMNS, STAT_COLUMNS
 
@@ -49,9 +51,9 @@ def _pairs(metrics: DataFrame, stats: list[str], outcomes: list[str]) -> DataFra
     cells = []
     for i in range(len(stats)):
         for j in range(len(outcomes)):
-            here = (F.col("stat") == f"s{i}") & (F.col("metric") == f"m{j}")
-            cells.append(F.max(F.when(here, F.col("r"))).alias(f"r_{i}_{j}"))
-            cells.append(F.coalesce(F.max(F.when(here, F.col("n"))), F.lit(0)).alias(f"n_{i}_{j}"))
+            here = f"stat = 's{i}' AND metric = 'm{j}'"
+            cells.append(F.expr(f"max(r) FILTER (WHERE {here}) AS r_{i}_{j}"))
+            cells.append(F.expr(f"coalesce(max(n) FILTER (WHERE {here}), 0) AS n_{i}_{j}"))
     return found.agg(*cells)
 
 
@@ -63,15 +65,12 @@ def attribute_correlation(
 ) -> DataFrame:
     """Pearson r and pair count for every attribute and outcome: (stat, metric, r, n)."""
     stats, outcomes = list(stat_columns), list(metric_columns)
-    cells = [
-        F.struct(
-            F.lit(s).alias("stat"), F.lit(m).alias("metric"),
-            F.col(f"r_{i}_{j}").alias("r"), F.col(f"n_{i}_{j}").alias("n"),
-        )
+    rows = [
+        (quoted(s), quoted(m), f"r_{i}_{j}", f"n_{i}_{j}")
         for i, s in enumerate(stats)
         for j, m in enumerate(outcomes)
     ]
-    return _pairs(metrics, stats, outcomes).select(F.inline(F.array(*cells)))
+    return _pairs(metrics, stats, outcomes).select(stacked(rows, ["stat", "metric", "r", "n"]))
 
 
 def correlation_matrix(
@@ -82,13 +81,8 @@ def correlation_matrix(
 ) -> DataFrame:
     """The same correlations as a matrix: one row per attribute, one column per outcome."""
     stats, outcomes = list(stat_columns), list(metric_columns)
-    rows = [
-        F.struct(
-            F.lit(s).alias("stat"), *[F.col(f"r_{i}_{j}").alias(m) for j, m in enumerate(outcomes)]
-        )
-        for i, s in enumerate(stats)
-    ]
-    return _pairs(metrics, stats, outcomes).select(F.inline(F.array(*rows)))
+    rows = [(quoted(s), *[f"r_{i}_{j}" for j in range(len(outcomes))]) for i, s in enumerate(stats)]
+    return _pairs(metrics, stats, outcomes).select(stacked(rows, ["stat", *outcomes]))
 
 
 def influence(
@@ -171,17 +165,15 @@ def attribute_profile(metrics: DataFrame, labels: Mapping[str, str] = lb.PROFILE
     """
     present = [c for c in labels if c in metrics.columns]
     numbers = _numeric(metrics, present)
+    position = {c: i for i, c in enumerate(labels)}
     # The counting aggregate also keeps the one result row where no column is present.
-    means = numbers.agg(F.count(F.lit(1)).alias("rows"), *[F.avg(named(c)).alias(c) for c in present])
-    values = {c: F.col(c) if c in present else F.lit(0.0) for c in labels}
-    top = F.array_max(F.array(*values.values()))
+    means = numbers.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.avg(named(c)).alias(f"v{position[c]}") for c in present]
+    )
+    values = {c: f"v{position[c]}" if c in present else "0D" for c in labels}
+    top = f"array_max(array({', '.join(values.values())}))"
     rows = [
-        F.struct(
-            F.lit(c).alias("stat"),
-            F.lit(labels[c]).alias("label"),
-            v.alias("mean"),
-            F.when(top > 0, F.try_divide(v, top) * F.lit(100.0)).otherwise(F.lit(0.0)).alias("scaled"),
-        )
+        (quoted(c), quoted(labels[c]), v, f"CASE WHEN {top} > 0 THEN try_divide({v}, {top}) * 100 ELSE 0D END")
         for c, v in values.items()
     ]
-    return means.select(F.inline(F.array(*rows)))
+    return means.select(stacked(rows, ["stat", "label", "mean", "scaled"]))

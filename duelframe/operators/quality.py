@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duelframe.functions.columns import quoted, stacked
 from duelframe.functions.labels import CHECK_FAILED, CHECK_OK
 from duelframe.schemas import ENTITY_ID, FIRST_ID, SECOND_ID, WINNER_ID
 
@@ -75,22 +76,18 @@ def quality_report(
 ) -> DataFrame:
     """The six checks as (check, result, status); no rows if a table is empty."""
     row = _one_row([entity_key_counts(entities, id_column), winner_counts(contests), total_counts(metrics)])
-    n = F.col("contest_rows")
     checks = [
-        (NULL_ID, "null_ids", F.lit(0)),
-        (DUPLICATE_ID, "duplicate_ids", F.lit(0)),
-        (NULL_WINNER, "null_winners", F.lit(0)),
-        (OUTSIDE_WINNER, "outside_winners", F.lit(0)),
-        (SUM_BATTLES, "sum_battles", n * 2),
-        (SUM_WINS, "sum_wins", n),
+        (NULL_ID, "null_ids", "0"),
+        (DUPLICATE_ID, "duplicate_ids", "0"),
+        (NULL_WINNER, "null_winners", "0"),
+        (OUTSIDE_WINNER, "outside_winners", "0"),
+        (SUM_BATTLES, "sum_battles", "2 * contest_rows"),
+        (SUM_WINS, "sum_wins", "contest_rows"),
     ]
-    cells = [
-        F.struct(
-            F.lit(name).alias("check"),
-            F.col(column).alias("result"),
-            F.when(F.col(column) == expected, CHECK_OK).otherwise(CHECK_FAILED).alias("status"),
-        )
-        for name, column, expected in checks
+    ok, failed = quoted(CHECK_OK), quoted(CHECK_FAILED)
+    rows = [
+        (quoted(name), value, f"CASE WHEN {value} = {expected} THEN {ok} ELSE {failed} END")
+        for name, value, expected in checks
     ]
-    filled = row.filter((F.col("entity_rows") > 0) & (n > 0))
-    return filled.select(F.inline(F.array(*cells)))
+    filled = row.filter("entity_rows > 0 AND contest_rows > 0")
+    return filled.select(stacked(rows, ["check", "result", "status"]))

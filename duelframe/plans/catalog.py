@@ -46,21 +46,19 @@ def correlations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_entities(spark: SparkSession, folder: str) -> DataFrame:
-    """An older state of the entity table: the smaller parts, with older attributes."""
-    old = bridge.entities(spark, folder).filter("hp <= 25")
-    return old.withColumns({"attack": F.col("attack") - 1, "type_2": F.lit("OLD")})
+    """An older state of the entity table: all parts, numbered in twos, with older attributes."""
+    return bridge.derive(bridge.table(spark, folder, "part"), bridge.STORED_ENTITIES)
 
 
 def incoming_entities(spark: SparkSession, folder: str) -> DataFrame:
-    """A batch for it: the parts of middle size, some without a second category."""
-    new = bridge.entities(spark, folder).filter("hp >= 20 AND hp <= 40")
-    return new.withColumn("type_2", F.when(F.col("defense") > 9, F.col("type_2")))
+    """A batch for it: all parts, numbered in threes, some without a second category."""
+    return bridge.derive(bridge.table(spark, folder, "part"), bridge.INCOMING_ENTITIES)
 
 
 def stored_contests(spark: SparkSession, folder: str) -> DataFrame:
-    """An older state of the contest table: those of the finished lines."""
-    lines = bridge.table(spark, folder, "lineitem").filter("l_linestatus = 'F'")
-    return load.distinct_contests(bridge.derive(lines, bridge.CONTESTS))
+    """An older state of the contest table: all lines, decided by another quantity."""
+    lines = bridge.table(spark, folder, "lineitem")
+    return load.distinct_contests(bridge.derive(lines, bridge.STORED_CONTESTS))
 
 
 # --- scans and metrics ---
@@ -272,7 +270,7 @@ def last_per_key(spark, folder):
     rows = lines.selectExpr(
         "l_partkey AS entity_id", "l_shipdate AS arrived", "l_orderkey AS seq", "l_quantity AS hp"
     )
-    return load.last_per_key(rows, ["arrived", "seq"])
+    return load.last_per_key(rows, ["arrived", "seq"]).drop("arrived")
 
 
 @query

@@ -81,10 +81,9 @@ infl AS (SELECT stat, {_LABELS} AS label, r, abs(r) AS strength,
     CAST(row_number() OVER (ORDER BY abs(r) DESC, stat) AS INTEGER) AS position,
     CAST(row_number() OVER (ORDER BY abs(r), stat) AS INTEGER) AS position_from_least,
     count(*) OVER () AS ranked FROM cor WHERE metric = 'win_rate' AND r IS NOT NULL),
-old_ent AS (SELECT * REPLACE (attack - 1 AS attack, 'OLD' AS type_2) FROM ent WHERE hp <= 25),
-new_ent AS (SELECT * REPLACE (CASE WHEN defense > 9 THEN type_2 END AS type_2) FROM ent WHERE hp >= 20 AND hp <= 40),
-old_con AS (SELECT DISTINCT {', '.join(f'{t} AS {n}' for n, t in bridge.CONTESTS.items())}
-    FROM lineitem WHERE l_linestatus = 'F'),
+old_ent AS ({_select(bridge.STORED_ENTITIES, 'part')}),
+new_ent AS ({_select(bridge.INCOMING_ENTITIES, 'part')}),
+old_con AS (SELECT DISTINCT * FROM ({_select(bridge.STORED_CONTESTS, 'lineitem')}) o),
 recs AS (SELECT p_partkey AS page, CAST(0 AS INTEGER) AS pos, p_partkey AS id, p_size AS size, p_name, p_type, p_brand,
     p_retailprice, false AS extra FROM part WHERE p_size <= 44 OR p_size >= 49
     UNION ALL SELECT p_partkey, 1, p_partkey + 1000000000, p_size, p_name, p_type, p_brand, p_retailprice, true
@@ -203,7 +202,7 @@ BODIES = {
     ) + " FROM old_ent o FULL JOIN new_ent n ON o.entity_id = n.entity_id",
     "new_entities": "SELECT * FROM new_ent WHERE entity_id NOT IN (SELECT entity_id FROM old_ent)",
     "existing_ids": "SELECT entity_id FROM old_ent WHERE entity_id IN (SELECT entity_id FROM new_ent)",
-    "last_per_key": """SELECT * EXCLUDE (rn) FROM (SELECT l_partkey AS entity_id, l_shipdate AS arrived, l_orderkey AS seq,
+    "last_per_key": """SELECT * EXCLUDE (rn) FROM (SELECT l_partkey AS entity_id, l_orderkey AS seq,
         l_quantity AS hp, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC,
         l_quantity DESC) AS rn FROM lineitem) t WHERE rn = 1""",
     "entity_load_report": f"""SELECT count(*) AS raw, count(*) - count(k) AS out_of_range,

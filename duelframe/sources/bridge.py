@@ -35,11 +35,22 @@ CONTESTS = {
     "winner_id": "CASE WHEN l_quantity >= 25 THEN l_partkey ELSE l_suppkey END",
 }
 
+# What a load finds stored and gets sent. Numbers in twos and in threes overlap in part, as
+# do contests decided by two quantities, so there is something to insert, replace and keep.
+STORED_ENTITIES = {**ENTITIES, "entity_id": "p_partkey * 2", "type_2": "'OLD'", "attack": "CAST(floor(p_retailprice) AS INT) - 1"}
+INCOMING_ENTITIES = {
+    **ENTITIES,
+    "entity_id": "p_partkey * 3",
+    "type_2": "CASE WHEN length(p_name) > 9 THEN p_brand END",
+}
+STORED_CONTESTS = {**CONTESTS, "winner_id": "CASE WHEN l_quantity >= 30 THEN l_partkey ELSE l_suppkey END"}
+
 # The same parts and lines as a careless source would send them: other column names,
 # text where numbers are due, combined and blank categories, unknown and missing ids.
 RAW_ENTITIES = {
     "id": """CASE WHEN p_size = 50 THEN 'x' WHEN p_size = 49 THEN concat(' ', CAST(p_partkey AS STRING), ' ')
         WHEN p_size = 47 THEN concat(CAST(p_partkey AS STRING), '.0')
+        WHEN p_size = 45 THEN concat(CAST(p_partkey AS STRING), '.5')
         WHEN p_size = 46 THEN NULL ELSE CAST(p_partkey AS STRING) END""",
     "name": "p_name",
     "Type 1": """CASE WHEN p_size < 10 THEN concat(p_type, '/', p_brand)
@@ -95,8 +106,17 @@ CONTEST_PAGE = """concat('{"combats":[', to_json(named_struct('first_pokemon', l
     'winner', CASE WHEN l_quantity >= 25 THEN l_partkey ELSE l_suppkey END)), ']}')"""
 
 
+# Declared, so that no job has to read file footers before a query can be planned.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def derive(df: DataFrame, expressions: dict[str, str]) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.functions.columns import truncate
+from duelframe.functions.columns import quoted, truncate
 from duelframe.operators.checks import not_negative
 from duelframe.operators.clean import category_parts
 from duelframe.operators.grouping import top_rows_per_group
@@ -85,16 +85,17 @@ def _texts(recs: DataFrame, fields: Mapping[str, Sequence[str]]) -> DataFrame:
     A record is decoded once, into a map of texts, however many spellings there are.
     """
     decoded = recs.withColumn("_texts", F.try_variant_get(F.col("rec"), "$", "map<string,string>"))
-    found = {
-        name: F.coalesce(*[F.try_element_at("_texts", F.lit(a)) for a in aliases])
-        for name, aliases in fields.items()
-    }
-    return decoded.select("page", "pos", "rec", *[c.alias(name) for name, c in found.items()])
+    found = []
+    for name, aliases in fields.items():
+        spelled = ", ".join(f"try_element_at(_texts, {quoted(a)})" for a in aliases)
+        found.append(F.expr(f"coalesce({spelled}) AS {name}"))
+    return decoded.select("page", "pos", "rec", *found)
 
 
 def _json_type(aliases: Sequence[str]) -> Column:
-    found = [F.try_variant_get(F.col("rec"), f"$['{a}']", "variant") for a in aliases]
-    return F.schema_of_variant(F.coalesce(*found))
+    places = [quoted(f"$['{a}']") for a in aliases]
+    found = ", ".join(f"try_variant_get(rec, {place}, 'variant')" for place in places)
+    return F.expr(f"schema_of_variant(coalesce({found}))")
 
 
 def _stat(name: str) -> Column:

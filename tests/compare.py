@@ -25,6 +25,7 @@ def session(cores: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call site per expression
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="duelframe-checkpoints-"))
         .getOrCreate()
     )

@@ -32,3 +32,11 @@ def no_broadcast(spark):
     yield
     for name in names:
         spark.conf.unset(name)
+
+
+@pytest.fixture
+def interpreted(spark):
+    """No whole-stage code for tiny literal frames, where compiling takes most of the time."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")

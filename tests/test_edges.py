@@ -20,6 +20,8 @@ from duelframe.sources import landing
 
 CONTESTS = "first_id bigint, second_id bigint, winner_id bigint"
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 
 def contests(spark, *rows):
     return spark.createDataFrame(list(rows), CONTESTS)

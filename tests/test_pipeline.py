@@ -10,6 +10,8 @@ from duelframe.schemas import CONTEST, ENTITY
 from duelframe.sources import landing, tables
 from duelframe.streaming import incremental
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 
 def page_frame(spark, *bodies):
     return spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies, 1)], landing.PAGE_SCHEMA)
