@@ -13,13 +13,13 @@ from duelframe.operators.metrics import outcome_counts, outcome_metrics
 from duelframe.operators.quality import quality_report
 from duelframe.operators.ranking import ranking, top_win_rate
 from duelframe.operators.team import diverse_top_n
-from duelframe.plans.pipeline import load_contests, load_entities, run_pipeline, stored_metrics
+from duelframe.plans.pipeline import load_contests, load_entities, run_pipeline, store_metrics, stored_metrics
 
 __all__ = [
     "ValidationError", "attribute_correlation", "attribute_profile", "best_by_category",
     "categories_long", "category_list", "category_win_rate", "clean_contests", "clean_entities",
     "correlation_matrix", "diverse_top_n", "influence", "influence_extremes", "influence_table",
     "load_contests", "load_entities", "outcome_counts", "outcome_metrics", "quality_report",
-    "ranking", "run_pipeline", "stored_metrics", "top_attribute", "top_correlations",
+    "ranking", "run_pipeline", "store_metrics", "stored_metrics", "top_attribute", "top_correlations",
     "top_n_by_category", "top_win_rate",
 ]

@@ -477,7 +477,7 @@ def load_job(spark, folder):
         contest_pages=bridge.contest_pages(spark, folder),
         max_id=None,
     )
-    found = pipeline.stored_metrics(spark, warehouse, max_id=None)
+    found = pipeline.store_metrics(spark, warehouse, max_id=None)
     return found.withColumn("weighted_score", F.round("weighted_score", 9))
 
 

@@ -107,6 +107,19 @@ def run_pipeline(
 def stored_metrics(
     spark: SparkSession, warehouse: str, *, max_id: int | None = MAX_ENTITY_ID, on_empty: str = "error"
 ) -> DataFrame:
-    """Metrics over the stored tables, the frame all reports start from."""
+    """Metrics over the stored tables, computed from the contests each time."""
     entities = clean_entities(tables.read_entities(spark, warehouse), max_id=max_id)
     return outcome_metrics(entities, tables.read_contests(spark, warehouse), on_empty=on_empty)
+
+
+def store_metrics(
+    spark: SparkSession, warehouse: str, *, max_id: int | None = MAX_ENTITY_ID, on_empty: str = "error"
+) -> DataFrame:
+    """Compute the metrics once and keep them as a table; reports then read a row per entity.
+
+    Run it after a load. All reports of a dashboard start from the frame it returns, so
+    the contests are read once and not once per report.
+    """
+    found = stored_metrics(spark, warehouse, max_id=max_id, on_empty=on_empty)
+    path = tables.publish_version(found, f"{warehouse}/metrics")
+    return spark.read.schema(found.schema).parquet(path)

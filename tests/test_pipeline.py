@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from duelframe import ValidationError, run_pipeline, stored_metrics
+from duelframe import ValidationError, run_pipeline, store_metrics, stored_metrics
 from duelframe.plans import pipeline
 from duelframe.schemas import CONTEST, ENTITY
 from duelframe.sources import landing, tables
@@ -50,6 +50,8 @@ def test_load_twice(spark, tmp_path):
     e, c = again.entity_report.collect()[0], again.contest_report.collect()[0]
     assert (e.inserted, e.updated, c.inserted, c.already_present) == (0, 3, 0, 2)
     assert sorted(tuple(r) for r in again.contests.collect()) == [(1, 2, 1), (2, 3, 2)]
+    kept = store_metrics(spark, warehouse)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, stored_metrics(spark, warehouse).collect()))
     found = {r.entity_id: (r.type_1, r.type_2, r.hp, r.total_battles, r.total_wins) for r in stored_metrics(spark, warehouse).collect()}
     assert found == {1: ("A", "B", 10, 1, 1), 2: ("A", "B", 20, 2, 1), 3: ("A", "B", 30, 1, 0)}
 
