@@ -15,7 +15,7 @@ from duelframe.functions.columns import clean_text, dtype, named, to_bool, to_in
 from duelframe.operators.checks import require_columns
 from duelframe.operators.clean import clean_contests, within_key_range
 from duelframe.operators.grouping import top_rows_per_group
-from duelframe.operators.metrics import _renamed_contests
+from duelframe.operators.metrics import keyed_contests
 from duelframe.schemas import (
     CONTEST_KEY, ENTITY, ENTITY_ID, FIRST_ID, MAX_ENTITY_ID, SECOND_ID, WINNER_ID,
 )
@@ -169,7 +169,7 @@ def batch_keys(
     are counted in the map tasks first, so a contest that makes up a third of the batch
     is a few rows by the time it is shuffled.
     """
-    c = _renamed_contests(contests, first_column, second_column, winner_column)
+    c = keyed_contests(contests, first_column, second_column, winner_column)
     valid = F.lit(True)
     for name in CONTEST_KEY:
         valid = valid & (F.col(name).isNotNull() if max_id is None else F.coalesce(F.col(name) <= max_id, F.lit(False)))

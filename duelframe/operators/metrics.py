@@ -13,7 +13,7 @@ from duelframe.operators.clean import clean_contests
 from duelframe.schemas import CONTEST_KEY, ENTITY_ID, FIRST_ID, METRIC_COLUMNS, SECOND_ID, WINNER_ID
 
 
-def _renamed_contests(
+def keyed_contests(
     contests: DataFrame, first_column: str, second_column: str, winner_column: str
 ) -> DataFrame:
     """Contests under the canonical names, whatever the caller's names are."""
@@ -37,7 +37,7 @@ def outcome_counts(
     aggregation in front of the shuffle leaves at most one row per id and task, so an
     entity that takes part in a third of all contests is no heavier than any other.
     """
-    pairs = _renamed_contests(contests, first_column, second_column, winner_column)
+    pairs = keyed_contests(contests, first_column, second_column, winner_column)
     roles = pairs.unpivot([], CONTEST_KEY, "role", ENTITY_ID).filter(F.col(ENTITY_ID).isNotNull())
     won = F.col("role") == WINNER_ID
     return roles.groupBy(ENTITY_ID).agg(

@@ -63,7 +63,7 @@ def total_counts(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _one_row(parts: list[DataFrame]) -> DataFrame:
+def side_by_side(parts: list[DataFrame]) -> DataFrame:
     """One-row frames side by side, by union and max, as a join would have no key."""
     merged = parts[0]
     for part in parts[1:]:
@@ -75,7 +75,7 @@ def quality_report(
     entities: DataFrame, contests: DataFrame, metrics: DataFrame, *, id_column: str = ENTITY_ID
 ) -> DataFrame:
     """The six checks as (check, result, status); no rows if a table is empty."""
-    row = _one_row([entity_key_counts(entities, id_column), winner_counts(contests), total_counts(metrics)])
+    row = side_by_side([entity_key_counts(entities, id_column), winner_counts(contests), total_counts(metrics)])
     checks = [
         (NULL_ID, "null_ids", "0"),
         (DUPLICATE_ID, "duplicate_ids", "0"),

@@ -238,7 +238,7 @@ BODIES = {
         CASE WHEN p_size = 47 THEN '{"results":[' ELSE '{"detail":"not found"}' END FROM part WHERE p_size BETWEEN 45 AND 47""",
     "detail_fetch": """SELECT page, pos, entity_id, hp FROM landed
         WHERE entity_id IN (SELECT CAST(entity_id AS VARCHAR) FROM old_ent)""",
-    "detail_misses": """SELECT CAST(entity_id AS VARCHAR) AS entity_id FROM ent
+    "detail_misses": """SELECT entity_id FROM ent
         WHERE CAST(entity_id AS VARCHAR) NOT IN (SELECT entity_id FROM landed)""",
     "detail_fallback": "SELECT entity_id FROM ent",
     "quality_report": _quality(

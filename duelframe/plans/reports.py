@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from duelframe.functions.columns import format_fixed
 from duelframe.operators import categories as cat
 from duelframe.operators import correlation as corr
 from duelframe.operators.checks import available
-from duelframe.operators.quality import _one_row
+from duelframe.operators.quality import side_by_side
 from duelframe.operators.team import diverse_top_n
 from duelframe.schemas import ENTITY_ID, METRIC_COLUMNS, WINNER_ID
 
@@ -26,7 +28,7 @@ def kpi_summary(
 ) -> DataFrame:
     """One row: total entities, contests and victories, and the top attribute with its r."""
     top = corr.top_attribute(correlations, default_label=default_label, default_r=default_r)
-    row = _one_row(
+    row = side_by_side(
         [
             entities.agg(F.count(F.lit(1)).alias("total_entities")),
             contests.agg(F.count(F.lit(1)).alias("total_contests"), F.count(WINNER_ID).alias("total_victories")),
@@ -36,9 +38,11 @@ def kpi_summary(
     return row.withColumn("top_attribute_r_text", format_fixed(F.col("top_attribute_r"), 2))
 
 
-def correlation_bars(correlations: DataFrame, metric: str = "win_rate") -> DataFrame:
-    """Bars of the correlation chart, weakest first."""
-    ranked = corr.influence(correlations, metric)
+def correlation_bars(
+    correlations: DataFrame, metric: str = "win_rate", labels: Mapping[str, str] = lb.STAT_LABELS
+) -> DataFrame:
+    """Bars of the correlation chart, weakest first; CORRELATION_LABELS are the shorter labels."""
+    ranked = corr.influence(correlations, metric, labels)
     return ranked.select(
         "label", "strength", "r", format_fixed(F.col("r"), 2).alias("r_text"), "tier"
     ).orderBy("strength", "label")

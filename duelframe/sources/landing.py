@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.functions.columns import quoted, truncate
+from duelframe.functions.columns import dtype, quoted, to_long, truncate
 from duelframe.operators.checks import not_negative
 from duelframe.operators.clean import category_parts
 from duelframe.operators.grouping import top_rows_per_group
@@ -140,18 +140,23 @@ def raw_contests(recs: DataFrame) -> DataFrame:
     return _texts(recs, {c: CONTEST_ALIASES[c] for c in CONTEST_KEY}).drop("rec")
 
 
+def _keys(df: DataFrame) -> DataFrame:
+    """The distinct numeric ids of a frame: (_key)."""
+    key = to_long(F.col(ENTITY_ID), dtype(df, ENTITY_ID)).alias("_key")
+    return df.select(key).filter(F.col("_key").isNotNull()).distinct()
+
+
 def details_for(ids: DataFrame, details: DataFrame) -> DataFrame:
     """One detail row per wanted id: the first one landed. Ids without one are left out."""
-    wanted = ids.select(F.col(ENTITY_ID).cast("string").alias(ENTITY_ID)).distinct()
-    first = top_rows_per_group(details, [ENTITY_ID], [F.col("page"), F.col("pos")], 1, "_first")
-    return first.drop("_first").join(wanted, ENTITY_ID, "left_semi").select(*details.columns)
+    keyed = details.withColumn("_key", to_long(F.col(ENTITY_ID), dtype(details, ENTITY_ID)))
+    first = top_rows_per_group(keyed, ["_key"], [F.col("page"), F.col("pos")], 1, "_first")
+    return first.join(_keys(ids), "_key", "left_semi").select(*details.columns)
 
 
 def missing_details(ids: DataFrame, details: DataFrame) -> DataFrame:
-    """Wanted ids for which no detail was landed."""
-    wanted = ids.select(F.col(ENTITY_ID).cast("string").alias(ENTITY_ID)).distinct()
-    wanted = wanted.filter(F.col(ENTITY_ID).isNotNull())
-    return wanted.join(details.select(ENTITY_ID).distinct(), ENTITY_ID, "left_anti")
+    """Wanted ids for which no detail was landed: (entity_id)."""
+    missing = _keys(ids).join(_keys(details), "_key", "left_anti")
+    return missing.withColumnRenamed("_key", ENTITY_ID)
 
 
 def details_or_listing(details: DataFrame, listing: DataFrame) -> DataFrame:

@@ -444,4 +444,4 @@ def test_details(spark):
     detail = landing.raw_entities(landing.records(landing.page_items(pages(spark, '[{"id":1,"hp":1},{"id":1,"hp":2}]', '[{"id":5}]'))))
     wanted = spark.createDataFrame([(1,), (1,), (2,)], "entity_id bigint")
     assert [(r.entity_id, r.hp) for r in landing.details_for(wanted, detail).collect()] == [("1", 1)]
-    assert column(landing.missing_details(wanted, detail), "entity_id") == ["2"]
+    assert column(landing.missing_details(wanted, detail), "entity_id") == [2]
