@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import packing
+from duelframe.llm import licences, packing, rules
 from duelframe.llm.common import ship, table
+from duelframe.llm.sql import ORACLE_SQL
 
 
 def op1_pack_nnls(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,9 +19,23 @@ def op1_pack_nnls(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "kind")
 
 
+def op5_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document, the base rules' verdict and that of its group's thresholds."""
+    ship(spark)
+    judged = rules.judge(table(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices of every document."""
+    ship(spark)
+    return licences.scan(table(spark, folder, "documents")).drop("spans", "expressions")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_nnls": op1_pack_nnls,
+    "op5_adaptive_rules": op5_adaptive_rules,
+    "op10_licences": op10_licences,
 }
 
-#: What DuckDB can express over the same tables.
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
