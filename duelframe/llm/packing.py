@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import functools
 import re
-import zlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import CACHE_WORDS, Cache, spread, stored, texts_of, vocabulary_file
+from duelframe.llm.common import Cache, spread, stored, texts_of, vocabulary_file
 
 WINDOW = 2048
 #: Tokens of a step in the histogram of lengths.
@@ -33,41 +33,39 @@ END_ID = 1
 ROWS_PER_BUCKET = 50_000
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(path: str):
-    """The tokenizer and its ids of blank-separated words, as little-endian 16- or 32-bit numbers."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    kind = "<u2" if tokenizer.get_vocab_size() < 1 << 16 else "<u4"
-
-    def whole(word: str) -> bytes:
-        return np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype=kind).tobytes()
-
-    return Cache(whole), kind
-
-
 #: Words of letters that keep their form under NFC, then marks that can't belong to a special token.
-_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-;=?@\[-`{}~]*)\Z")
+_LETTERS, _MARKS = "a-zß-öø-ÿ", r"!-&(-/:;=?@\[-`{}~"
+_PLAIN = re.compile(rf"([{_LETTERS}]+)([{_MARKS}]*)\Z")
 
 
 @functools.lru_cache(maxsize=2)
-def word_encoder(path: str):
-    """Cache from a word to the bytes of its ids, and the type of the ids.
+def word_encoder(path: str) -> tuple[Cache, str]:
+    """Cache from a word between blanks to the bytes of its ids, and the ids' type: 16 or 32 bits, little-endian.
 
     The tokenizer drops white space and never joins what it parts, so a text's ids are those of its words.
-    Letters and the marks after them are parted too, and are looked up one by one: most words differ
-    by case or marks alone.
+    It parts letters and the marks after them too; those go to the tokenizer's model one by one, since
+    most words differ by case or marks alone. All other words go through the whole tokenizer.
     """
-    parts, kind = _encoder(path)
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    kind = "<u2" if tokenizer.get_vocab_size() < 1 << 16 else "<u4"
+    alphabet = [chr(c) for c in range(33, 256) if re.fullmatch(f"[{_LETTERS}{_MARKS}]", chr(c))]
+    mapped = str.maketrans({c: "".join(p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in alphabet})
+    packed = struct.Struct("<H" if kind == "<u2" else "<I").pack
+
+    def part(piece: str) -> bytes:
+        return b"".join([packed(t.id) for t in tokenizer.model.tokenize(piece.translate(mapped))])
+
+    parts = Cache(part)
 
     def encode(word: str) -> bytes:
-        plain = _PLAIN.match(word.lower()) if not any("0" <= c <= "9" for c in word) else None
+        plain = _PLAIN.match(word.lower())
         if plain is None:
-            return parts.make(word)
+            return np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype=kind).tobytes()
         return parts[plain[1]] + parts[plain[2]] if plain[2] else parts[plain[1]]
 
-    return Cache(encode, CACHE_WORDS), kind
+    return Cache(encode), kind
 
 
 def tokenise(documents: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import licences, packing, rules
-from duelframe.llm.common import ship, table
+from duelframe.llm import factorisation, fingerprints, licences, packing, rules, toxicity
+from duelframe.llm.common import id_crc, ship, table
 from duelframe.llm.sql import ORACLE_SQL
 
 
@@ -19,6 +19,12 @@ def op1_pack_nnls(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "kind")
 
 
+def op2_locally_consistent(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    ship(spark)
+    return fingerprints.fingerprint(table(spark, folder, "documents"))
+
+
 def op5_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document, the base rules' verdict and that of its group's thresholds."""
     ship(spark)
@@ -26,6 +32,22 @@ def op5_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_factorisation(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    ship(spark)
+    documents = table(spark, folder, "documents")
+    model = factorisation.learn(documents, table(spark, folder, "labels"))
+    return factorisation.score(documents, model).withColumn("held_out", id_crc() % 5 == 0).select("doc_id", "held_out", "score", "predicted")
+
+
+def op9_multiple_instance(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    ship(spark)
+    documents = table(spark, folder, "documents")
+    model = toxicity.learn(documents, table(spark, folder, "labels"))
+    return toxicity.score(documents, model).withColumn("held_out", id_crc() % 4 == 2).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     """Licence notices of every document."""
     ship(spark)
@@ -34,7 +56,10 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_nnls": op1_pack_nnls,
+    "op2_locally_consistent": op2_locally_consistent,
     "op5_adaptive_rules": op5_adaptive_rules,
+    "op7_factorisation": op7_factorisation,
+    "op9_multiple_instance": op9_multiple_instance,
     "op10_licences": op10_licences,
 }
 
