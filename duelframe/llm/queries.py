@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import factorisation, fingerprints, licences, packing, rules, toxicity
+from duelframe.llm import factorisation, fingerprints, html_text, languages, licences, mixing, packing, rules, toxicity
 from duelframe.llm.common import id_crc, ship, table
 from duelframe.llm.sql import ORACLE_SQL
 
@@ -25,6 +25,21 @@ def op2_locally_consistent(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, folder, "documents"))
 
 
+def op3_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's places in the mix of all sources, one row per epoch."""
+    ship(spark)
+    documents = table(spark, folder, "documents").select("doc_id", "source", F.length("text").cast("long").alias("size"))
+    return mixing.mix(documents, size="size").drop("size")
+
+
+def op4_crf_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    ship(spark)
+    documents = table(spark, folder, "documents")
+    found = languages.predict(documents, languages.learn(documents))
+    return found.withColumn("held_out", id_crc() % 3 == 1).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document, the base rules' verdict and that of its group's thresholds."""
     ship(spark)
@@ -40,6 +55,13 @@ def op7_factorisation(spark: SparkSession, folder: str) -> DataFrame:
     return factorisation.score(documents, model).withColumn("held_out", id_crc() % 5 == 0).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_tag_path_ratios(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    ship(spark)
+    found = html_text.extract(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_multiple_instance(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document."""
     ship(spark)
@@ -57,8 +79,11 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_nnls": op1_pack_nnls,
     "op2_locally_consistent": op2_locally_consistent,
+    "op3_pfair_mix": op3_pfair_mix,
+    "op4_crf_language": op4_crf_language,
     "op5_adaptive_rules": op5_adaptive_rules,
     "op7_factorisation": op7_factorisation,
+    "op8_tag_path_ratios": op8_tag_path_ratios,
     "op9_multiple_instance": op9_multiple_instance,
     "op10_licences": op10_licences,
 }
