@@ -1,8 +1,61 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality rules, toxicity, near-duplicates, mixing and packing over `documents`.
 
-STAGES = []
+Each stage is a function of (spark, docs, sf_dir). All but the last return the columns of `docs`, whatever
+they are; the next stage reads what the one before has written.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from duelframe.llm import duplicates, mixing, packing, rules, toxicity
+from duelframe.llm.common import ship, stored, table
+
+#: Texts that score less are kept. Long clean texts add up many small scores, so it is not lower.
+TOXIC = 0.5
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the thresholds of their language and source."""
+    ship(spark)
+    return rules.keep(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model of the labelled ones among them doesn't find toxic."""
+    ship(spark)
+    return toxicity.keep(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")), TOXIC)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: the one with the smallest id."""
+    ship(spark)
+    return duplicates.one_of_each(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the order of the mix; those of sources that weigh more than their size come again."""
+    ship(spark)
+    order = ["slot", "place", "doc_id"]
+    return mixing.mix(docs).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 tokens."""
+    ship(spark)
+    pieces = packing.pack(docs)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "kind")
+
+
+STAGES = [("quality", quality), ("clean", clean), ("distinct", distinct), ("mixed", mixed), ("packed", packed)]
+
+#: Models and cut texts: SQL can't express these stages.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

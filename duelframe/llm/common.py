@@ -78,7 +78,7 @@ def bounded_sample(rows: DataFrame, label: str, most: int, key: str = "doc_id")
     found = {r[label]: r["_n"] for r in counts.collect()}  # one row per label
     kept = None
     for value, n in found.items():
-        limit = int(min(1.0, (1.2 * most + 50) / n) * ((1 << 63) - 1))
+        limit = min((1 << 63) - 1, int((1.2 * most + 50) / n * (1 << 63)))
         part = rows.where((F.col(label) == F.lit(value)) & (F.col("_h") <= F.lit(limit)))
         if n > most:
             part = part.orderBy("_h", key).limit(most)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import factorisation, fingerprints, html_text, languages, licences, mixing, packing, rules, toxicity
+from duelframe.llm import duplicates, factorisation, fingerprints, html_text, languages, licences, mixing, packing, rules, toxicity
 from duelframe.llm.common import id_crc, ship, table
 from duelframe.llm.sql import ORACLE_SQL
 
@@ -47,6 +47,12 @@ def op5_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate class of every document, and whether it stands for it."""
+    ship(spark)
+    return duplicates.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op7_factorisation(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document."""
     ship(spark)
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pfair_mix": op3_pfair_mix,
     "op4_crf_language": op4_crf_language,
     "op5_adaptive_rules": op5_adaptive_rules,
+    "op6_dart_minhash": op6_dart_minhash,
     "op7_factorisation": op7_factorisation,
     "op8_tag_path_ratios": op8_tag_path_ratios,
     "op9_multiple_instance": op9_multiple_instance,

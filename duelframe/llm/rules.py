@@ -11,8 +11,6 @@ the thresholds of their group and filtered.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -75,17 +73,15 @@ def count_text(text: str) -> tuple[int, ...]:
     )
 
 
-def text_counts(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the numbers of COUNTS of each document; a null text has no words."""
-    kind = documents.schema["doc_id"].dataType.simpleString()
+def counts_of(texts: pd.Series) -> pd.DataFrame:
+    """The numbers of COUNTS of each text; a null text has no words."""
+    return pd.DataFrame([count_text(x) for x in texts_of(texts)], columns=COUNTS, dtype="int64")
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            counts = pd.DataFrame([count_text(x) for x in texts_of(frame["text"])], columns=COUNTS, dtype="int64")
-            yield pd.concat([frame[["doc_id", "lang", "source"]].reset_index(drop=True), counts], axis=1)
 
-    rows = documents.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), "text")
-    return rows.mapInPandas(count, f"doc_id {kind}, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
+def text_counts(documents: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, lang, source, the numbers of COUNTS of each document, and the columns of `more`."""
+    rows = documents.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.pandas_udf(counts_of, ", ".join(f"{c} long" for c in COUNTS))("text").alias("counts"), *more)
+    return rows.select("*", "counts.*").drop("counts")
 
 
 def base_failed() -> Column:
@@ -144,15 +140,8 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     return joined.select(F.col("lang").alias("group_lang"), F.col("source").alias("group_source"), *[pick(n).alias(n) for n in names])
 
 
-def judge(documents: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """doc_id, lang, source, COUNTS, the ratios, `base_failed`, `kept` for each row of `documents`.
-
-    Null and empty texts have no words and fail the base rules. A null language or source is a group like
-    any other. Repeated rows are judged one by one. Without any text that passes the base rules there is no
-    sketch and every text fails. Other columns of `documents` are not read.
-    """
-    counts = stored(text_counts(documents), "counts")
-    found = thresholds(counts, min_group)
+def _verdicts(counts: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of `counts` with their ratios, joined with their group's thresholds, and both verdicts."""
     rows = counts.join(found, counts["lang"].eqNullSafe(F.col("group_lang")) & counts["source"].eqNullSafe(F.col("group_source")), "left")
     rows = rows.withColumns({f"{n}_ratio": ratio(n) for n in RATIOS})
     beyond = F.lit(False)
@@ -161,5 +150,23 @@ def judge(documents: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
         if below is not None:
             beyond = beyond | (F.col(f"{name}_ratio") < F.col(f"{name}_low"))
     rows = rows.withColumn("base_failed", base_failed())
-    rows = rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(beyond, F.lit(False)))
+    return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(beyond, F.lit(False)))
+
+
+def judge(documents: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+    """doc_id, lang, source, COUNTS, the ratios, `base_failed`, `kept` for each row of `documents`.
+
+    Null and empty texts have no words and fail the base rules. A null language or source is a group like
+    any other. Repeated rows are judged one by one. Without any text that passes the base rules there is no
+    sketch and every text fails. Other columns of `documents` are not read.
+    """
+    counts = stored(text_counts(documents), "counts")
+    rows = _verdicts(counts, thresholds(counts, min_group))
     return rows.select("doc_id", "lang", "source", *COUNTS, *[f"{n}_ratio" for n in RATIOS], "base_failed", "kept")
+
+
+def keep(documents: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+    """The rows of `documents` that pass, with all their columns. Texts are counted twice and never shuffled."""
+    found = thresholds(stored(text_counts(documents), "counts"), min_group)
+    rows = text_counts(documents, F.struct(*documents.columns).alias("d"))
+    return _verdicts(rows, found).where("kept").select("d.*")

@@ -196,3 +196,16 @@ def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     schema = f"doc_id {kind}, score double, predicted int, n_sentences long, offending array<struct<start long, end long, score double>>"
     return documents.select("doc_id", F.col("text")).mapInPandas(run, schema)
+
+
+def keep(documents: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The rows of `documents` that score below `threshold`, with all their columns."""
+
+    @F.pandas_udf("double")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache = Cache(model.coded)
+        for texts in batches:
+            yield pd.Series([score_text(x, cache, model.bias)[0] for x in texts_of(texts)], dtype="float64")
+
+    rows = documents.select(F.struct(*documents.columns).alias("d"), scores("text").alias("score"))
+    return rows.where(F.col("score") < threshold).select("d.*")
