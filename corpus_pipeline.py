@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from duelframe.llm import duplicates, mixing, packing, rules, toxicity
 from duelframe.llm.common import ship, stored, table
 
-#: Texts that score less are kept. Long clean texts add up many small scores, so it is not lower.
-TOXIC = 0.5
+#: Texts that score less are kept.
+TOXIC = toxicity.THRESHOLD
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the order of the mix; those of sources that weigh more than their size come again."""
     ship(spark)
     order = ["slot", "place", "doc_id"]
-    return mixing.mix(docs).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    whole = docs.select("doc_id", "source", F.length("text").alias("size"), F.struct(*docs.columns).alias("whole"))
+    return mixing.mix(whole, size="size").repartitionByRange(*order).sortWithinPartitions(*order).select("whole.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

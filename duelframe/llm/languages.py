@@ -230,13 +230,15 @@ class Labeller:
 
 def predict_texts(labeller: Labeller, texts: list[str]) -> tuple[list[str], list[float]]:
     """Language and its share of the words of each text."""
-    p, owner = labeller.label(texts)
     k = len(labeller.model.labels)
-    share = np.stack([np.bincount(owner, p[:, j], len(texts)) for j in range(k)], 1) if k else np.zeros((len(texts), 1))
+    if not k:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+    p, owner = labeller.label(texts)
+    share = np.stack([np.bincount(owner, p[:, j], len(texts)) for j in range(k)], 1)
     n = np.bincount(owner, minlength=len(texts))
     best = share.argmax(1)
-    langs = [labeller.model.labels[b] if c and k else UNKNOWN for b, c in zip(best, n, strict=True)]
-    return langs, [float(min(1.0, share[i, b] / c)) if c and k else 0.0 for i, (b, c) in enumerate(zip(best, n, strict=True))]
+    langs = [labeller.model.labels[b] if c else UNKNOWN for b, c in zip(best, n, strict=True)]
+    return langs, [float(min(1.0, share[i, b] / c)) if c else 0.0 for i, (b, c) in enumerate(zip(best, n, strict=True))]
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:

@@ -23,7 +23,9 @@ SAMPLE = 2000
 THRESHOLD = 0.3
 #: A sentence with at least this score is reported.
 SENTENCE_THRESHOLD = 0.5
-ROUNDS = 250
+ROUNDS = 400
+#: How much more the weights of short beginnings are pulled to 0: clean words share them.
+PULL = {3: 6.0, 4: 2.0}
 _ENDS = (".", "!", "?")
 _STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -120,9 +122,10 @@ def fit(sample: list[tuple[str, int]], rounds: int = ROUNDS, rate: float = 0.1,
     pw, pf = pw[number[pf] >= 0], number[pf][number[pf] >= 0]
     told = np.isin(word, pw)
     word, sent = word[told], sent[told]
+    pull = np.array([PULL.get(n, 1.0) for n, _ in names])
     theta, bias = np.zeros(len(names)), -4.0
     m, v, mb, vb = np.zeros_like(theta), np.zeros_like(theta), 0.0, 0.0
-    weight = np.where(labels == 1, 0.25 / labels.sum(), 0.75 / (1 - labels).sum())
+    weight = np.where(labels == 1, 0.1 / labels.sum(), 0.9 / (1 - labels).sum())  # about as rare as they are
     for step in range(1, rounds + 1):
         value = np.bincount(pw, theta[pf], n_words)
         z = bias + np.bincount(sent, value[word], base)
@@ -137,7 +140,7 @@ def fit(sample: list[tuple[str, int]], rounds: int = ROUNDS, rate: float = 0.1,
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         a, b = 1 - 0.9**step, 1 - 0.99**step
         theta -= rate * (m / a) / (np.sqrt(v / b) + 1e-6)
-        theta = np.maximum(0, theta - shrink)
+        theta = np.maximum(0, theta - shrink * pull)
         bias -= rate * (mb / a) / (np.sqrt(vb / b) + 1e-6)
     weights: dict[int, dict[str, float]] = {}
     for i, (n, name) in enumerate(names):
