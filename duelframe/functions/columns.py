@@ -150,32 +150,16 @@ def round_to(c: Column, digits: int) -> Column:
 
 
 def format_fixed(c: Column, digits: int, suffix: str = "") -> Column:
-    """Text with a fixed number of decimals, rounded from the exact binary value.
+    """Text with a fixed number of decimals, rounded half to even from the exact binary value.
 
-    Spark's format_string rounds the printed digits half up, so 3.125 prints as 3.13
-    and 1.115 (which is a little less than it looks) as 1.12. Here the product with
-    the power of ten is split into its rounded value and its exact error, so that a
-    real tie goes to even and an apparent one to its true side.
+    With a pattern, format_number rounds as printf does and takes numbers of any size; with a number of
+    digits it would group thousands. NaN counts as missing, here as elsewhere.
     """
-    scale = F.lit(float(10**digits))
-    x = F.abs(c.cast("double"))
-    spread = x * F.lit(134217729.0)  # 2**27 + 1: splits a double into two 26-bit halves
-    high = spread - (spread - x)
-    low = x - high
-    product = x * scale
-    error = (high * scale - product) + low * scale
-    base = F.floor(product)
-    rest = product - base
-    tie_up = (error > 0) | ((error == 0) & (base % 2 == 1))
-    up = (rest > 0.5) | ((rest == 0.5) & tie_up)
-    units = base + F.when(up, F.lit(1)).otherwise(F.lit(0))
-    power = F.lit(10**digits)
-    whole = F.floor(units / power).cast("string")
-    decimals = F.lpad((units % power).cast("string"), digits, "0")
-    sign = F.when(c < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, whole, F.lit("."), decimals, F.lit(suffix))
+    x = c.cast("double")
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.concat(F.call_function("format_number", F.when(~F.isnan(x), x), F.lit(pattern)), F.lit(suffix))
 
 
 def truncate(c: Column, limit: int = 500) -> Column:
-    """Text for a log or a quarantine table, cut with an ellipsis."""
+    """Text for a log or a preview, cut with an ellipsis."""
     return F.when(F.length(c) > limit, F.concat(F.left(c, F.lit(limit)), F.lit("..."))).otherwise(c)

@@ -19,16 +19,6 @@ STAT_LABELS = {
     "speed": "Velocidade",
 }
 
-CORRELATION_LABELS = {
-    "hp": "HP",
-    "attack": "Ataque",
-    "defense": "Defesa",
-    "sp_attack": "Ataque Esp.",
-    "sp_defense": "Defesa Esp.",
-    "speed": "Velocidade",
-    "win_rate": "Win Rate",
-}
-
 PROFILE_LABELS = {
     "attack": "Ataque",
     "defense": "Defesa",

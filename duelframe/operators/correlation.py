@@ -21,12 +21,11 @@ def _numeric(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def _pairs(metrics: DataFrame, stats: list[str], outcomes: list[str]) -> DataFrame:
-    """One row with r_i_j and n_i_j for attribute i and outcome j.
+    """(i, stat, j, metric, r, n) for attribute i and outcome j, a row for every pair also without input.
 
-    Each row is unpivoted to its attribute/outcome pairs and aggregated by pair. That
-    keeps the generated code small, so it is compiled as one stage; a single aggregate
-    with all pairs side by side has too many buffers for that and is several times
-    slower. Only one row per pair and task is shuffled.
+    Each row is unpivoted to its attribute/outcome pairs and aggregated by pair: one compiled stage, of
+    which one row per pair and task is shuffled. The result stays long and is joined to the pairs of names,
+    so that nothing in the plan grows with the number of pairs.
 
     r uses rows where both are present and is NULL for a constant column, where the
     built-in corr divides by zero and raises under ANSI mode.
@@ -48,13 +47,12 @@ def _pairs(metrics: DataFrame, stats: list[str], outcomes: list[str]) -> DataFra
     found = pairs.groupBy("stat", "metric").agg(
         clip(F.try_divide(F.covar_pop("x", "y"), spread), -1.0, 1.0).alias("r"), F.count("x").alias("n")
     )
-    cells = []
-    for i in range(len(stats)):
-        for j in range(len(outcomes)):
-            here = f"stat = 's{i}' AND metric = 'm{j}'"
-            cells.append(F.expr(f"max(r) FILTER (WHERE {here}) AS r_{i}_{j}"))
-            cells.append(F.expr(f"coalesce(max(n) FILTER (WHERE {here}), 0) AS n_{i}_{j}"))
-    return found.agg(*cells)
+    found = found.withColumnsRenamed({"stat": "_s", "metric": "_m"})
+    names = metrics.sparkSession.range(1).select(F.posexplode(F.array(*map(F.lit, stats))).alias("i", "stat"))
+    names = names.select("*", F.posexplode(F.array(*map(F.lit, outcomes))).alias("j", "metric"))
+    names = names.withColumns({"_s": F.concat(F.lit("s"), "i"), "_m": F.concat(F.lit("m"), "j")})
+    joined = names.join(found, ["_s", "_m"], "left")
+    return joined.select("i", "stat", "j", "metric", "r", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def attribute_correlation(
@@ -64,13 +62,7 @@ def attribute_correlation(
     stat_columns: Sequence[str] = STAT_COLUMNS,
 ) -> DataFrame:
     """Pearson r and pair count for every attribute and outcome: (stat, metric, r, n)."""
-    stats, outcomes = list(stat_columns), list(metric_columns)
-    rows = [
-        (quoted(s), quoted(m), f"r_{i}_{j}", f"n_{i}_{j}")
-        for i, s in enumerate(stats)
-        for j, m in enumerate(outcomes)
-    ]
-    return _pairs(metrics, stats, outcomes).select(stacked(rows, ["stat", "metric", "r", "n"]))
+    return _pairs(metrics, list(stat_columns), list(metric_columns)).select("stat", "metric", "r", "n")
 
 
 def correlation_matrix(
@@ -80,9 +72,9 @@ def correlation_matrix(
     stat_columns: Sequence[str] = STAT_COLUMNS,
 ) -> DataFrame:
     """The same correlations as a matrix: one row per attribute, one column per outcome."""
-    stats, outcomes = list(stat_columns), list(metric_columns)
-    rows = [(quoted(s), *[f"r_{i}_{j}" for j in range(len(outcomes))]) for i, s in enumerate(stats)]
-    return _pairs(metrics, stats, outcomes).select(stacked(rows, ["stat", *outcomes]))
+    outcomes = list(metric_columns)
+    pairs = _pairs(metrics, list(stat_columns), outcomes)
+    return pairs.groupBy("i", "stat").pivot("metric", outcomes).agg(F.first("r")).drop("i")
 
 
 def influence(

@@ -16,6 +16,7 @@ NULL_WINNER = "winner nulo"
 OUTSIDE_WINNER = "winner fora do par"
 SUM_BATTLES = "soma total_battles"
 SUM_WINS = "soma total_wins"
+# --- end of fixed values ---
 
 
 def _sum(c: Column) -> Column:
