@@ -17,7 +17,7 @@ from duelframe.functions.columns import (
 )
 from duelframe.operators.checks import require_rows
 from duelframe.schemas import (
-    CONTEST_ALIASES, CONTEST_KEY, ENTITY_ALIASES, ENTITY_ID, MAX_ENTITY_ID,
+    CONTEST_ALIASES, CONTEST_KEY, ENTITY_ALIASES, ENTITY_ID,
 )
 
 
@@ -91,7 +91,7 @@ def coerce_flag(df: DataFrame, column: str = "legendary") -> DataFrame:
 
 
 def within_key_range(
-    df: DataFrame, columns: Sequence[str] = (ENTITY_ID,), max_id: int | None = MAX_ENTITY_ID
+    df: DataFrame, columns: Sequence[str] = (ENTITY_ID,), max_id: int | None = None
 ) -> DataFrame:
     """Keep rows whose keys are all numeric and at most ``max_id``; None only asks for a number."""
     for name in columns:
@@ -107,7 +107,7 @@ def clean_entities(
     df: DataFrame,
     *,
     legendary_column: str = "legendary",
-    max_id: int | None = MAX_ENTITY_ID,
+    max_id: int | None = None,
     require_input: bool = False,
 ) -> DataFrame:
     """Canonical column names, split categories, coerced flag and generation, keys in range."""

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from duelframe.functions.columns import clean_text, dtype, named, to_bool, to_int, to_long
 from duelframe.operators.checks import require_columns
-from duelframe.operators.clean import clean_contests, within_key_range
+from duelframe.operators.clean import within_key_range
 from duelframe.operators.grouping import top_rows_per_group
 from duelframe.operators.metrics import keyed_contests
 from duelframe.schemas import (
-    CONTEST_KEY, ENTITY, ENTITY_ID, FIRST_ID, MAX_ENTITY_ID, SECOND_ID, WINNER_ID,
+    CONTEST_KEY, ENTITY, ENTITY_ID, FIRST_ID, SECOND_ID, WINNER_ID,
 )
 
 
@@ -25,7 +25,7 @@ def conform_entities(
     df: DataFrame,
     *,
     columns: dict[str, str] | None = None,
-    max_id: int | None = MAX_ENTITY_ID,
+    max_id: int | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rows in the stored entity schema; columns the input lacks are NULL.
@@ -54,7 +54,13 @@ def conform_entities(
             value = to_int(c, t)
         out.append(value.alias(field.name))
     conformed = kept.select(*out, *keep)
-    return conformed.filter(F.col(ENTITY_ID).isNotNull())
+    return conformed.filter(F.col(ENTITY_ID).isNotNull() & F.col("name").isNotNull())
+
+
+def unnamed_entities(df: DataFrame, *, max_id: int | None = None) -> DataFrame:
+    """Rows of the canonical columns that have a key but no name, which the stored table must have."""
+    key = to_long(named(ENTITY_ID), dtype(df, ENTITY_ID))
+    return within_key_range(df, [ENTITY_ID], max_id).filter(key.isNotNull() & F.col("name").isNull())
 
 
 def last_per_key(df: DataFrame, ordinal: Sequence[str] = (), key: str = ENTITY_ID) -> DataFrame:
@@ -87,29 +93,28 @@ def upsert_entities(stored: DataFrame, incoming: DataFrame, *, partial: bool = F
 
     ``incoming`` has one row per key (see last_per_key). A replaced row is replaced
     whole, missing values included; ``partial=True`` keeps the stored value where the
-    incoming one is NULL. A small batch is broadcast by Catalyst's own size estimate,
-    so the stored table is then rewritten without being shuffled.
+    incoming one is NULL. Both inputs are read once and meet in one aggregation by key.
     """
     names = [f.name for f in ENTITY.fields]
-    incoming = incoming.select(*names)
-    if not partial:
-        kept = stored.select(*names).join(incoming.select(ENTITY_ID), ENTITY_ID, "left_anti")
-        return kept.unionByName(incoming)
-    update = incoming.select(*[F.col(c).alias(c if c == ENTITY_ID else f"_{c}") for c in names])
-    merged = stored.select(*names).join(update, ENTITY_ID, "left").select(
-        ENTITY_ID, *[F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) for c in names if c != ENTITY_ID]
-    )
-    return merged.unionByName(new_entities(incoming, stored))
+    both = stored.select(*names, F.lit(0).alias("_new")).unionByName(incoming.select(*names, F.lit(1).alias("_new")))
+    old, new = (lambda c: F.max(F.when(F.col("_new") == 0, F.col(c)))), (lambda c: F.max(F.when(F.col("_new") == 1, F.col(c))))
+    replaced = F.max("_new") == 1
+    value = (lambda c: F.coalesce(new(c), old(c))) if partial else (lambda c: F.when(replaced, new(c)).otherwise(old(c)))
+    merged = both.groupBy(ENTITY_ID).agg(*[value(c).alias(c) for c in names if c != ENTITY_ID])
+    return merged.select(*names)
 
 
-def entity_load_report(raw: DataFrame, stored: DataFrame, *, max_id: int | None = MAX_ENTITY_ID) -> DataFrame:
-    """One row: raw, out_of_range, source_duplicates, inserted, updated.
+def entity_load_report(raw: DataFrame, stored: DataFrame, *, max_id: int | None = None) -> DataFrame:
+    """One row: raw, out_of_range, unnamed, source_duplicates, inserted, updated.
 
     Rows are counted per key before the join, so the join sees one row per key.
     """
     c = to_long(named(ENTITY_ID), dtype(raw, ENTITY_ID))
-    valid = c.isNotNull() if max_id is None else c <= max_id
-    per_key = raw.groupBy(F.when(valid, c).alias(ENTITY_ID)).agg(F.count(F.lit(1)).alias("copies"))
+    valid = F.coalesce(c.isNotNull() if max_id is None else c <= max_id, F.lit(False))
+    has_name = F.col("name").isNotNull() if "name" in raw.columns else F.lit(False)
+    per_key = raw.groupBy(F.when(valid & has_name, c).alias(ENTITY_ID)).agg(
+        F.count(F.lit(1)).alias("copies"), F.count_if(~valid).alias("invalid"), F.count_if(valid & ~has_name).alias("unnamed")
+    )
     marked = per_key.join(
         stored.select(ENTITY_ID).distinct().withColumn("is_stored", F.lit(True)), ENTITY_ID, "left"
     )
@@ -117,13 +122,18 @@ def entity_load_report(raw: DataFrame, stored: DataFrame, *, max_id: int | None
     copies = F.col("copies")
     return marked.agg(
         _total(copies).alias("raw"),
-        _total(F.when(~has_key, copies)).alias("out_of_range"),
+        _total(F.col("invalid")).alias("out_of_range"),
+        _total(F.col("unnamed")).alias("unnamed"),
         _total(F.when(has_key, copies - 1)).alias("source_duplicates"),
         F.count_if(has_key & ~is_stored).alias("inserted"),
         F.count_if(has_key & is_stored).alias("updated"),
     )
 
 
+#: Copies of a contest that one row is repeated to at once.
+REPEATS = 10_000
+
+
 def _total(c: Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
@@ -133,17 +143,29 @@ def distinct_contests(contests: DataFrame) -> DataFrame:
     return contests.select(*CONTEST_KEY).dropDuplicates(CONTEST_KEY)
 
 
+def _checked(keys: DataFrame, entities: DataFrame) -> DataFrame:
+    """Distinct keys, a row for each different id in them: (key, copies, unknown).
+
+    All ids are looked up in one join. Keys are distinct by then, and Spark splits the partition of
+    an id that very many of them name.
+    """
+    ids = keys.select(*CONTEST_KEY, "copies", F.explode(F.array_distinct(F.array(*CONTEST_KEY))).alias(ENTITY_ID))
+    known = entities.select(ENTITY_ID, F.lit(True).alias("_known"))
+    return ids.join(known, ENTITY_ID, "left").select(*CONTEST_KEY, "copies", F.col("_known").isNull().alias("unknown"))
+
+
 def known_contests(contests: DataFrame, entities: DataFrame) -> DataFrame:
-    """Contests whose three ids are all stored entities.
+    """Contests whose three ids are all stored entities, as often as they occur.
 
-    Three semi joins; Catalyst broadcasts the ids while they are small by its estimate
-    and otherwise sorts and merges, with skewed contest keys split at run time.
+    They are looked up once per distinct contest and repeated afterwards, in steps, so that no row
+    holds a long list.
     """
-    out = contests
-    for column in CONTEST_KEY:
-        ids = entities.select(F.col(ENTITY_ID).alias(column))
-        out = out.join(ids, column, "left_semi")
-    return out.select(*CONTEST_KEY)
+    checked = _checked(batch_keys(contests), entities).groupBy(*CONTEST_KEY).agg(F.max("copies").alias("copies"), F.max("unknown").alias("unknown"))
+    kept = checked.filter(~F.col("unknown"))
+    step = F.lit(REPEATS)
+    blocks = kept.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / step))))
+    here = F.least(step, F.col("copies") - F.col("_block") * step)
+    return blocks.select(*CONTEST_KEY, F.explode(F.sequence(F.lit(1).cast("bigint"), here)).alias("_copy")).select(*CONTEST_KEY)
 
 
 def existing_contests(stored: DataFrame, keys: DataFrame) -> DataFrame:
@@ -158,7 +180,7 @@ def existing_contests(stored: DataFrame, keys: DataFrame) -> DataFrame:
 def batch_keys(
     contests: DataFrame,
     *,
-    max_id: int | None = MAX_ENTITY_ID,
+    max_id: int | None = None,
     first_column: str = FIRST_ID,
     second_column: str = SECOND_ID,
     winner_column: str = WINNER_ID,
@@ -188,31 +210,32 @@ def unknown_ids(keys: DataFrame, entities: DataFrame) -> DataFrame:
     return mentioned.join(entities.select(ENTITY_ID), ENTITY_ID, "left_anti")
 
 
-def classify_contests(keys: DataFrame, unknown: DataFrame, existing: DataFrame) -> DataFrame:
+def with_waiting(keys: DataFrame, waiting: DataFrame) -> DataFrame:
+    """The keys of a batch and those that wait for their entities; the latter count as no copy of the batch."""
+    both = keys.select(*CONTEST_KEY, "copies").unionByName(waiting.select(*CONTEST_KEY, F.lit(0).cast("bigint").alias("copies")))
+    return both.groupBy(*CONTEST_KEY).agg(F.sum("copies").alias("copies"))
+
+
+def classify_contests(keys: DataFrame, entities: DataFrame, existing: DataFrame) -> DataFrame:
     """Give every key of a batch its load status.
 
-    ``keys`` comes from batch_keys and ``unknown`` from unknown_ids; ``existing`` is the
-    stored table or the part of it that existing_contests found. Status is one of
-    out_of_range, unknown_entity, present and new. The rows to insert and the load report
-    are both read off this one frame.
+    ``keys`` comes from batch_keys; ``existing`` is the stored table or the part of it that
+    existing_contests found. Status is one of out_of_range, unknown_entity, present and new. The rows
+    to insert and the load report are both read off this one frame.
 
-    Looking for the few unknown ids, and not for the many known ones, is what lets the
-    three lookups be broadcast joins however many entities are stored.
+    One join looks up all ids; whether one is unknown and whether the contest is stored is then
+    settled in one aggregation by key, to which the stored contests come as marked rows.
     """
-    out = keys
-    for column in CONTEST_KEY:
-        out = out.join(
-            unknown.select(F.col(ENTITY_ID).alias(column), F.lit(True).alias(f"_{column}")), column, "left"
-        )
-    there = existing.select(*CONTEST_KEY).distinct().withColumn("_there", F.lit(True))
-    out = out.join(there, CONTEST_KEY, "left")
+    there = existing.select(*CONTEST_KEY, F.lit(None).cast("bigint").alias("copies"), F.lit(False).alias("unknown"), F.lit(True).alias("_there"))
+    marks = _checked(keys, entities).withColumn("_there", F.lit(False)).unionByName(there)
+    folded = marks.groupBy(*CONTEST_KEY).agg(*[F.max(c).alias(c) for c in ("copies", "unknown", "_there")])
     status = (
         F.when(F.col(FIRST_ID).isNull(), F.lit("out_of_range"))
-        .when(F.coalesce(*[F.col(f"_{c}") for c in CONTEST_KEY]), F.lit("unknown_entity"))
+        .when(F.col("unknown"), F.lit("unknown_entity"))
         .when(F.col("_there"), F.lit("present"))
         .otherwise(F.lit("new"))
     )
-    return out.select(*CONTEST_KEY, "copies", status.alias("status"))
+    return folded.filter(F.col("copies").isNotNull()).select(*CONTEST_KEY, "copies", status.alias("status"))
 
 
 def contests_to_insert(classified: DataFrame) -> DataFrame:
@@ -231,19 +254,13 @@ def contest_load_report(classified: DataFrame) -> DataFrame:
         _total(copies).alias("raw"),
         _total(F.when(status == "out_of_range", copies)).alias("out_of_range"),
         _total(F.when(status == "unknown_entity", copies)).alias("unknown_entity"),
-        _total(F.when(valid, copies - 1)).alias("source_duplicates"),
+        _total(F.when(valid, F.greatest(copies - 1, F.lit(0)))).alias("source_duplicates"),
         F.count_if(valid).alias("unique_valid"),
         F.count_if(status == "present").alias("already_present"),
         F.count_if(status == "new").alias("inserted"),
     )
 
 
-def append_contests(stored: DataFrame, incoming: DataFrame, entities: DataFrame) -> DataFrame:
-    """The rows of ``incoming`` that an idempotent append adds to ``stored``."""
-    valid = distinct_contests(known_contests(clean_contests(incoming), entities))
-    return valid.join(stored.select(*CONTEST_KEY), CONTEST_KEY, "left_anti")
-
-
 def delete_by_key(stored: DataFrame, keys: DataFrame, on: Sequence[str] = (ENTITY_ID,)) -> DataFrame:
     """The stored table without the rows whose key is listed."""
     on = list(on)

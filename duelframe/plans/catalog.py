@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duelframe.operators import categories as cat
 from duelframe.operators import clean, load, quality, ranking, team
@@ -16,7 +17,7 @@ from duelframe.operators import correlation as corr
 from duelframe.operators import metrics as met
 from duelframe.plans import pipeline, reports
 from duelframe.sources import bridge, landing, tables
-from duelframe.schemas import CONTEST_KEY, ENTITY_ID
+from duelframe.schemas import CONTEST_KEY, ENTITY_ID, MAX_ENTITY_ID
 from duelframe.functions import columns as fn
 from duelframe.streaming import incremental
 
@@ -194,7 +195,7 @@ def plain_top_n(spark, folder):
 
 @query
 def clean_entities(spark, folder):
-    return clean.clean_entities(bridge.raw_entities(spark, folder), max_id=None)
+    return clean.clean_entities(bridge.raw_entities(spark, folder))
 
 
 @query
@@ -207,12 +208,12 @@ def split_types_column(spark, folder):
 @query
 def coerce_flags(spark, folder):
     flags = bridge.raw_entities(spark, folder).select("name", "legendary")
-    return clean.coerce_flag(flags).groupBy("legendary").agg(F.count("name").alias("n"))
+    return clean.coerce_flag(flags).groupBy("legendary").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def key_range_filter(spark, folder):
-    return clean.within_key_range(bridge.entities(spark, folder))
+    return clean.within_key_range(bridge.entities(spark, folder), max_id=MAX_ENTITY_ID)
 
 
 @query
@@ -238,8 +239,8 @@ def clean_contests(spark, folder):
 
 @query
 def conform_entities(spark, folder):
-    cleaned = clean.clean_entities(bridge.raw_entities(spark, folder), max_id=None)
-    return load.conform_entities(cleaned, max_id=None)
+    cleaned = clean.clean_entities(bridge.raw_entities(spark, folder))
+    return load.conform_entities(cleaned)
 
 
 @query
@@ -276,7 +277,7 @@ def last_per_key(spark, folder):
 @query
 def entity_load_report(spark, folder):
     raw = clean.resolve_aliases(bridge.raw_entities(spark, folder), clean.ENTITY_ALIASES)
-    return load.entity_load_report(raw, stored_entities(spark, folder), max_id=None)
+    return load.entity_load_report(raw, stored_entities(spark, folder))
 
 
 @query
@@ -301,18 +302,15 @@ def existing_contests(spark, folder):
     )
 
 
-@query
-def contests_append(spark, folder):
-    return load.append_contests(
-        stored_contests(spark, folder), bridge.raw_contests(spark, folder), bridge.entities(spark, folder)
-    )
+def classified(spark: SparkSession, folder: str) -> DataFrame:
+    keys = load.batch_keys(bridge.raw_contests(spark, folder))
+    stored = bridge.derive(bridge.table(spark, folder, "lineitem"), bridge.STORED_CONTESTS)
+    return load.classify_contests(keys, bridge.entities(spark, folder), stored)
 
 
-def classified(spark: SparkSession, folder: str) -> DataFrame:
-    contests = clean.clean_contests(bridge.raw_contests(spark, folder))
-    keys = load.batch_keys(contests, max_id=None)
-    unknown = load.unknown_ids(contests, bridge.entities(spark, folder))
-    return load.classify_contests(keys, unknown, stored_contests(spark, folder))
+@query
+def contests_append(spark, folder):
+    return load.contests_to_insert(classified(spark, folder))
 
 
 @query
@@ -341,8 +339,23 @@ def paged_ingest(spark, folder):
 
 @query
 def paged_ingest_limited(spark, folder):
-    items = landing.page_items(bridge.entity_pages(spark, folder))
-    return landing.raw_entities(landing.records(items, max_records=500)).select("page", "pos", ENTITY_ID, "hp")
+    rows = landing.raw_entities(landing.records(landing.page_items(bridge.entity_pages(spark, folder))))
+    return landing.first_records(rows, 500).select("page", "pos", ENTITY_ID, "hp")
+
+
+@query
+def paged_ingest_repeated_keys(spark, folder):
+    """Pages in which one record of three repeats a field, and one repeats a field further inside."""
+    items = landing.page_items(bridge.repeated_key_pages(spark, folder))
+    return landing.raw_entities(landing.records(items)).select("page", "pos", ENTITY_ID, "name", "hp")
+
+
+@query
+def quarantined_whole_texts(spark, folder):
+    """Long pages without records: all of the text, and how a log shows it."""
+    items = landing.page_items(bridge.long_pages(spark, folder))
+    log = landing.quarantine_log(items).select("page", "preview", "n_chars")
+    return landing.quarantine(items).select("page", "text").join(log, "page")
 
 
 @query
@@ -373,9 +386,28 @@ def detail_misses(spark, folder):
 
 @query
 def detail_fallback(spark, folder):
-    listing = bridge.entities(spark, folder).select(ENTITY_ID)
-    none = details(spark, folder).filter("page IS NULL").select(ENTITY_ID)
-    return landing.details_or_listing(none, listing)
+    """Details where there are any, and the listing where no listed id has one."""
+    landed = details(spark, folder)
+    listing = bridge.entities(spark, folder).select(F.col(ENTITY_ID).cast("string").alias(ENTITY_ID), F.lit("listing").alias("origin"))
+    unheard = listing.select(F.concat(F.lit("-1"), ENTITY_ID).alias(ENTITY_ID), "origin")
+    found = [
+        landing.details_or_listing(landing.details_for(ids, landed).select(ENTITY_ID, F.lit("details").alias("origin")), ids)
+        for ids in (listing, unheard)
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query
+def table_scan(spark, folder):
+    """A stored table by its schema, projected and mapped."""
+    schema = T.StructType.fromDDL(bridge.SCHEMAS["part"])
+    return tables.read_table(spark, f"{folder}/part.parquet", schema, ["p_partkey", "p_size"], lambda df: df.filter("p_size > 10"))
+
+
+@query
+def flag_default(spark, folder):
+    """The flag of a table that lacks the column."""
+    return clean.coerce_flag(bridge.entities(spark, folder).select(ENTITY_ID))
 
 
 # --- quality and reports ---
@@ -387,9 +419,16 @@ def quality_report(spark, folder):
     return quality.quality_report(entities, contests, met.outcome_metrics(entities, contests, on_empty="zero"))
 
 
+@query
+def quality_report_of_empty(spark, folder):
+    """No checks without contests: none of the given lines is that large."""
+    entities, contests = bridge.entities(spark, folder), bridge.contests(spark, folder).filter("winner_id < 0")
+    return quality.quality_report(entities, contests, met.outcome_metrics(entities, contests, on_empty="zero"))
+
+
 @query
 def quality_report_raw(spark, folder):
-    entities = clean.clean_entities(bridge.raw_entities(spark, folder), max_id=None)
+    entities = clean.clean_entities(bridge.raw_entities(spark, folder))
     contests = clean.clean_contests(bridge.raw_contests(spark, folder))
     doubled = entities.unionByName(entities)
     found = met.outcome_metrics(entities, contests, on_empty="zero")
@@ -448,6 +487,11 @@ def team_cards(spark, folder):
     return reports.team_cards(scored(spark, folder))
 
 
+@query
+def team_cards_ten(spark, folder):
+    return reports.team_cards(scored(spark, folder), team_size=10)
+
+
 @query
 def diagnostics(spark, folder):
     return reports.diagnostics(scored(spark, folder), CATEGORY)
@@ -475,9 +519,8 @@ def load_job(spark, folder):
         warehouse,
         listing_pages=bridge.entity_pages(spark, folder),
         contest_pages=bridge.contest_pages(spark, folder),
-        max_id=None,
     )
-    found = pipeline.store_metrics(spark, warehouse, max_id=None)
+    found = pipeline.store_metrics(spark, warehouse)
     return found.withColumn("weighted_score", F.round("weighted_score", 9))
 
 
@@ -488,5 +531,33 @@ def stream_load_job(spark, folder):
     tables.publish_version(bridge.entities(spark, folder), f"{base}/warehouse/entities")
     bridge.contest_pages(spark, folder).write.json(f"{base}/pages")
     pages = incremental.stream_pages(spark, f"{base}/pages")
-    incremental.append_stream(pages, f"{base}/warehouse", f"{base}/checkpoint", max_id=None).awaitTermination()
+    incremental.append_stream(pages, f"{base}/warehouse", f"{base}/checkpoint").awaitTermination()
     return tables.read_contests(spark, f"{base}/warehouse")
+
+
+@query
+def load_job_quarantine(spark, folder):
+    """What the load job sets aside: bad pages and records of both sources, and entities without a name."""
+    warehouse = tables.scratch_folder(spark, "load-job-quarantine")
+    pipeline.run_pipeline(
+        spark,
+        warehouse,
+        listing_pages=bridge.entity_pages(spark, folder).unionByName(bridge.nameless_pages(spark, folder)),
+        contest_pages=bridge.contest_pages(spark, folder).unionByName(bridge.long_pages(spark, folder)),
+    )
+    return tables.read_quarantine(spark, warehouse).select("source", "page", "pos", "reason", F.length("text").alias("n_chars"))
+
+
+@query
+def stream_late_entities(spark, folder):
+    """Contests landed as a stream before most of their entities are stored, which load them afterwards."""
+    base = tables.scratch_folder(spark, "stream-late-entities")
+    warehouse = f"{base}/warehouse"
+    entities = bridge.entities(spark, folder)
+    pipeline.load_entities(spark, entities.filter(F.col(ENTITY_ID) % 2 == 0), warehouse)
+    bridge.contest_pages(spark, folder).write.json(f"{base}/pages")
+    pages = incremental.stream_pages(spark, f"{base}/pages")
+    incremental.append_stream(pages, warehouse, f"{base}/checkpoint").awaitTermination()
+    pipeline.load_entities(spark, entities.filter(F.col(ENTITY_ID) % 2 == 1), warehouse)
+    tables.compact_contests(spark, warehouse)
+    return tables.read_contests(spark, warehouse)

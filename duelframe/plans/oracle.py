@@ -149,6 +149,13 @@ def _quality(null_ids: str, duplicate_ids: str, contests: str, metrics: str) ->
 
 _CARD = "printf('%.1f', win_rate_pct) || '%'"
 
+def _team_cards(size: int) -> str:
+    return f"""SELECT CAST(row_number() OVER (ORDER BY total_wins DESC, entity_id) AS INTEGER) AS position,
+        entity_id, name, type_1 || '/' || type_2 AS type_label, type_1 || ' / ' || type_2 AS type_text,
+        total_wins, total_battles, weighted_score, 'Score: ' || printf('%.1f', weighted_score) AS score_text
+        FROM ({_team(size, "type_1")}) t"""
+
+
 BODIES = {
     "entity_scan": "SELECT * FROM ent",
     "contest_scan": "SELECT * FROM con",
@@ -194,7 +201,7 @@ BODIES = {
     "clean_contests": "SELECT * FROM ccon",
     "conform_entities": f"""SELECT entity_id, name, type_1, type_2, generation, legendary, CAST(hp AS INTEGER) AS hp,
         {_plain_int('attack')} AS attack, CAST(trunc(defense) AS INTEGER) AS defense, sp_attack, sp_defense,
-        CAST(NULL AS INTEGER) AS speed FROM cent WHERE entity_id IS NOT NULL""",
+        CAST(NULL AS INTEGER) AS speed FROM cent WHERE entity_id IS NOT NULL AND name IS NOT NULL""",
     "entities_upsert": """SELECT * FROM new_ent UNION ALL
         SELECT * FROM old_ent WHERE entity_id NOT IN (SELECT entity_id FROM new_ent)""",
     "entities_upsert_partial": """SELECT coalesce(n.entity_id, o.entity_id) AS entity_id, """ + ", ".join(
@@ -205,11 +212,12 @@ BODIES = {
     "last_per_key": """SELECT * EXCLUDE (rn) FROM (SELECT l_partkey AS entity_id, l_orderkey AS seq,
         l_quantity AS hp, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC,
         l_quantity DESC) AS rn FROM lineitem) t WHERE rn = 1""",
-    "entity_load_report": f"""SELECT count(*) AS raw, count(*) - count(k) AS out_of_range,
+    "entity_load_report": f"""SELECT max(n) AS raw, max(bad) AS out_of_range, max(n - bad) - count(k) AS unnamed,
         count(k) - count(DISTINCT k) AS source_duplicates,
         count(DISTINCT CASE WHEN k NOT IN (SELECT entity_id FROM old_ent) THEN k END) AS inserted,
         count(DISTINCT CASE WHEN k IN (SELECT entity_id FROM old_ent) THEN k END) AS updated
-        FROM (SELECT {_whole('id')} AS k FROM raw_ent) r""",
+        FROM (SELECT CASE WHEN name IS NOT NULL THEN {_whole('id')} END AS k, count(*) OVER () AS n,
+            count(*) FILTER ({_whole('id')} IS NULL) OVER () AS bad FROM raw_ent) r""",
     "delete_by_key": "SELECT * FROM ent WHERE entity_id NOT IN (SELECT entity_id FROM new_ent)",
     "contests_dedup": "SELECT DISTINCT first_id, second_id, winner_id FROM con",
     "contests_fk_filter": """SELECT * FROM con WHERE first_id IN (SELECT entity_id FROM old_ent)
@@ -240,7 +248,18 @@ BODIES = {
         WHERE entity_id IN (SELECT CAST(entity_id AS VARCHAR) FROM old_ent)""",
     "detail_misses": """SELECT entity_id FROM ent
         WHERE CAST(entity_id AS VARCHAR) NOT IN (SELECT entity_id FROM landed)""",
-    "detail_fallback": "SELECT entity_id FROM ent",
+    "detail_fallback": """SELECT entity_id, 'details' AS origin FROM landed
+        WHERE entity_id IN (SELECT CAST(entity_id AS VARCHAR) FROM ent)
+        UNION ALL SELECT '-1' || CAST(entity_id AS VARCHAR), 'listing' FROM ent""",
+    "table_scan": "SELECT p_partkey, p_size FROM part WHERE p_size > 10",
+    "flag_default": "SELECT entity_id, false AS legendary FROM ent",
+    "paged_ingest_repeated_keys": """SELECT p_partkey AS page, CAST(0 AS INTEGER) AS pos, CAST(p_partkey AS VARCHAR) AS entity_id,
+        p_name AS name, CAST(p_size AS INTEGER) AS hp FROM part
+        UNION ALL SELECT p_partkey, 1, CAST(p_partkey AS VARCHAR), NULL, CAST(p_size + 1 AS INTEGER) FROM part""",
+    "quarantined_whole_texts": """SELECT page, text, left(text, 500) || CASE WHEN length(text) > 500 THEN '...' ELSE '' END AS preview,
+        CAST(length(text) AS INTEGER) AS n_chars FROM (SELECT p_partkey AS page,
+        '{"detail":"' || repeat(p_name, 100) || '"}' AS text FROM part) t""",
+    "quality_report_of_empty": "SELECT '' AS \"check\", CAST(0 AS BIGINT) AS result, '' AS status WHERE false",
     "quality_report": _quality(
         "(SELECT count(*) FROM ent WHERE entity_id IS NULL)",
         "(SELECT count(*) - count(DISTINCT entity_id) FROM ent)", "con", "met",
@@ -267,10 +286,8 @@ BODIES = {
         CASE WHEN win_rate_pct >= 95 THEN 'very high' WHEN win_rate_pct >= 90 THEN 'high'
         WHEN win_rate_pct >= 85 THEN 'medium' ELSE 'low' END AS tier
         FROM by_type WHERE position <= 5 AND type = 'ECONOMY'""",
-    "team_cards": f"""SELECT CAST(row_number() OVER (ORDER BY total_wins DESC, entity_id) AS INTEGER) AS position,
-        entity_id, name, type_1 || '/' || type_2 AS type_label, type_1 || ' / ' || type_2 AS type_text,
-        total_wins, total_battles, weighted_score, 'Score: ' || printf('%.1f', weighted_score) AS score_text
-        FROM ({_team(6, "type_1")}) t""",
+    "team_cards": _team_cards(6),
+    "team_cards_ten": _team_cards(10),
     "diagnostics": """SELECT position, name, type, total_wins, total_battles, win_rate_pct FROM by_type
         WHERE position <= 10 AND type = 'ECONOMY'""",
     "diagnostic_message": """SELECT 'Top do tipo = ' || name || ' com ' || total_wins || '.0/' || total_battles || '.0 = '
@@ -278,6 +295,15 @@ BODIES = {
     "win_rate_table": """SELECT type AS "Tipo", name AS "Pokémon", total_wins AS "Vitórias", total_battles AS "Batalhas",
         printf('%.2f', win_rate_pct) || '%' AS "Win Rate (%)" FROM by_type WHERE position = 1""",
     "load_job": "SELECT * FROM job_met",
+    "load_job_quarantine": """SELECT 'listing' AS source, p_partkey AS page, CAST(1 AS INTEGER) AS pos, 'record is not an object' AS reason,
+        CAST(CASE WHEN p_size >= 49 THEN 4 ELSE 1 END AS INTEGER) AS n_chars FROM part WHERE p_size >= 49 OR (p_size > 25 AND p_size <= 30)
+        UNION ALL SELECT 'listing', p_partkey, NULL, 'no record list in page', CASE WHEN p_size = 47 THEN 12 ELSE 22 END
+        FROM part WHERE p_size BETWEEN 45 AND 47
+        UNION ALL SELECT 'contests', p_partkey, NULL, 'no record list in page', 13 + 100 * length(p_name) FROM part
+        UNION ALL SELECT 'entities', p_partkey, 0, 'entity without a name',
+            length('{"page":,"pos":0,"entity_id":2000000000,"hp":,"legendary":false}') - 10
+            + length(CAST(p_partkey AS VARCHAR)) + length(CAST(p_partkey + 2000000000 AS VARCHAR)) + length(CAST(p_size AS VARCHAR)) FROM part""",
+    "stream_late_entities": "SELECT DISTINCT first_id, second_id, winner_id FROM con",
     "stream_load_job": "SELECT DISTINCT first_id, second_id, winner_id FROM con",
 }
 

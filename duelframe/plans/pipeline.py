@@ -6,13 +6,16 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from duelframe.operators import load
-from duelframe.operators.clean import clean_entities
+from duelframe.operators.clean import clean_entities, resolve_aliases
 from duelframe.operators.metrics import outcome_metrics
-from duelframe.schemas import MAX_ENTITY_ID
+from duelframe.schemas import CONTEST, CONTEST_KEY, ENTITY_ALIASES
 from duelframe.sources import landing, tables
 
+NO_NAME = "entity without a name"
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -20,6 +23,8 @@ class LoadResult:
     contests: DataFrame
     entity_report: DataFrame
     contest_report: DataFrame
+    #: What this run set aside, counted: (source, reason, n).
+    quarantine_report: DataFrame
 
 
 def new_batch(warehouse: str) -> str:
@@ -36,46 +41,77 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def entity_source(listing_pages: DataFrame, detail_pages: DataFrame | None, batch: str) -> DataFrame:
+def settled(report: DataFrame) -> DataFrame:
+    """A report of a few rows by value, so that it outlives the batch it was read from."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
+def usable(pages: DataFrame, warehouse: str, source: str, batch: str) -> DataFrame:
+    """The usable records of landed pages; the rest is kept in the quarantine table."""
+    items = landing.page_items(pages)
+    tables.set_aside(landing.quarantine(items), warehouse, source, batch)
+    return landing.records(items)
+
+
+def entity_source(
+    listing_pages: DataFrame, detail_pages: DataFrame | None, warehouse: str, batch: str, max_entities: int | None = None
+) -> DataFrame:
     """Raw entity rows, staged: details for the listed ids, or the listing if there are none."""
-    listing = landing.raw_entities(landing.records(landing.page_items(listing_pages)))
-    listing = staged(listing, f"{batch}/listing")
+    name = batch.rsplit("/", 1)[1]
+    listing = landing.raw_entities(usable(listing_pages, warehouse, "listing", name))
+    listing = staged(landing.first_records(listing, max_entities), f"{batch}/listing")
     if detail_pages is None:
         return listing
-    details = landing.raw_entities(landing.records(landing.page_items(detail_pages)))
+    details = landing.raw_entities(usable(detail_pages, warehouse, "details", name))
     return landing.details_or_listing(staged(landing.details_for(listing, details), f"{batch}/details"), listing)
 
 
 def load_entities(
-    spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id: int | None = MAX_ENTITY_ID
+    spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id: int | None = None, batch_name: str | None = None
 ) -> DataFrame:
-    """Clean, conform and upsert entities as a new table version; returns the load report."""
-    stored = tables.read_entities(spark, warehouse)
-    report = load.entity_load_report(raw, stored, max_id=max_id)
+    """Clean, conform and upsert entities as a new table version; returns the load report.
+
+    Rows without a name are set aside. Contests that waited for one of the entities are loaded.
+    """
+    batch = new_batch(warehouse)
+    name = batch_name or batch.rsplit("/", 1)[1]
     cleaned = clean_entities(raw, max_id=max_id)
+    stored = tables.read_entities(spark, warehouse)
+    report = settled(load.entity_load_report(resolve_aliases(raw, ENTITY_ALIASES), stored, max_id=max_id))
+    place = [F.col(c).cast(t) if c in cleaned.columns else F.lit(None).cast(t) for c, t in (("page", "bigint"), ("pos", "int"))]
+    unnamed = load.unnamed_entities(cleaned, max_id=max_id)
+    unnamed = unnamed.select(place[0].alias("page"), place[1].alias("pos"), F.lit(NO_NAME).alias("reason"), F.to_json(F.struct("*")).alias("text"))
+    tables.set_aside(unnamed, warehouse, "entities", name)
     ordinal = [c for c in ("page", "pos") if c in cleaned.columns]
     conformed = load.conform_entities(cleaned, max_id=max_id, keep=ordinal)
-    incoming = load.last_per_key(conformed, ordinal).drop(*ordinal)
+    incoming = staged(load.last_per_key(conformed, ordinal).drop(*ordinal), f"{batch}/incoming")
     tables.publish_version(load.upsert_entities(stored, incoming), f"{warehouse}/entities")
+    tables.remove(spark, batch)
+    if not tables.read_waiting(spark, warehouse).isEmpty():
+        load_contests(spark, spark.createDataFrame([], CONTEST), warehouse, max_id=max_id)
     return report
 
 
-def load_contests(
-    spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id: int | None = MAX_ENTITY_ID
-) -> DataFrame:
+def load_contests(spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id: int | None = None) -> DataFrame:
     """Append the contests that are valid and new; returns the load report.
 
     The batch is written as distinct keys, then with statuses. Both the appended rows and
     the report are read from there, so they cannot disagree, and running the same batch
-    again adds nothing.
+    again adds nothing. Contests that name an entity not stored yet wait in a table of their own
+    and take part in every later load; the report counts them where they are inserted.
     """
     batch = new_batch(warehouse)
-    keys = staged(load.batch_keys(raw, max_id=max_id), f"{batch}/keys")
-    unknown = staged(load.unknown_ids(keys, tables.read_entities(spark, warehouse)), f"{batch}/unknown")
-    existing = load.existing_contests(tables.read_contests(spark, warehouse), keys)
-    classified = staged(load.classify_contests(keys, unknown, existing), f"{batch}/classified")
+    keys = load.with_waiting(load.batch_keys(raw, max_id=max_id), tables.read_waiting(spark, warehouse))
+    keys = staged(keys, f"{batch}/keys")
+    existing = load.existing_contests(tables.read_contests(spark, warehouse, tables.buckets_of(keys)), keys)
+    classified = load.classify_contests(keys, tables.read_entities(spark, warehouse), existing)
+    classified = staged(classified, f"{batch}/classified")
     tables.append_contest_rows(load.contests_to_insert(classified), warehouse)
-    return load.contest_load_report(classified)
+    waiting = classified.filter(F.col("status") == "unknown_entity").select(*CONTEST_KEY)
+    tables.publish_version(waiting, f"{warehouse}/waiting")
+    report = settled(load.contest_load_report(classified))
+    tables.remove(spark, batch)
+    return report
 
 
 def run_pipeline(
@@ -85,27 +121,34 @@ def run_pipeline(
     listing_pages: DataFrame,
     contest_pages: DataFrame,
     detail_pages: DataFrame | None = None,
-    max_id: int | None = MAX_ENTITY_ID,
+    max_id: int | None = None,
+    max_entities: int | None = None,
     max_records: int | None = None,
 ) -> LoadResult:
     """Landed pages to stored entities and contests. Safe to run again on the same pages.
 
+    ``max_entities`` and ``max_records`` take the first listed entities and the first contests only.
     Metrics are not stored: stored_metrics derives them from the two tables.
     """
-    raw = entity_source(listing_pages, detail_pages, new_batch(warehouse))
-    entity_report = load_entities(spark, raw, warehouse, max_id=max_id)
-    recs = landing.records(landing.page_items(contest_pages), max_records=max_records)
-    contest_report = load_contests(spark, landing.raw_contests(recs), warehouse, max_id=max_id)
+    batch = new_batch(warehouse)
+    name = batch.rsplit("/", 1)[1]
+    raw = entity_source(listing_pages, detail_pages, warehouse, batch, max_entities)
+    entity_report = load_entities(spark, raw, warehouse, max_id=max_id, batch_name=name)
+    contests = landing.raw_contests(usable(contest_pages, warehouse, "contests", name))
+    contest_report = load_contests(spark, landing.first_records(contests, max_records), warehouse, max_id=max_id)
+    aside = tables.read_quarantine(spark, warehouse).filter(F.col("batch") == name)
+    tables.remove(spark, batch)
     return LoadResult(
         tables.read_entities(spark, warehouse),
         tables.read_contests(spark, warehouse),
         entity_report,
         contest_report,
+        settled(aside.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))),
     )
 
 
 def stored_metrics(
-    spark: SparkSession, warehouse: str, *, max_id: int | None = MAX_ENTITY_ID, on_empty: str = "error"
+    spark: SparkSession, warehouse: str, *, max_id: int | None = None, on_empty: str = "error"
 ) -> DataFrame:
     """Metrics over the stored tables, computed from the contests each time."""
     entities = clean_entities(tables.read_entities(spark, warehouse), max_id=max_id)
@@ -113,7 +156,7 @@ def stored_metrics(
 
 
 def store_metrics(
-    spark: SparkSession, warehouse: str, *, max_id: int | None = MAX_ENTITY_ID, on_empty: str = "error"
+    spark: SparkSession, warehouse: str, *, max_id: int | None = None, on_empty: str = "error"
 ) -> DataFrame:
     """Compute the metrics once and keep them as a table; reports then read a row per entity.
 

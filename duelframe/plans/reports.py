@@ -41,7 +41,7 @@ def kpi_summary(
 def correlation_bars(
     correlations: DataFrame, metric: str = "win_rate", labels: Mapping[str, str] = lb.STAT_LABELS
 ) -> DataFrame:
-    """Bars of the correlation chart, weakest first; CORRELATION_LABELS are the shorter labels."""
+    """Bars of the correlation chart, weakest first."""
     ranked = corr.influence(correlations, metric, labels)
     return ranked.select(
         "label", "strength", "r", format_fixed(F.col("r"), 2).alias("r_text"), "tier"
@@ -73,7 +73,7 @@ def team_cards(metrics: DataFrame, team_size: int = 6) -> DataFrame:
     first, second = F.col("type_1"), F.col("type_2")
     short = F.concat(first, F.when(second != "", F.concat(F.lit("/"), second)).otherwise(F.lit("")))
     score = F.col("weighted_score")
-    return team.orderBy(*order).limit(6).select(
+    return team.orderBy(*order).limit(team_size).select(
         F.row_number().over(W.partitionBy(F.lit(1)).orderBy(*order)).alias("position"),
         ENTITY_ID, "name",
         short.alias("type_label"),

@@ -26,6 +26,15 @@ ENTITY = T.StructType(
 
 CONTEST = T.StructType([T.StructField(c, T.LongType(), False) for c in CONTEST_KEY])
 
+QUARANTINE = T.StructType(
+    [
+        T.StructField("page", T.LongType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("reason", T.StringType(), False),
+        T.StructField("text", T.StringType()),
+    ]
+)
+
 STAT_COLUMNS = ("hp", "attack", "defense", "sp_attack", "sp_defense", "speed")
 OUTCOME_COLUMNS = ("win_rate", "weighted_score")
 

@@ -52,7 +52,7 @@ RAW_ENTITIES = {
         WHEN p_size = 47 THEN concat(CAST(p_partkey AS STRING), '.0')
         WHEN p_size = 45 THEN concat(CAST(p_partkey AS STRING), '.5')
         WHEN p_size = 46 THEN NULL ELSE CAST(p_partkey AS STRING) END""",
-    "name": "p_name",
+    "name": "CASE WHEN p_size = 21 THEN NULL ELSE p_name END",
     "Type 1": """CASE WHEN p_size < 10 THEN concat(p_type, '/', p_brand)
         WHEN p_size < 15 THEN concat(' ', p_type, ' , ', p_brand, ' / Z')
         WHEN p_size < 18 THEN concat(p_type, '|', p_brand)
@@ -102,6 +102,12 @@ ENTITY_PAGE = f"""CASE WHEN p_size <= 10 THEN concat('[', {_RECORD}, ']')
     WHEN p_size = 48 THEN '[]'
     ELSE concat('[', {_RECORD}, ',null]') END"""
 
+# Three records, of which the second repeats a field and the third repeats one further inside.
+REPEATED_KEY_PAGE = """concat('[', to_json(named_struct('id', p_partkey, 'name', p_name, 'hp', p_size)), ',{"id":1,"hp":7,"id":', CAST(p_partkey AS STRING),
+    ',"hp":', CAST(p_size + 1 AS STRING), '},{"id":2,"more":{"a":1,"a":2}}]')"""
+NAMELESS_PAGE = """concat('[', to_json(named_struct('id', p_partkey + 2000000000, 'hp', p_size)), ']')"""
+LONG_PAGE = "concat('{\"detail\":\"', repeat(p_name, 100), '\"}')"
+
 CONTEST_PAGE = """concat('{"combats":[', to_json(named_struct('first_pokemon', l_partkey, 'second_pokemon', l_suppkey,
     'winner', CASE WHEN l_quantity >= 25 THEN l_partkey ELSE l_suppkey END)), ']}')"""
 
@@ -143,6 +149,18 @@ def entity_pages(spark: SparkSession, folder: str) -> DataFrame:
     return derive(table(spark, folder, "part"), {"page": "p_partkey", "raw": ENTITY_PAGE})
 
 
+def repeated_key_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return derive(table(spark, folder, "part"), {"page": "p_partkey", "raw": REPEATED_KEY_PAGE})
+
+
+def nameless_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return derive(table(spark, folder, "part"), {"page": "p_partkey", "raw": NAMELESS_PAGE})
+
+
+def long_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return derive(table(spark, folder, "part"), {"page": "p_partkey", "raw": LONG_PAGE})
+
+
 def contest_pages(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     return derive(lines, {"page": "l_orderkey", "raw": CONTEST_PAGE})

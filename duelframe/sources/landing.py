@@ -23,6 +23,12 @@ from duelframe.schemas import (
 PAGE_SCHEMA = "page bigint, raw string"
 NO_RECORDS = "no record list in page"
 NOT_AN_OBJECT = "record is not an object"
+UNREADABLE = "record cannot be read"
+
+# A record that repeats a field, read field by field, so that the last value wins.
+_REPAIRED = """try_parse_json(to_json(aggregate(map_entries(from_json(t, 'map<string,variant>')),
+    CAST(map() AS map<string,variant>), (a, e) -> map_concat(map_filter(a, (k, v) -> k <> e.key), map(e.key, e.value)))))"""
+_READ = f"transform(texts, t -> coalesce(try_parse_json(t), CASE WHEN startswith(t, '{{') THEN {_REPAIRED} END))"
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -41,44 +47,68 @@ def page_items(pages: DataFrame, *, strict: bool = False) -> DataFrame:
     """Every element of every page once: (page, pos, rec, reason, text).
 
     ``reason`` is NULL for a usable record. Anything else keeps its reason and its
-    text (shortened), and does not stop the other records or pages. With ``strict`` a
+    whole text, and does not stop the other records or pages. With ``strict`` a
     page without a record list fails the job instead.
+
+    A page that repeats a field somewhere cannot be parsed as a whole. Its records are then cut
+    out as texts and parsed one by one; in a record that repeats a field the last value
+    counts, and one that repeats a field further inside is set aside by itself.
     """
     # A step of its own, so that the text is parsed once and not once per place.
     parsed = pages.select("page", "raw", F.try_parse_json(F.col("raw")).alias("document"))
     places = ["$"] + [f"$.{key}" for key in ENVELOPE_KEYS]
     found = F.coalesce(*[F.try_variant_get("document", place, "array<variant>") for place in places])
+    lists = [F.col("raw"), *[F.get_json_object("raw", f"$.{key}") for key in ENVELOPE_KEYS]]
+    texts = F.when(F.col("document").isNull(), F.coalesce(*[F.from_json(c, "array<string>") for c in lists]))
+    listed = parsed.select("page", "raw", found.alias("found"), texts.alias("texts"))
+    found = F.coalesce(F.col("found"), F.expr(_READ))
     if strict:
         found = F.coalesce(found, F.raise_error(F.lit(NO_RECORDS)).cast("array<variant>"))
-    listed = parsed.select("page", "raw", found.alias("found"))
+    listed = listed.select("page", "raw", "texts", found.alias("found"))
     # An element left by an empty list is dropped; one left by a missing list is kept as bad page.
     items = listed.select(
-        "page", "raw", F.col("found").isNull().alias("no_list"), F.posexplode_outer("found").alias("pos", "rec")
+        "page", "raw", "texts", F.col("found").isNull().alias("no_list"), F.posexplode_outer("found").alias("pos", "rec")
     ).filter(F.col("no_list") | F.col("pos").isNotNull())
     is_object = F.schema_of_variant(F.col("rec")).startswith("OBJECT")
-    reason = F.when(F.col("no_list"), F.lit(NO_RECORDS)).when(
-        ~F.coalesce(is_object, F.lit(False)), F.lit(NOT_AN_OBJECT)
+    own_text = F.get("texts", F.col("pos"))
+    reason = (
+        F.when(F.col("no_list"), F.lit(NO_RECORDS))
+        .when(F.col("rec").isNull() & own_text.startswith("{"), F.lit(UNREADABLE))
+        .when(~F.coalesce(is_object, F.lit(False)), F.lit(NOT_AN_OBJECT))
     )
-    bad_text = F.when(F.col("no_list"), F.col("raw")).otherwise(F.to_json(F.col("rec")))
+    bad_text = F.when(F.col("no_list"), F.col("raw")).otherwise(F.coalesce(own_text, F.to_json(F.col("rec")), F.lit("null")))
     return items.withColumn("reason", reason).select(
         "page", "pos", "rec", "reason",
-        F.when(F.col("reason").isNotNull(), truncate(bad_text)).alias("text"),
+        F.when(F.col("reason").isNotNull(), bad_text).alias("text"),
     )
 
 
-def records(items: DataFrame, *, max_records: int | None = None) -> DataFrame:
-    """The usable records (page, pos, rec); with ``max_records`` the first ones in page order."""
-    good = items.filter(F.col("reason").isNull()).select("page", "pos", "rec")
+def records(items: DataFrame) -> DataFrame:
+    """The usable records: (page, pos, rec)."""
+    return items.filter(F.col("reason").isNull()).select("page", "pos", "rec")
+
+
+def first_records(rows: DataFrame, max_records: int | None) -> DataFrame:
+    """The first rows in page order, all of them for None.
+
+    It takes decoded rows (raw_entities, raw_contests): each task then keeps its own first rows, which are
+    narrow, and only those are moved. They meet in one task, so it is meant for samples.
+    """
     if max_records is None:
-        return good
-    return good.orderBy("page", "pos").limit(not_negative(max_records, "max_records"))
+        return rows
+    return rows.orderBy("page", "pos").limit(not_negative(max_records, "max_records"))
 
 
 def quarantine(items: DataFrame) -> DataFrame:
-    """What was set aside, with the reason."""
+    """What was set aside, with the reason and the whole text."""
     return items.filter(F.col("reason").isNotNull()).select("page", "pos", "reason", "text")
 
 
+def quarantine_log(items: DataFrame) -> DataFrame:
+    """What was set aside with its text cut for a log, and how long it is."""
+    return quarantine(items).select("page", "pos", "reason", truncate(F.col("text")).alias("preview"), F.length("text").alias("n_chars"))
+
+
 def _texts(recs: DataFrame, fields: Mapping[str, Sequence[str]]) -> DataFrame:
     """The records with one text column per field: that of the first spelling with a value.
 

@@ -12,11 +12,16 @@ import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duelframe.errors import ValidationError
-from duelframe.schemas import CONTEST, ENTITY
+from duelframe.schemas import CONTEST, CONTEST_KEY, ENTITY, QUARANTINE
+
+#: Folders of the contest table, and versions of a table that are kept.
+BUCKETS = 64
+KEPT_VERSIONS = 2
 
 
 def read_table(
@@ -39,19 +44,35 @@ def _found(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in (found or []))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has written, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the complete versions, oldest first."""
+    return [found.removesuffix("/_SUCCESS") for found in _found(spark, f"{path}/version-*/_SUCCESS")]
+
+
 def latest_version(spark: SparkSession, path: str) -> str | None:
     """Folder of the newest complete version, or None before the first load."""
-    versions = _found(spark, f"{path}/version-*/_SUCCESS")
-    return versions[-1].removesuffix("/_SUCCESS") if versions else None
+    return (versions(spark, path) or [None])[-1]
 
 
-def publish_version(df: DataFrame, path: str) -> str:
-    """Write the frame as the next version of the table and return its folder."""
-    newest = latest_version(df.sparkSession, path)
+def publish_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Write the frame as the next version of the table and return its folder.
+
+    KEPT_VERSIONS are kept for readers that have begun; older ones are deleted.
+    """
+    spark = df.sparkSession
+    newest = latest_version(spark, path)
     number = int(newest.rsplit("-", 1)[1]) + 1 if newest else 1
     target = f"{path}/version-{number:08d}"
     # A folder without marker under this number is what a failed load left behind.
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    for old in versions(spark, path)[:-KEPT_VERSIONS]:
+        remove(spark, old)
     return target
 
 
@@ -61,20 +82,66 @@ def read_entities(spark: SparkSession, warehouse: str) -> DataFrame:
     return read_table(spark, path, ENTITY) if path else spark.createDataFrame([], ENTITY)
 
 
-def read_contests(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The stored contests; an empty frame before the first load.
+def contest_bucket() -> Column:
+    """The folder of a contest: a hash of its key."""
+    return F.pmod(F.xxhash64(*CONTEST_KEY), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def buckets_of(keys: DataFrame) -> list[int]:
+    """The folders that hold the given contests, at most BUCKETS numbers."""
+    return sorted(r["bucket"] for r in keys.select(contest_bucket()).distinct().collect())
+
+
+def read_contests(spark: SparkSession, warehouse: str, buckets: Sequence[int] | None = None) -> DataFrame:
+    """The stored contests, of the given folders only if named; an empty frame before the first load.
 
     Files an interrupted append got to publish count as stored, so that running the
     append again adds exactly the rest.
     """
-    path = f"{warehouse}/contests"
-    if not _found(spark, f"{path}/*.parquet"):
+    path = latest_version(spark, f"{warehouse}/contests")
+    if not path:
         return spark.createDataFrame([], CONTEST)
-    return read_table(spark, path, CONTEST)
+    stored = read_table(spark, path, T.StructType([*CONTEST.fields, T.StructField("bucket", T.IntegerType())]))
+    if buckets is not None:
+        stored = stored.filter(F.col("bucket").isin(list(buckets)))
+    return stored.select(*CONTEST_KEY)
 
 
 def append_contest_rows(df: DataFrame, warehouse: str) -> None:
-    df.write.mode("append").parquet(f"{warehouse}/contests")
+    """Add contests to the newest version, one file per folder and task that has rows for it."""
+    path = f"{warehouse}/contests"
+    placed = df.select(*CONTEST_KEY, contest_bucket()).repartition("bucket")
+    newest = latest_version(df.sparkSession, path)
+    if newest is None:
+        publish_version(placed, path, ["bucket"])
+    else:
+        placed.write.mode("append").partitionBy("bucket").parquet(newest)
+
+
+def compact_contests(spark: SparkSession, warehouse: str) -> None:
+    """Write all stored contests as a new version with one file per folder, each contest once."""
+    stored = read_contests(spark, warehouse).dropDuplicates(CONTEST_KEY)
+    publish_version(stored.withColumn("bucket", contest_bucket()).repartition("bucket"), f"{warehouse}/contests", ["bucket"])
+
+
+def read_waiting(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Contests that name an entity that is not stored yet."""
+    path = latest_version(spark, f"{warehouse}/waiting")
+    return read_table(spark, path, CONTEST) if path else spark.createDataFrame([], CONTEST)
+
+
+def set_aside(rows: DataFrame, warehouse: str, source: str, batch: str) -> None:
+    """Keep what a load could not use: (page, pos, reason, text) of one source and batch; a repeated batch replaces it."""
+    rows.select(*QUARANTINE.fieldNames()).write.mode("overwrite").parquet(f"{warehouse}/quarantine/batch={batch}/source={source}")
+
+
+def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
+    """All that was set aside: page, pos, reason, text, batch, source."""
+    schema = T.StructType([*QUARANTINE.fields, T.StructField("batch", T.StringType()), T.StructField("source", T.StringType())])
+    path = f"{warehouse}/quarantine"
+    if not _found(spark, path):
+        return spark.createDataFrame([], schema)
+    return read_table(spark, path, schema)
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -84,7 +151,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValidationError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="duelframe-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,16 +1,18 @@
 """The contest load as a stream over a landing folder.
 
 Each micro-batch goes through the same idempotent append as the batch job, so a batch
-that is replayed after a failure adds nothing twice.
+that is replayed after a failure adds nothing twice. Unusable pages and records are kept in the
+quarantine table, and contests that land before their entity wait for it.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from duelframe.plans.pipeline import load_contests
-from duelframe.schemas import MAX_ENTITY_ID
+from duelframe.plans.pipeline import load_contests, usable
 from duelframe.sources import landing
 
 
@@ -21,11 +23,13 @@ def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataF
 
 
 def append_stream(
-    pages: DataFrame, warehouse: str, checkpoint: str, *, max_id: int | None = MAX_ENTITY_ID
+    pages: DataFrame, warehouse: str, checkpoint: str, *, max_id: int | None = None
 ) -> StreamingQuery:
     """Load everything landed so far and stop; run again to pick up what came since."""
-    def load(batch: DataFrame, _: int) -> None:
-        recs = landing.records(landing.page_items(batch))
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def load(batch: DataFrame, number: int) -> None:
+        recs = usable(batch, warehouse, "contests", f"stream-{stream}-{number}")
         load_contests(batch.sparkSession, landing.raw_contests(recs), warehouse, max_id=max_id)
 
     writer = pages.writeStream.option("checkpointLocation", checkpoint)

@@ -1,6 +1,7 @@
 """Edge cases on small literal frames."""
 
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,8 +154,8 @@ def test_flag_words(spark):
 
 def test_key_range(spark):
     raw = spark.createDataFrame([("799",), ("800",), ("x",), (None,), ("-3",), ("7.0",), ("nan",), ("1d",)], "id string")
-    assert column(clean_entities(raw), "entity_id") == [799, -3, 7]
-    assert column(clean_entities(raw, max_id=None), "entity_id") == [799, 800, -3, 7]
+    assert column(clean_entities(raw, max_id=799), "entity_id") == [799, -3, 7]
+    assert column(clean_entities(raw), "entity_id") == [799, 800, -3, 7]
 
 
 def test_bad_numbers(spark):
@@ -259,6 +260,12 @@ def test_correlation_edges(spark):
     assert rows[("attack", "weighted_score")][1] == 3
     own = correlation_matrix(df, stat_columns=["win_rate"], metric_columns=["win_rate"]).collect()
     assert own[0].win_rate == pytest.approx(1.0)
+    wide = df.select(*[F.lit(float(i)).alias(f"c{i}") for i in range(80)])
+    start = time.perf_counter()
+    many = attribute_correlation(wide, stat_columns=[f"c{i}" for i in range(60)], metric_columns=[f"c{i}" for i in range(60, 80)])
+    many._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 15  # expressions grow with 60 + 20, not with 60 x 20
+    assert len(many._jdf.queryExecution().optimizedPlan().toString()) < 60_000 and many.count() == 1200
     empty = attribute_correlation(df.filter("false"), stat_columns=["hp"])
     assert [(r.r, r.n) for r in empty.collect()] == [(None, 0), (None, 0)]
     one = attribute_correlation(df.limit(1), stat_columns=["attack"], metric_columns=["win_rate"])
@@ -299,20 +306,26 @@ def test_rows_per_group_beyond_the_threshold(spark):
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert len(plain) == 1800
+    text = top_rows_per_group(df, ["g"], order, 2000)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("row_number()") == 3  # two levels and the last
     assert sorted(map(repr, plain)) == sorted(map(repr, shared))
 
 
 # --- number texts ---
 
 
-def test_fixed_format_rounds_like_printf(spark):
-    values = [3.125, 1.115, 1.005, 0.285, 28.125, 99.995, 100.0, 0.0, -0.001, -3.125, 2.675, 1e6 / 7, 12.345, 0.5, 2.5, None]
+@pytest.mark.parametrize("compiled", [False, True])
+def test_fixed_format_rounds_like_printf(spark, compiled):
+    spark.conf.set("spark.sql.codegen.wholeStage", str(compiled).lower())
+    values = [1e17, 1e20, -1e15, 3.125, 1.115, 1.005, 0.285, 28.125, 99.995, 100.0, 0.0, -0.001, -3.125, 2.675, 1e6 / 7, 12.345, 0.5, 2.5, None]
     values += [w / b * 100 for b in range(1, 65) for w in range(b)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
     for digits in (1, 2, 3):
         found = {r.i: r.t for r in df.select("i", fn.format_fixed(F.col("v"), digits, "%").alias("t")).collect()}
         for i, v in enumerate(values):
             assert found[i] == (None if v is None else f"{v:.{digits}f}%")
+    odd = spark.createDataFrame([(math.nan,), (math.inf,), (-math.inf,)], "v double")
+    assert column(odd.select(fn.format_fixed(F.col("v"), 2).alias("t")), "t") == [None, "∞", "-∞"]
 
 
 def test_round_half_even(spark):
@@ -381,9 +394,10 @@ def test_conform_needs_its_columns(spark):
 
 def test_contest_status(spark):
     raw = contests(spark, (1, 2, 1), (1, 2, 1), (1, 3, 1), (1, 2, 2), (None, 2, 2), (1, 900, 1), (1, 900, 900))
-    keys = load.batch_keys(raw)
-    unknown = load.unknown_ids(keys, entities(spark, 1, 2))
-    found = load.classify_contests(keys, unknown, contests(spark, (1, 2, 2)))
+    keys = load.batch_keys(raw, max_id=799)
+    known = entities(spark, 1, 2)
+    assert column(load.unknown_ids(keys, known), "entity_id") == [3]
+    found = load.classify_contests(keys, known, contests(spark, (1, 2, 2), (9, 9, 9)))
     by_key = {(r.first_id, r.second_id, r.winner_id): (r.copies, r.status) for r in found.collect()}
     assert by_key == {
         (1, 2, 1): (2, "new"), (1, 3, 1): (1, "unknown_entity"), (1, 2, 2): (1, "present"),
@@ -437,7 +451,37 @@ def test_record_fields(spark):
 
 def test_record_limit(spark):
     items = landing.page_items(pages(spark, '[{"id":1},{"id":2}]', '[{"id":3},{"id":4}]'))
-    assert sorted(column(landing.raw_entities(landing.records(items, max_records=3)), "entity_id")) == ["1", "2", "3"]
+    rows = landing.raw_entities(landing.records(items))
+    assert sorted(column(landing.first_records(rows, 3), "entity_id")) == ["1", "2", "3"]
+    assert landing.first_records(rows, None).count() == 4 and landing.first_records(rows, 0).count() == 0
+
+
+def test_repeated_fields_cost_their_own_record(spark):
+    items = landing.page_items(
+        pages(spark, '[{"id":1},{"id":3,"id":4,"hp":45.9},5,{"id":6,"x":{"a":1,"a":2}}]', '{"results":[{"id":7,"id":8},null]}', '{"x":1,"x":2}')
+    )
+    recs = landing.raw_entities(landing.records(items)).collect()
+    assert sorted((r.page, r.pos, r.entity_id, r.hp) for r in recs) == [(1, 0, "1", None), (1, 1, "4", 45), (2, 0, "8", None)]
+    bad = sorted((r.page, -1 if r.pos is None else r.pos, r.reason, r.text) for r in landing.quarantine(items).collect())
+    assert bad == [
+        (1, 2, landing.NOT_AN_OBJECT, "5"), (1, 3, landing.UNREADABLE, '{"id":6,"x":{"a":1,"a":2}}'),
+        (2, 1, landing.NOT_AN_OBJECT, "null"), (3, -1, landing.NO_RECORDS, '{"x":1,"x":2}'),
+    ]
+
+
+def test_quarantine_keeps_whole_texts(spark):
+    long = '{"detail":"' + "x" * 2000 + '"}'
+    items = landing.page_items(pages(spark, long))
+    assert column(landing.quarantine(items), "text") == [long]
+    log = landing.quarantine_log(items).collect()[0]
+    assert log.preview == long[:500] + "..." and log.n_chars == len(long)
+
+
+def test_copies_of_known_contests_stay(spark, monkeypatch):
+    monkeypatch.setattr(load, "REPEATS", 3)
+    raw = contests(spark, *[(1, 2, 1)] * 10, (2, 1, 2), (1, 3, 1), (None, 1, 1))
+    found = sorted(tuple(r) for r in load.known_contests(raw, entities(spark, 1, 2)).collect())
+    assert found == [(1, 2, 1)] * 10 + [(2, 1, 2)]
 
 
 def test_details(spark):

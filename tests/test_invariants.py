@@ -99,8 +99,8 @@ def test_results_do_not_depend_on_join_strategy(spark, no_broadcast):
     stored_rows = {r for r in rows if None not in r and sum(r) % 3 == 0}
     stored = spark.createDataFrame(sorted(stored_rows), CONTESTS)
     keys = load.batch_keys(raw, max_id=50)
-    unknown = load.unknown_ids(keys, entities)
-    report = load.contest_load_report(load.classify_contests(keys, unknown, stored)).collect()[0]
+    classified = load.classify_contests(keys, entities, stored)
+    report = load.contest_load_report(classified).collect()[0]
     in_range = [r for r in rows if None not in r and max(r) <= 50]
     valid = [r for r in in_range if set(r) <= set(known)]
     assert report.raw == len(rows)
@@ -109,8 +109,8 @@ def test_results_do_not_depend_on_join_strategy(spark, no_broadcast):
     assert report.source_duplicates == len(valid) - len(set(valid))
     assert report.already_present == len(set(valid) & stored_rows)
     assert report.inserted == len(set(valid) - stored_rows)
-    appended = load.append_contests(stored, raw.filter("greatest(first_id, second_id, winner_id) <= 50"), entities)
-    assert {tuple(r) for r in appended.collect()} == set(valid) - stored_rows
+    assert {tuple(r) for r in load.contests_to_insert(classified).collect()} == set(valid) - stored_rows
+    assert sorted(tuple(r) for r in load.known_contests(raw.filter("greatest(first_id, second_id, winner_id) <= 50"), entities).collect()) == sorted(valid)
     assert {tuple(r) for r in load.existing_contests(stored, keys).collect()} == {
         r for r in stored_rows if max(r) <= 50
     }

@@ -1,6 +1,7 @@
 """The load job, the stored tables and the stream."""
 
 import json
+import re
 
 import pytest
 
@@ -29,10 +30,11 @@ LISTING = [[entity(1), entity(2)], {"results": [entity(3), 5, entity(900)]}]
 CONTESTS = [{"combats": [contest(1, 2, 1), contest(1, 2, 1), contest(1, 4, 4)]}, [contest(2, 3, 2), contest(3, 900, 3)]]
 
 
-def run(spark, warehouse, listing=LISTING, contests=CONTESTS, details=None):
+def run(spark, warehouse, listing=LISTING, contests=CONTESTS, details=None, **options):
     return run_pipeline(
         spark,
         warehouse,
+        **{"max_id": 799, **options},
         listing_pages=page_frame(spark, *listing),
         contest_pages=page_frame(spark, *contests),
         detail_pages=None if details is None else page_frame(spark, *details),
@@ -109,16 +111,65 @@ def test_table_scan_projection_and_mapper(spark, tmp_path):
 def test_stream_picks_up_what_came_since(spark, tmp_path):
     warehouse, landed, checkpoint = (str(tmp_path / n) for n in ("warehouse", "landed", "checkpoint"))
     raw = landing.raw_entities(landing.records(landing.page_items(page_frame(spark, *LISTING))))
-    pipeline.load_entities(spark, raw, warehouse)
+    pipeline.load_entities(spark, raw, warehouse, max_id=799)
 
     def land(*bodies):
         page_frame(spark, *bodies).write.mode("append").json(landed)
         pages = incremental.stream_pages(spark, landed, max_files=1)
-        incremental.append_stream(pages, warehouse, checkpoint).awaitTermination()
+        incremental.append_stream(pages, warehouse, checkpoint, max_id=799).awaitTermination()
         return sorted(tuple(r) for r in tables.read_contests(spark, warehouse).collect())
 
     assert land(*CONTESTS) == [(1, 2, 1), (2, 3, 2)]
     assert land([contest(1, 2, 1), contest(3, 1, 1)]) == [(1, 2, 1), (2, 3, 2), (3, 1, 1)]
+    # (1, 4, 4) landed before entity 4, and is loaded with it.
+    late = landing.raw_entities(landing.records(landing.page_items(page_frame(spark, [entity(4)]))))
+    pipeline.load_entities(spark, late, warehouse)
+    assert (1, 4, 4) in [tuple(r) for r in tables.read_contests(spark, warehouse).collect()]
+    assert land([3, {"x": 1}]) == [(1, 2, 1), (1, 4, 4), (2, 3, 2), (3, 1, 1)]
+    aside = tables.read_quarantine(spark, warehouse).collect()
+    assert [(r.source, r.reason, r.text) for r in aside] == [("contests", landing.NOT_AN_OBJECT, "3")]
+
+
+def test_nothing_is_lost_by_default(spark, tmp_path):
+    found = run(spark, str(tmp_path), max_id=None)
+    assert sorted(r.entity_id for r in found.entities.collect()) == [1, 2, 3, 900]
+    assert sorted(tuple(r) for r in found.contests.collect()) == [(1, 2, 1), (2, 3, 2), (3, 900, 3)]
+    assert [tuple(r) for r in found.quarantine_report.collect()] == [("listing", landing.NOT_AN_OBJECT, 1)]
+    waiting = [tuple(r) for r in tables.read_waiting(spark, str(tmp_path)).collect()]
+    assert waiting == [(1, 4, 4)]
+
+
+def test_limits_take_the_first_records(spark, tmp_path):
+    found = run(spark, str(tmp_path), max_id=None, max_entities=2, max_records=1)
+    assert sorted(r.entity_id for r in found.entities.collect()) == [1, 2]
+    assert [tuple(r) for r in found.contests.collect()] == [(1, 2, 1)]
+
+
+def test_nameless_entities_are_set_aside_and_counted(spark, tmp_path):
+    raw = spark.createDataFrame([(1, "a", True), (2, None, False), (None, None, True)], "id int, name string, legendary boolean")
+    report = pipeline.load_entities(spark, raw, str(tmp_path)).collect()[0]
+    assert (report.raw, report.out_of_range, report.unnamed, report.inserted) == (3, 1, 1, 1)
+    assert [r.entity_id for r in tables.read_entities(spark, str(tmp_path)).collect()] == [1]
+    aside = tables.read_quarantine(spark, str(tmp_path)).collect()
+    assert [(r.source, r.reason) for r in aside] == [("entities", pipeline.NO_NAME)] and '"entity_id":2' in aside[0].text
+
+
+def test_folders_do_not_pile_up(spark, tmp_path):
+    for _ in range(4):
+        run(spark, str(tmp_path))
+    assert len(list((tmp_path / "entities").glob("version-*"))) == tables.KEPT_VERSIONS
+    assert not list((tmp_path / "batches").glob("*"))
+    before = sorted(tuple(r) for r in tables.read_contests(spark, str(tmp_path)).collect())
+    tables.compact_contests(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in tables.read_contests(spark, str(tmp_path)).collect()) == before == [(1, 2, 1), (2, 3, 2)]
+
+
+def test_a_batch_reads_its_own_folders_only(spark, tmp_path):
+    run(spark, str(tmp_path))
+    keys = spark.createDataFrame([(1, 2, 1)], CONTEST)
+    some = tables.read_contests(spark, str(tmp_path), tables.buckets_of(keys))
+    text = some._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", text) and (1, 2, 1) in [tuple(r) for r in some.collect()]
 
 
 def test_scratch_folder_uses_the_shared_setting(spark):

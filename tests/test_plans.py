@@ -4,12 +4,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from duelframe.operators import clean, load
+from duelframe.plans.catalog import QUERIES
 from duelframe.sources import bridge
 from tests.conftest import SMALL
 
-LAZY = sorted(n for n in entry.queries() if not n.endswith("load_job"))
+JOBS = {"load_job", "stream_load_job", "load_job_quarantine", "stream_late_entities", "detail_fallback"}
+LAZY = sorted(set(QUERIES) - JOBS)
 
 
 def plan(df):
@@ -22,12 +23,12 @@ def scans(text, column):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(entry.queries()[name](spark, SMALL))
+    text = plan(QUERIES[name](spark, SMALL))
     assert not re.search(r"Python|CartesianProduct|BroadcastNestedLoopJoin|Pandas", text)
 
 
 def test_metrics_read_contests_once_and_shuffle_them_once(spark, no_broadcast):
-    text = plan(entry.queries()["outcome_metrics"](spark, SMALL))
+    text = plan(QUERIES["outcome_metrics"](spark, SMALL))
     assert scans(text, "l_partkey") == 1
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 2  # contest counts, entities
     assert "partial_sum" in text and "SortMergeJoin" in text
@@ -35,28 +36,28 @@ def test_metrics_read_contests_once_and_shuffle_them_once(spark, no_broadcast):
 
 @pytest.mark.parametrize("name", ["best_by_category", "top_n_by_category", "last_per_key", "diverse_top_n"])
 def test_groups_are_limited_before_the_shuffle(spark, name):
-    text = plan(entry.queries()[name](spark, SMALL))
+    text = plan(QUERIES[name](spark, SMALL))
     assert re.search(r"WindowGroupLimit .* Partial", text) and re.search(r"WindowGroupLimit .* Final", text)
 
 
 @pytest.mark.parametrize("name", ["ranking_by_score", "top_win_rate", "top_n_in_category", "plain_top_n"])
 def test_limits_do_not_sort_everything(spark, name):
-    assert "TakeOrderedAndProject" in plan(entry.queries()[name](spark, SMALL))
+    assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SMALL))
 
 
 def test_only_needed_columns_are_read(spark):
-    text = plan(entry.queries()["category_list"](spark, SMALL))
+    text = plan(QUERIES["category_list"](spark, SMALL))
     assert "ReadSchema: struct<p_brand:string,p_type:string>" in text
 
 
 def test_key_filters_reach_the_scan(spark):
-    assert "LessThanOrEqual(p_partkey,799)" in plan(entry.queries()["key_range_filter"](spark, SMALL))
-    assert "EqualTo(p_partkey,42)" in plan(entry.queries()["entity_lookup"](spark, SMALL))
+    assert "LessThanOrEqual(p_partkey,799)" in plan(QUERIES["key_range_filter"](spark, SMALL))
+    assert "EqualTo(p_partkey,42)" in plan(QUERIES["entity_lookup"](spark, SMALL))
 
 
 def test_cleaning_adds_no_shuffle(spark):
     for name in ("clean_entities", "clean_contests", "conform_entities", "paged_ingest", "quarantined_records"):
-        assert "Exchange" not in plan(entry.queries()[name](spark, SMALL))
+        assert "Exchange" not in plan(QUERIES[name](spark, SMALL))
 
 
 def test_costly_keys_are_not_copied_into_filters(spark):
@@ -66,7 +67,28 @@ def test_costly_keys_are_not_copied_into_filters(spark):
 
 
 def test_correlation_is_one_compiled_stage(spark):
-    df = entry.queries()["attribute_correlation"](spark, SMALL)
+    df = QUERIES["attribute_correlation"](spark, SMALL)
     df.collect()
     text = plan(df).split("Initial Plan")[0]
     assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[stat#\d+, metric#\d+\], functions=\[partial_covar_pop", text)
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange hashpartitioning", text))
+
+
+def test_a_classified_batch_takes_four_shuffles(spark, no_broadcast):
+    for name in ("contests_classified", "contests_append"):
+        text = plan(QUERIES[name](spark, SMALL))
+        assert exchanges(text) <= 4 and scans(text, "l_partkey") == 2  # the batch and the stored contests
+
+
+def test_an_upsert_reads_each_input_once_and_shuffles_once(spark, no_broadcast):
+    for name in ("entities_upsert", "entities_upsert_partial"):
+        text = plan(QUERIES[name](spark, SMALL))
+        assert scans(text, "p_partkey") == 2 and exchanges(text) == 1 and "Join" not in text
+
+
+def test_limited_records_are_decoded_before_they_are_ordered(spark):
+    text = plan(QUERIES["paged_ingest_limited"](spark, SMALL))
+    assert "TakeOrderedAndProject" in text and "Exchange rangepartitioning" not in text
