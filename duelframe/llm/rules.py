@@ -27,10 +27,10 @@ RANGES = 3
 #: Ratio: (numerator, denominator, scale, margin above, margin below or None for no lower threshold).
 RATIOS = {
     "symbols": ("n_symbols", "n_words", 1000, 100, None),
-    "repeats": ("n_repeat_words", "n_words", 1000, 150, None),
-    "dup_lines": ("n_dup_lines", "n_words", 1000, 50, None),
+    "repeats": ("n_repeat_words", "n_words", 1000, 200, None),
+    "dup_lines": ("n_dup_lines", "n_words", 1000, 100, None),
     "capitals": ("n_capitals", "word_chars", 1000, 150, None),
-    "word_length": ("word_chars", "n_words", 100, 300, 300),
+    "word_length": ("word_chars", "n_words", 100, 500, 500),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
 SPACES = " \t\n\x0b\x0c\r"

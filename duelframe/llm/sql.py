@@ -9,9 +9,9 @@ _RATIOS = """
 
 _LIMITS = """
   SELECT {groups}, max(total) AS total,
-         max(hi) FILTER (ratio = 'symbols') + 100 AS symbols_high, max(hi) FILTER (ratio = 'repeats') + 150 AS repeats_high,
-         max(hi) FILTER (ratio = 'dup_lines') + 50 AS dup_lines_high, max(hi) FILTER (ratio = 'capitals') + 150 AS capitals_high,
-         max(hi) FILTER (ratio = 'word_length') + 300 AS word_length_high, max(lo) FILTER (ratio = 'word_length') - 300 AS word_length_low
+         max(hi) FILTER (ratio = 'symbols') + 100 AS symbols_high, max(hi) FILTER (ratio = 'repeats') + 200 AS repeats_high,
+         max(hi) FILTER (ratio = 'dup_lines') + 100 AS dup_lines_high, max(hi) FILTER (ratio = 'capitals') + 150 AS capitals_high,
+         max(hi) FILTER (ratio = 'word_length') + 500 AS word_length_high, max(lo) FILTER (ratio = 'word_length') - 500 AS word_length_low
   FROM (SELECT {groups}, ratio, max(total) AS total, min(edge) FILTER (100 * upto >= 75 * total) AS q75, min(edge) FILTER (100 * upto >= 25 * total) AS q25,
                q75 + 3 * (q75 - q25) AS hi, q25 - 3 * (q75 - q25) AS lo
         FROM (SELECT *, sum(n) OVER (PARTITION BY {groups}, ratio ORDER BY edge) AS upto, sum(n) OVER (PARTITION BY {groups}, ratio) AS total
