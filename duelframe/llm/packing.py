@@ -6,8 +6,8 @@ lengths that fill a window are enumerated, and non-negative least squares finds
 one. The counts are rounded down and, where lengths run short, cut to what there is. Remainders are
 then dealt to the combinations by their rank within their length; the few tokens by which a sequence
 would overflow, because lengths are rounded down to a step, and the remainders that no combination
-took are packed greedily, end to end, into sequences of their own. Every sequence but the last is
-full.
+took are packed greedily, end to end, into sequences of their own. All of these are full; the few tokens
+left in the end go to sequences whose lengths are powers of two, which need no padding either.
 """
 
 from __future__ import annotations
@@ -172,7 +172,7 @@ def _ranked(rows: DataFrame, group: str, weight: F.Column, buckets: int) -> Data
 
 
 def pack(documents: DataFrame, window: int = WINDOW, grain: int = GRAIN, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Pieces of documents in sequences of `window` tokens; all but the last sequence are full.
+    """Pieces of documents in sequences of `window` tokens, and of powers of two for what is left in the end.
 
     Returns doc_id, start, length, ids (the piece's ids as 32-bit little-endian numbers), doc_tokens,
     sequence_id, offset and kind (`whole` window, `combined`, `residual`). Null texts are empty; an empty
@@ -186,7 +186,7 @@ def pack(documents: DataFrame, window: int = WINDOW, grain: int = GRAIN, vocabul
     length = F.col("n_tokens") % window
     rows = tokens.select("row", "key", F.floor(F.col("n_tokens") / window).alias("wholes"),
                          (F.col("n_tokens") - length).alias("start"), length.alias("length"), F.floor(length / grain).cast("int").alias("bin"))
-    counted = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("wholes").alias("wholes")).collect()  # one row per length
+    counted = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("wholes").alias("wholes"), F.sum(F.col("start") + F.col("length")).alias("tokens")).collect()  # one row per length
     chosen = plan({r["bin"]: r["n"] for r in counted}, steps)
     n_whole, n_combined = sum(r["wholes"] for r in counted), sum(n for _, n in chosen)
     buckets = max(16, -(-sum(r["n"] for r in counted) // ROWS_PER_BUCKET))
@@ -209,11 +209,20 @@ def pack(documents: DataFrame, window: int = WINDOW, grain: int = GRAIN, vocabul
     ends = combined.where("fits < length").select("row", "key", (F.col("start") + F.col("fits")).alias("start"), (F.col("length") - F.col("fits")).alias("length"))
     rest = dealt.where("slot IS NULL").select("row", "key", "start", "length").unionByName(ends).withColumn("one", F.lit(0))
     rest = _ranked(rest, "one", F.col("length"), buckets)
-    past = F.col("before") + F.col("length")
-    rest = rest.withColumn("past", past).withColumn("i", F.explode(F.sequence(F.floor(F.col("before") / window), F.floor((past - 1) / window))))
-    low, high = F.greatest("before", F.col("i") * window), F.least("past", (F.col("i") + 1) * window)
-    residual = rest.select("row", (F.col("start") + low - F.col("before")).alias("start"), (high - low).alias("length"),
-                           (F.col("i") + n_whole + n_combined).alias("sequence_id"), (low - F.col("i") * window).alias("offset"), F.lit("residual").alias("kind"))
+    rest = stored(rest.select("row", "start", "length", "before", (F.col("before") + F.col("length")).alias("past")), "rest")
+    n_rest = sum(r["tokens"] for r in counted) - (n_whole + n_combined) * window
+    end, last = n_rest // window * window, n_whole + n_combined + n_rest // window
+    touched = F.sequence(F.floor(F.col("before") / window), F.floor((F.least("past", F.lit(end)) - 1) / window))
+    spans = rest.where(F.col("before") < end).withColumn("i", F.explode(touched))
+    spans = spans.withColumns({"from": F.col("i") * window, "upto": (F.col("i") + 1) * window, "id": F.col("i") + n_whole + n_combined}).drop("i")
+    powers = [1 << b for b in reversed(range(window.bit_length())) if n_rest % window >> b & 1]
+    ends = [end + sum(powers[: i + 1]) for i in range(len(powers))]
+    tail = [F.struct(F.lit(e - p).cast("long").alias("from"), F.lit(e).cast("long").alias("upto"), F.lit(last + i).cast("long").alias("id")) for i, (p, e) in enumerate(zip(powers, ends, strict=True))]
+    if tail:
+        spans = spans.unionByName(rest.where(F.col("past") > end).select("*", F.inline(F.array(*tail))).where("before < upto AND past > `from`"))
+    low, high = F.greatest("before", "from"), F.least("past", "upto")
+    residual = spans.select("row", (F.col("start") + low - F.col("before")).alias("start"), (high - low).alias("length"),
+                            F.col("id").cast("long").alias("sequence_id"), (low - F.col("from")).alias("offset"), F.lit("residual").alias("kind"))
 
     # A remainder has a few pieces at most; whole windows are cut from the number of their first sequence.
     pieces = taken.unionByName(residual).groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset", "kind")).alias("pieces"))
