@@ -12,6 +12,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duelframe.sources.tables import remove
+
 #: Entries that a word cache of one task may hold. Words beyond it are worked out again each time.
 CACHE_WORDS = 300_000
 
@@ -49,13 +51,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
-    """`frame` written once to the shared folder and read back, so that later steps don't repeat it."""
+    """`frame` written once to the shared folder and read back, so that later steps don't repeat it.
+
+    Results are lazy and read such tables, so they stay until `discard` or until the folder is emptied.
+    """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
     frame.write.option("compression", "zstd").parquet(path)
+    vars(spark.sparkContext).setdefault("duelframe_stored", []).append(path.rsplit("/", 1)[0])
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Delete all tables that this application has stored between steps, once no result is read any more."""
+    folders = vars(spark.sparkContext).setdefault("duelframe_stored", [])
+    while folders:
+        remove(spark, folders.pop())
+
+
 def id_crc(column: str = "doc_id") -> F.Column:
     """crc32 of the id as text; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 
 from duelframe.llm import factorisation, toxicity
-from duelframe.llm.common import Cache, bounded_sample, labelled_sample, ship
+from duelframe.llm.common import Cache, bounded_sample, discard, labelled_sample, ship, stored
 from duelframe.llm.queries import QUERIES
 from tests.llm.rows import CLASHES, LONG, PROSE, ROWS, edges, nothing
 
@@ -101,6 +101,16 @@ def test_samples_are_bounded_and_labels_settled(spark):
     assert factorisation.learn(nothing(spark), labels).w0 == 0.0
 
 
+def test_stored_tables_can_be_discarded(spark):
+    from pathlib import Path
+
+    frame = stored(spark.range(3), "numbers")
+    folder = Path(frame.inputFiles()[0].removeprefix("file://")).parents[1]
+    assert frame.count() == 3 and folder.exists()
+    discard(spark)
+    assert not folder.exists()
+
+
 def rules_true():
     from pyspark.sql import functions as F
 
