@@ -91,9 +91,10 @@ def mix(documents: DataFrame, weights: dict | None = None, block: int = BLOCK, p
     length = F.coalesce(F.col(size) if size else F.length("text"), F.lit(0)).cast("long")
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))  # joins take equal keys only
     rows = documents.select(F.struct(*documents.columns).alias("d"), F.col("source").cast("string").alias("s"), key.alias("key"), F.col("doc_id").cast("string").alias("i"), spread("doc_id").alias("h"), length.alias("n"))
-    sizes = {r["s"]: (r["rows"], r["size"]) for r in rows.groupBy("s").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("size")).collect()}  # one row per source
+    by_source = rows.groupBy("s").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("size"))
+    sizes = {r["s"]: (r["rows"], r["size"]) for r in by_source.limit(MOST_SOURCES + 1).collect()}
     if len(sizes) > MOST_SOURCES:
-        raise ValueError(f"{len(sizes)} sources; this operator takes {MOST_SOURCES}")
+        raise ValueError(f"this operator takes {MOST_SOURCES} sources, and there are more")
     if not sizes:
         empty = documents.limit(0)
         return empty.withColumns({c: F.lit(None).cast("long") for c in added})
