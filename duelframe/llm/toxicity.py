@@ -8,6 +8,7 @@ offend.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -80,38 +81,44 @@ def fit(sample: list[tuple[str, int]], rounds: int = ROUNDS, rate: float = 0.1,
     evidence for and none against, so weights don't fall below 0. A sample without both labels gives a
     constant score.
     """
+    sample = sorted(sample, key=lambda x: -x[1])  # toxic ones first: they name the features that may count
     labels = np.array([y for _, y in sample], dtype=float)
     if not len(sample) or labels.min() == labels.max():
         return Model({0: {}}, 20.0 if len(sample) and labels.min() else -20.0)
     index: dict[str, int] = {}
     known: dict[tuple[int, str], int] = {}
-    closes, pairs_w, pairs_f, words, sentence, owner, base = [], [], [], [], [], [], 0
-    for d, (text, _) in enumerate(sample):
+    closes, pairs_w, pairs_f, words, sentence, owner, base = array("b"), array("i"), array("i"), [], [], [], 0
+    for d, (text, label) in enumerate(sample):
         tokens = [t for t in tokens_of(text) if t]
         for t in dict.fromkeys(tokens):
             if t not in index:
                 closes.append(ends(t))
-                ids = [known.setdefault(f, len(known)) for f in features(t)]
+                ids = [known.setdefault(f, len(known)) if label else known[f] for f in features(t) if label or f in known]
                 pairs_w.extend([len(index)] * len(ids))
                 pairs_f.extend(ids)
                 index[t] = len(index)
-        own = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
-        place = np.concatenate([[0], np.cumsum([closes[w] for w in own])[:-1]]) if len(own) else np.zeros(0, np.int64)
+        own = np.fromiter(map(index.__getitem__, tokens), np.int32, len(tokens))
+        place = np.concatenate([[0], np.cumsum(np.frombuffer(closes, "b")[own], dtype=np.int32)[:-1]]) if len(own) else np.zeros(0, np.int32)
         n = int(place[-1]) + 1 if len(own) else 0
         words.append(own)
-        sentence.append(place + base)
-        owner.append(np.full(n, d))
+        sentence.append((place + base).astype(np.int32))
+        owner.append(np.full(n, d, np.int32))
         base += n
-    pw, pf = np.array(pairs_w, np.int64), np.array(pairs_f, np.int64)
-    word, sent, own = np.concatenate(words), np.concatenate(sentence).astype(np.int64), np.concatenate(owner).astype(np.int64)
+    pw, pf = np.array(pairs_w), np.array(pairs_f)
+    word, sent, own = np.concatenate(words), np.concatenate(sentence), np.concatenate(owner)
     n_words, n_docs = len(index), len(sample)
     # In how many texts of each label a feature occurs.
     seen = np.unique(np.repeat(np.arange(n_docs), [len(x) for x in words]) * n_words + word)
-    first, many = np.searchsorted(pw, seen % n_words), np.bincount(pw, minlength=n_words)[seen % n_words]
-    at = np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-    in_texts = np.unique(np.repeat(seen // n_words, many) * (len(known) + 1) + pf[at])
-    text_label, feature = labels[in_texts // (len(known) + 1)], in_texts % (len(known) + 1)
-    toxic, clean = np.bincount(feature, text_label, len(known)), np.bincount(feature, 1 - text_label, len(known))
+    del words, sentence, owner, pairs_w, pairs_f
+    first_of, many_of = np.searchsorted(pw, np.arange(n_words)), np.bincount(pw, minlength=n_words)
+    toxic, clean = np.zeros(len(known)), np.zeros(len(known))
+    for part in np.array_split(seen, np.searchsorted(seen // n_words, np.arange(200, n_docs, 200))):  # 200 texts at a time
+        first, many = first_of[part % n_words], many_of[part % n_words]
+        at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        in_texts = np.unique(np.repeat(part // n_words, many) * (len(known) + 1) + pf[at])
+        text_label, feature = labels[in_texts // (len(known) + 1)], in_texts % (len(known) + 1)
+        toxic += np.bincount(feature, text_label, len(known))
+        clean += np.bincount(feature, 1 - text_label, len(known))
     least = 2 * np.log(len(known) + 1)
     chosen = [f for f in np.flatnonzero(toxic >= 3) if evidence(toxic[f], clean[f], labels.sum(), len(labels)) >= least]
     # From here on only chosen features and the words that have them.
