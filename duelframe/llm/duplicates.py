@@ -8,9 +8,10 @@ to a hashed coordinate, and the earliest one per coordinate is the signature: tw
 coordinate as often as their weighted Jaccard similarity.
 
 Bands of the signature are joined without ever listing the pairs of a bucket: each text is compared with one
-pivot per bucket, exactly, by the shingles of both. Texts whose bucket then still holds several classes are
-compared with the others there, block by block, by signature first and exactly after. So every pair that
-shares a bucket either is in one class already or has been compared.
+pivot per bucket, exactly, by the shingles of both. In buckets that then still hold several classes,
+signatures are compared block by block; what may be alike is gathered, and gathered texts are compared
+exactly, block by block again. Blocks put out links that span what they join, never all pairs. So every
+pair that shares a bucket either is in one class already or has been compared.
 """
 
 from __future__ import annotations
@@ -161,27 +162,40 @@ def signed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.xxhash64(text).alias("node"), text.alias("text")).mapInPandas(sign, f"doc_id {kind}, node long, keys array<long>, sketch binary")
 
 
-def verified(pairs: DataFrame, documents: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs of nodes (a, b) whose texts are alike, by all shingles of both."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def shingle_table(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, values, counts: the shingles of the wanted nodes (node, first_id), each text read once.
+
+    The wanted nodes may be any share of all, so they are never broadcast.
+    """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [shingles(x) for x in texts_of(frame["text"])]
-            yield pd.DataFrame({"node": frame["node"].to_numpy(), "values": [v.tobytes() for v, _ in found], "counts": [c.astype("<u4").tobytes() for _, c in found]})
+            yield pd.DataFrame({"node": frame["node"].to_numpy(), "values": [v.tobytes() for v, _ in found], "counts": [c.astype("<u4").tobytes() if c.max() > 1 else b"" for _, c in found]})
+
+    text = F.coalesce("text", F.lit(""))
+    texts = documents.select(F.xxhash64(text).alias("node"), "doc_id", text.alias("text")).join(wanted.hint("merge"), "node")
+    texts = texts.where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "text").dropDuplicates(["node"])
+    return stored(texts.mapInPandas(count, "node long, values binary, counts binary"), "shingles")
+
+
+def _read(values: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    found = np.frombuffer(values, np.uint64)
+    return found, np.frombuffer(counts, "<u4").astype(float) if counts else np.ones(len(found))
+
+
+def verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs of nodes (a, b) whose texts are alike, by all shingles of both."""
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read = lambda v, c: (np.frombuffer(v, np.uint64), np.frombuffer(c, "<u4").astype(float))
         for frame in frames:
-            near = [similarity(read(v, c), read(w, d)) >= least for v, c, w, d in zip(frame["va"], frame["ca"], frame["vb"], frame["cb"], strict=True)]
-            yield frame.loc[near, ["a", "b"]]
+            near = [similarity(_read(v, c), _read(w, d)) >= least for v, c, w, d in zip(frame["va"], frame["ca"], frame["vb"], frame["cb"], strict=True)]
+            yield frame.loc[np.array(near, bool), ["a", "b"]]
 
-    text = F.coalesce("text", F.lit(""))
-    texts = documents.select(F.xxhash64(text).alias("node"), text.alias("text")).join(wanted, "node")
-    one = stored(texts.mapInPandas(count, "node long, values binary, counts binary").dropDuplicates(["node"]), "shingles")
-    first = one.select(F.col("node").alias("a"), F.col("values").alias("va"), F.col("counts").alias("ca"))
-    second = one.select(F.col("node").alias("b"), F.col("values").alias("vb"), F.col("counts").alias("cb"))
-    return stored(pairs.join(first, "a").join(second, "b").select("a", "b", "va", "ca", "vb", "cb").mapInPandas(compare, "a long, b long"), "links")
+    first = table.select(F.col("node").alias("a"), F.col("values").alias("va"), F.col("counts").alias("ca"))
+    second = table.select(F.col("node").alias("b"), F.col("values").alias("vb"), F.col("counts").alias("cb"))
+    joined = pairs.hint("merge").join(first, "a").hint("merge").join(second, "b")
+    return stored(joined.select("a", "b", "va", "ca", "vb", "cb").mapInPandas(compare, "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -206,34 +220,83 @@ def components(links: DataFrame) -> DataFrame:
         edges = small.unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _others(rows: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes that share a bucket and whose signatures may be alike.
-
-    Only buckets with several classes are looked into. Their texts are dealt to blocks, and every two blocks of a
-    bucket meet in a group of their own, of 2 * BLOCK texts or so, whatever the size of the bucket.
-    """
-    placed = rows.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    placed = placed.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    placed = placed.select("key", "node", "root", "own", other).select("key", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    placed = placed.join(nodes.select("node", "sketch"), "node")
+def _blocks(members: DataFrame, group: str) -> DataFrame:
+    """`members` (group, node, root) dealt to blocks of BLOCK nodes or so; every two blocks of a group meet as (i, j)."""
+    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("x"), F.max("root").alias("y"))
+    sizes = sizes.where("x <> y").select(group, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))  # several classes only
+    own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int").alias("own")
+    dealt = members.join(sizes, group).select(group, "node", "root", own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return dealt.select(group, "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def _spanning(node: np.ndarray, root: np.ndarray, own: np.ndarray, same_block: bool, near) -> pd.DataFrame:
+    """Links between nodes that `near(r)` finds, as many as it takes to join what it joins, none within a class."""
+    label = np.unique(root, return_inverse=True)[1]
+    a, b = [], []
+    for r in range(len(node) - 1):
+        hit = near(r) & (label[r + 1 :] != label[r])
+        if not same_block:
+            hit &= own[r + 1 :] != own[r]
+        at = r + 1 + np.flatnonzero(hit)
+        if len(at):
+            others, first = np.unique(label[at], return_index=True)
+            a.append(np.full(len(others), node[r]))
+            b.append(node[at[first]])
+            label[np.isin(label, others)] = label[r]
+    joined = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+    return pd.DataFrame({"a": joined(a), "b": joined(b)})
+
+
+def _candidates(rows: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (a, b) that join the texts of different classes which share a bucket and whose signatures may be alike."""
+    members = rows.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = _blocks(members, "key").join(nodes.select("node", "sketch"), "node")
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         table = np.stack([np.frombuffer(x, "<u2") for x in frame["sketch"]])
-        node, root, own = (frame[c].to_numpy() for c in ("node", "root", "own"))
-        a, b = [], []
-        for r in range(len(table) - 1):
-            near = (table[r + 1 :] == table[r]).mean(1) >= LEAST
-            near &= (root[r + 1 :] != root[r]) & ((own[r + 1 :] != own[r]) | (key[1] == key[2]))
-            at = r + 1 + np.flatnonzero(near)
-            a.append(np.minimum(node[at], node[r]))
-            b.append(np.maximum(node[at], node[r]))
-        return pd.DataFrame({"a": np.concatenate(a) if a else np.zeros(0, np.int64), "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
+        near = lambda r: (table[r + 1 :] == table[r]).mean(1) >= LEAST
+        return _spanning(*(frame[c].to_numpy() for c in ("node", "root", "own")), bool(key[1] == key[2]), near)
 
     return placed.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
+def _between_classes(candidates: DataFrame, roots: DataFrame, table: DataFrame, least: float) -> DataFrame:
+    """Verified links between classes: all texts that candidate links and classes join are compared exactly, in blocks."""
+    groups = components(candidates.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "cluster")
+    members = groups.join(roots, "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root"))
+    placed = _blocks(members, "cluster").join(table, "node")
+
+    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return _spanning(*(frame[c].to_numpy() for c in ("node", "root", "own")), bool(key[1] == key[2]), _exact(frame["values"], frame["counts"], least))
+
+    return stored(placed.groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long"), "links")
+
+
+def _exact(values: pd.Series, counts: pd.Series, least: float):
+    """For row r, which later rows have a similarity of `least` or more: common shingles of all pairs by products of 0-1 tables."""
+    units, owner = [], []
+    for n, (v, c) in enumerate(_read(x, y) for x, y in zip(values, counts, strict=True)):
+        copy = np.concatenate([np.arange(k) for k in c.astype(np.int64)]) if c.max(initial=1) > 1 else np.zeros(len(v), np.int64)
+        units.append(_mix(np.repeat(v, c.astype(np.int64)) + copy.astype(np.uint64) * _C1))  # the k-th copy of a shingle
+        owner.append(np.full(len(units[-1]), n))
+    size = np.array([len(u) for u in units], dtype=float)
+    unit, owner = np.concatenate(units), np.concatenate(owner)
+    _, column, times = np.unique(unit, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(size), len(size)), dtype=np.float32)
+    for first in range(0, int(column.max(initial=-1)) + 1, 4096):
+        part = slice(*np.searchsorted(column, [first, first + 4096]))
+        block = np.zeros((len(size), 4096), dtype=np.float32)
+        block[owner[part], column[part] - first] = 1
+        common += block @ block.T
+    alike = common / np.maximum(1e-9, size[:, None] + size[None, :] - common.astype(float)) >= least
+    return lambda r: alike[r, r + 1 :]
+
+
 def near_duplicates(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, node, class_id (the smallest doc_id of its class) and kept (is it the class's own row) per row.
 
@@ -248,13 +311,13 @@ def near_duplicates(documents: DataFrame, least: float = SIMILARITY) -> DataFram
     rows = nodes.select("node", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).where("pivot <> other").select("key", "pivot")
     rows = stored(rows.join(shared, "key"), "buckets")
-    pairs = stored(rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
-    links = verified(pairs, documents, least)
+    table = shingle_table(documents, rows.select("node").distinct().join(nodes.select("node", "first_id"), "node"))
+    pairs = rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    links = verified(pairs, table, least)
     roots = components(links)
-    more = stored(_others(rows, nodes, roots), "others")
-    if not more.isEmpty():
-        links = links.unionByName(verified(more, documents, least))
-        roots = components(links)
+    candidates = stored(_candidates(rows, nodes, roots), "candidates")
+    if not candidates.isEmpty():
+        roots = components(links.unionByName(_between_classes(candidates, roots, table, least)))
     placed = nodes.select("node", "first_id").join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     classes = placed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.min_by("node", F.struct(F.col("first_id").isNull(), "first_id", "node")).alias("class_node"))
     placed = placed.join(classes, "root").select("node", "class_id", "class_node", "root")
