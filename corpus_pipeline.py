@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.llm import duplicates, mixing, packing, rules, toxicity
-from duelframe.llm.common import ship, stored, table
+from duelframe.llm.common import in_stored_order, ship, stored, table
 
 #: Texts that score less are kept.
 TOXIC = toxicity.THRESHOLD
@@ -43,10 +43,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 2048 tokens."""
+    """Pieces of the documents in sequences of 2048 tokens, which follow the order in which the mix was written.
+
+    `epoch` tells the pieces of a document's copies apart.
+    """
     ship(spark)
-    pieces = packing.pack(docs)
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "kind")
+    pieces = packing.pack(in_stored_order(docs.select("doc_id", "text"), "nth"), order="nth")
+    return pieces.select("doc_id", "epoch", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "kind")
 
 
 STAGES = [("quality", quality), ("clean", clean), ("distinct", distinct), ("mixed", mixed), ("packed", packed)]

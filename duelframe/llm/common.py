@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,32 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def in_stored_order(frame: DataFrame, name: str) -> DataFrame:
+    """`frame` with the column `name`: the number of each row, from 0, in the order in which its Parquet was written.
+
+    Spark's writer numbers part files by partition, and sorted partitions keep their order in them; readers
+    don't, since they deal out files by size. A frame that was not read from files has its rows' present order,
+    with gaps between partitions.
+    """
+    try:
+        at = frame.metadataColumn("_metadata")
+        placed = frame.withColumns({"_file": at["file_path"], name: at["row_index"]})
+    except AnalysisException:
+        return frame.withColumn(name, F.monotonically_increasing_id())
+    counts = {r["_file"]: r["n"] for r in placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per file
+
+    def part(path: str) -> tuple:
+        found = re.search(r"part-(\d+)[^/]*\Z", path)
+        return path.rsplit("/", 1)[0], int(found[1]) if found else -1, path
+
+    first, at = [], 0
+    for path in sorted(counts, key=part):
+        first.append((path, at))
+        at += counts[path]
+    files = frame.sparkSession.createDataFrame(first, "_file string, _first long")
+    return placed.join(F.broadcast(files), "_file").withColumn(name, F.col(name) + F.col("_first")).drop("_file", "_first")
+
+
 def discard(spark: SparkSession) -> None:
     """Delete all tables that this application has stored between steps, once no result is read any more."""
     folders = vars(spark.sparkContext).setdefault("duelframe_stored", [])
