@@ -79,3 +79,15 @@ def test_table_and_edge_rows(spark):
     rows = licences.scan(edges(spark)).collect()
     assert sorted((str(r["doc_id"]), r["n_words"]) for r in rows) == sorted((str(r[0]), plain(r[1] or "")[0]) for r in ROWS)
     assert licences.scan(nothing(spark)).count() == 0
+
+
+def test_long_expressions_score_by_their_most_open_alternative():
+    score = lambda expression: licences.scan_text(f"SPDX-License-Identifier: {expression}")[6]
+    assert score(" AND ".join(f"(GPL-{i}.0 OR MIT-{i})" for i in range(12))) == 1.0
+    assert score(" AND ".join([f"(GPL-{i}.0 OR MIT-{i})" for i in range(12)] + ["MPL-2.0"])) == 0.5
+    rng = random.Random(9)
+    for _ in range(200):
+        parts = [f"({' OR '.join(rng.choices(['MIT', 'GPL-2.0-only', 'CC-BY-NC-4.0', 'ISC WITH x'], k=rng.randrange(1, 4)))})" for _ in range(rng.randrange(1, 5))]
+        text = "".join(p + rng.choice([" AND ", " OR "]) for p in parts)
+        ways = [[licences.OPENNESS[licences.family(x)] for x in way if not x.startswith("with:")] for way in licences.alternatives(text)]
+        assert licences.openness(text) == max(map(min, ways)), text
