@@ -112,18 +112,21 @@ def alternatives(expression: str) -> list[frozenset[str]]:
     return sorted(stack[-1], key=lambda s: (len(s), sorted(s))) if stack else []
 
 
-def openness(expression: str) -> float | None:
-    """How open an expression's most open alternative is, and that by its strictest licence: OR takes the larger, AND the smaller.
+def openness(expression: str) -> tuple[float, float] | None:
+    """Between which bounds an expression's most open alternative lies, and that by its strictest licence: OR takes the larger, AND the smaller.
 
-    Exact for any number of alternatives. An exception changes nothing; null without any licence.
+    Exact for any number of alternatives; the bounds differ where it hangs on an identifier that is not
+    known. An exception changes nothing; null without any licence.
     """
-    stack: list[float] = []
+    stack: list[tuple[float, float]] = []
     for token in postfix(expression):
         if token not in _RANK:
-            stack.append(OPENNESS.get(family(token.lower()), 0.0))
+            known = OPENNESS.get(family(token.lower()))
+            stack.append((0.0, 1.0) if known is None else (known, known))
         elif len(stack) > 1:
             right, left = stack.pop(), stack.pop()
-            stack.append({"or": max(left, right), "and": min(left, right), "with": left}[token])
+            pick = {"or": max, "and": min, "with": lambda x, _: x}[token]
+            stack.append((pick(left[0], right[0]), pick(left[1], right[1])))
     return stack[-1] if stack else None
 
 
@@ -168,24 +171,25 @@ def scan_text(text: str) -> tuple:
             first, last = start if first is None else min(first, start), start if last is None else max(last, start)
         else:
             labels.add(NOTICES[phrase][0])
-    open_to = [OPENNESS[x] for x in base | labels]
+    open_to = [(OPENNESS[x], OPENNESS[x]) for x in base | labels]
     if tagged:
         for match in _TAGGED.finditer(text):
             ways = alternatives(match[1])
             if ways:
                 expressions.append(match[1].strip())
-                known = [{family(x) for x in way if not x.startswith("with:")} for way in ways]
-                labels |= {x for way in known for x in way if x}
+                labels |= {family(x) or x for way in ways for x in way if x and not x.startswith("with:")}
                 open_to.append(openness(match[1]))
-    score = min(open_to) if open_to else 0.0
-    return len(words), n_base, first, last, ",".join(sorted(base)), ",".join(sorted(base | labels)), float(score), spans, expressions
+    low, high = (min(x) for x in zip(*open_to, strict=True)) if open_to else (0.0, 0.0)
+    score = low if low == high else None
+    return len(words), n_base, first, last, ",".join(sorted(base)), ",".join(sorted(base | labels)), score, spans, expressions
 
 
 def scan(documents: DataFrame) -> DataFrame:
     """One row per document: words, base places, labels, score, all spans and tagged expressions.
 
     `score` says how freely the text may be used, by the strictest notice in it: 1 permissive, 0.5 with
-    conditions, 0 closed or no notice at all. An expression counts with its most open alternative, and
+    conditions, 0 closed or no notice at all, null where it hangs on an identifier that is not known, which is
+    its own label in lower case. An expression counts with its most open alternative, and
     that with its strictest licence. `spans` lists each phrase with the index of its first word. Null texts
     are empty, without words and labels; repeated rows are scanned one by one; other columns are not read.
     """

@@ -90,4 +90,22 @@ def test_long_expressions_score_by_their_most_open_alternative():
         parts = [f"({' OR '.join(rng.choices(['MIT', 'GPL-2.0-only', 'CC-BY-NC-4.0', 'ISC WITH x'], k=rng.randrange(1, 4)))})" for _ in range(rng.randrange(1, 5))]
         text = "".join(p + rng.choice([" AND ", " OR "]) for p in parts)
         ways = [[licences.OPENNESS[licences.family(x)] for x in way if not x.startswith("with:")] for way in licences.alternatives(text)]
-        assert licences.openness(text) == max(map(min, ways)), text
+        assert licences.openness(text) == (max(map(min, ways)),) * 2, text
+
+
+def test_unknown_identifiers_are_labels_and_differ_from_no_notice():
+    scan = lambda text: licences.scan_text(f"SPDX-License-Identifier: {text}")[4:7]
+    for name in ("Zlib", "0BSD", "EUPL-1.2", "Artistic-2.0", "CDDL-1.0"):
+        assert scan(name) == ("", name.lower(), None)
+    assert scan("Zlib OR MIT") == ("", "mit,zlib", 1.0)
+    assert scan("Zlib AND MIT") == ("", "mit,zlib", None)
+    assert scan("Zlib OR GPL-2.0-only") == ("", "gpl,zlib", None)
+    assert scan("Zlib\nAll rights reserved.") == ("", "reserved,zlib", 0.0)
+    assert scan("GPL-2.0-only WITH Classpath-exception-2.0") == ("", "gpl", 0.5)
+    assert licences.scan_text("no notice")[4:7] == ("", "", 0.0)
+
+
+def test_unknown_identifiers_reach_the_frame_with_a_null_score(spark):
+    ship(spark)
+    docs = spark.createDataFrame([(1, "SPDX-License-Identifier: Zlib"), (2, "none")], "doc_id long, text string")
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in licences.scan(docs).collect()} == {1: ("zlib", None), 2: ("", 0.0)}
