@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions.columns import dtype, missing_last, named
 from duelframe.operators.checks import not_negative, require_columns
+from duelframe.operators.positions import with_positions
 from duelframe.schemas import ENTITY_ID
 
 
@@ -50,3 +51,19 @@ def top_win_rate(
     eligible = metrics.filter(named(min_battles_column) >= F.lit(int(min_battles)))
     order = descending(eligible, win_rate_column, id_column=id_column)
     return eligible.orderBy(*order).limit(not_negative(top_n, "top_n"))
+
+
+def ranking_positions(
+    metrics: DataFrame,
+    folder: str,
+    *,
+    score_column: str = "weighted_score",
+    position: str = "position",
+    id_column: str = ENTITY_ID,
+) -> DataFrame:
+    """All entities with their place in the whole ranking, from 1; the id settles ties.
+
+    ``folder`` is a new one on shared storage, for the ranges of the order.
+    """
+    require_columns(metrics, [score_column], "metrics")
+    return with_positions(metrics, descending(metrics, score_column, id_column=id_column), folder, name=position)

@@ -123,6 +123,13 @@ def ranking_full(spark, folder):
     return ranking.ranking(scored(spark, folder)).select(ENTITY_ID, "name", "weighted_score")
 
 
+@query
+def ranking_positions(spark, folder):
+    """The place of every entity in the whole ranking."""
+    found = ranking.ranking_positions(scored(spark, folder), tables.scratch_folder(spark, "ranking-positions"))
+    return found.select(ENTITY_ID, "weighted_score", "position")
+
+
 @query
 def top_win_rate(spark, folder):
     return ranking.top_win_rate(scored(spark, folder), min_battles=30, top_n=20)

@@ -169,6 +169,7 @@ BODIES = {
         "SELECT entity_id, total_battles, total_wins, win_rate, weighted_score FROM raw_met",
     "ranking_by_score": "SELECT * FROM met ORDER BY weighted_score DESC, entity_id LIMIT 10",
     "ranking_full": "SELECT entity_id, name, weighted_score FROM met ORDER BY weighted_score DESC, entity_id",
+    "ranking_positions": "SELECT entity_id, weighted_score, row_number() OVER (ORDER BY weighted_score DESC, entity_id) AS position FROM met",
     "top_win_rate": "SELECT * FROM met WHERE total_battles >= 30 ORDER BY win_rate DESC, entity_id LIMIT 20",
     "category_win_rate": """SELECT type, sum(total_battles)::BIGINT AS total_battles, sum(total_wins)::BIGINT AS total_wins,
         least(sum(total_wins)::DOUBLE / sum(total_battles)::DOUBLE, 1::DOUBLE) AS mean_win_rate,
