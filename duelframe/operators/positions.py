@@ -13,9 +13,10 @@ ROW_BITS = 33
 
 
 def with_positions(
-    df: DataFrame, order: Sequence[Column], folder: str, *, name: str = "position", by: Sequence[str] = ()
+    df: DataFrame, order: Sequence[Column], folder: str, *, name: str = "position", by: Sequence[str] = (), total: str | None = None
 ) -> DataFrame:
     """``df`` with the place of each row in the given order, from 1, per group of the ``by`` columns if named.
+    ``total`` names a column for the number of rows of the group.
 
     The rows are cut into ranges of the order, sorted within them and written to ``folder``, a new one that all
     executors share; a row's place is then its place in its range plus the rows of the ranges before. Only one
@@ -34,10 +35,16 @@ def with_positions(
     group_names = [f"_by{i}" for i in range(len(by))]
     counts = placed.groupBy("_part", *group_names).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = W.partitionBy(*group_names).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("_part", *group_names, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_start"))
+    starts = counts.select(
+        "_part",
+        *group_names,
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_start"),
+        F.sum("_n").over(W.partitionBy(*group_names)).alias("_total"),
+    )
     same = placed["_part"] == starts["_part"]
     for c in group_names:
         same = same & placed[c].eqNullSafe(starts[c])
     # Without groups there is one start per range, as many as shuffle partitions.
     joined = placed.join(starts if by else F.broadcast(starts), same)
-    return joined.select("_row.*", (F.col("_start") + F.col("_at") + 1).alias(name))
+    totals = [F.col("_total").alias(total)] if total else []
+    return joined.select("_row.*", (F.col("_start") + F.col("_at") + 1).alias(name), *totals)

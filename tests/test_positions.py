@@ -25,11 +25,12 @@ def test_places_are_those_of_a_sorted_list(spark):
 def test_groups_count_for_themselves_and_a_null_is_one(spark):
     draw = random.Random(4)
     rows = [(draw.choice([None, "a", "a", "a", "b", ""]), n % 700) for n in range(2000)]
-    found = numbered(spark, rows, "g string, id int", [F.col("id")], by=["g"], name="nth").collect()
+    found = numbered(spark, rows, "g string, id int", [F.col("id")], by=["g"], name="nth", total="all").collect()
     for group in {g for g, _ in rows}:
         mine = sorted(id_ for g, id_ in rows if g == group)
         got = sorted((r["nth"], r["id"]) for r in found if r["g"] == group)
         assert got == list(enumerate(mine, 1))
+        assert {r["all"] for r in found if r["g"] == group} == {len(mine)}
 
 
 def test_equal_rows_are_spread_over_ranges(spark):
