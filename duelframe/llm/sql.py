@@ -47,6 +47,54 @@ judged AS (
         LEFT JOIN middle m ON r.lang IS NOT DISTINCT FROM m.lang LEFT JOIN coarse c ON c.everything = 1) r,
        LATERAL (SELECT {", ".join(f"CASE WHEN r.f IS NOT NULL THEN r.f.{x} WHEN r.m IS NOT NULL THEN r.m.{x} ELSE r.c.{x} END AS {x}" for x in ("symbols_high", "repeats_high", "dup_lines_high", "capitals_high", "word_length_high", "word_length_low"))}) t)"""
 
+#: crc32 of a decimal number as text: a bit at a time for each of its characters.
+_CRC32 = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x // 2, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END::BIGINT))), 4294967295::BIGINT)"
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, below: str, levels: int) -> str:
+    """CTEs {name}_0 to {name}_{levels} with the nodes by level, and {name}_run_k with the runs of level k."""
+    out = [f"{name}_0 AS (SELECT * FROM {below})"]
+    for k in range(levels):
+        out.append(f"{name}_run_{k} AS (SELECT tree, nth // 8 AS nth, total, list(digest ORDER BY nth) AS children FROM {name}_{k} GROUP BY tree, nth // 8, total)")
+        out.append(f"{name}_{k + 1} AS (SELECT tree, nth, ceil(total / 8)::BIGINT AS total, CASE WHEN total = 1 THEN children[1] ELSE sha256(array_to_string(children, '')) END AS digest FROM {name}_run_{k})")
+    return ",\n".join(out)
+
+
+def _climb(name: str, start: str, levels: int) -> str:
+    """CTEs {name}_up_0 to {name}_up_{levels}: (row, tree, at, folded, proof) after so many levels, from `start`."""
+    out = [f"{name}_up_0 AS ({start})"]
+    for k in range(levels):
+        left, right = "array_to_string(r.children[1:u.at % 8], '')", "array_to_string(r.children[u.at % 8 + 2:], '')"
+        out.append(
+            f"{name}_up_{k + 1} AS (SELECT u.row, u.tree, u.at // 8 AS at, CASE WHEN r.total = 1 THEN u.folded ELSE sha256({left} || u.folded || {right}) END AS folded,"
+            f" CASE WHEN r.total = 1 THEN u.proof ELSE u.proof || {left} || {right} END AS proof FROM {name}_up_{k} u JOIN {name}_run_{k} r ON u.tree = r.tree AND u.at // 8 = r.nth)"
+        )
+    return ",\n".join(out)
+
+
+#: Trees of up to 8 ** 7 documents a language and 8 ** 4 languages.
+_DEEP, _WIDE = 7, 4
+MERKLE_SQL = f"""
+WITH base AS (SELECT row_number() OVER () AS row, doc_id, coalesce('=' || lang, '') AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN {_CRC32} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE leaf END AS changed FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth, count(*) OVER (PARTITION BY tree) AS total FROM base),
+{_tree("t", "(SELECT tree, nth, total, leaf AS digest FROM placed)", _DEEP)},
+subroots AS (SELECT tree AS lang, digest, row_number() OVER (ORDER BY tree) - 1 AS nth, count(*) OVER () AS total FROM t_{_DEEP}),
+{_tree("s", "(SELECT 0 AS tree, nth, total, digest FROM subroots)", _WIDE)},
+{_climb("t", "SELECT row, tree, nth AS at, changed AS folded, '' AS proof FROM placed", _DEEP)},
+{_climb("s", f"SELECT u.row, 0 AS tree, r.nth AS at, u.folded, u.proof FROM t_up_{_DEEP} u JOIN subroots r ON u.tree = r.lang", _WIDE)}
+SELECT p.doc_id, p.leaf, r.digest AS subroot, s.digest AS root, sha256(u.proof) AS proof_sha256, u.folded AS folded_root, u.folded = s.digest AS verified
+FROM placed p JOIN s_up_{_WIDE} u ON p.row = u.row JOIN subroots r ON p.tree = r.lang, s_{_WIDE} s"""
+
 ORACLE_SQL = {
     "op5_adaptive_rules": f"WITH {RULES_CTE} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged",
+    "op13_merkle_manifest": MERKLE_SQL,
 }
