@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import duplicates, factorisation, fingerprints, html_text, languages, licences, merkle, mixing, packing, rules, toxicity
+from duelframe.llm import duplicates, factorisation, fingerprints, html_text, languages, licences, merkle, mixing, packing, rules, simhash, toxicity
 from duelframe.llm.common import id_crc, ship, table
 from duelframe.llm.sql import ORACLE_SQL
 
@@ -82,6 +82,13 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents")).drop("spans", "expressions")
 
 
+def op11_simhash_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document, and the component of fingerprints it belongs to."""
+    ship(spark)
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.as_text(F.col("bits")).alias("fingerprint"), "component_id")
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The manifest's digests for every document, its proof, and whether the row as received is verified."""
     return merkle.verify(table(spark, folder, "documents"))
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tag_path_ratios": op8_tag_path_ratios,
     "op9_multiple_instance": op9_multiple_instance,
     "op10_licences": op10_licences,
+    "op11_simhash_blocks": op11_simhash_blocks,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
