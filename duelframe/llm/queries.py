@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import duplicates, factorisation, fingerprints, html_text, languages, licences, merkle, mixing, packing, rules, simhash, toxicity
+from duelframe.llm import duplicates, factorisation, fingerprints, html_text, languages, licences, merkle, mixing, negatives, packing, rules, simhash, toxicity
 from duelframe.llm.common import id_crc, ship, table
 from duelframe.llm.sql import ORACLE_SQL
 
@@ -89,6 +89,12 @@ def op11_simhash_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_text(F.col("bits")).alias("fingerprint"), "component_id")
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The hard negatives of every anchor beside each of its positives."""
+    ship(spark)
+    return negatives.mine(table(spark, folder, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The manifest's digests for every document, its proof, and whether the row as received is verified."""
     return merkle.verify(table(spark, folder, "documents"))
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_multiple_instance": op9_multiple_instance,
     "op10_licences": op10_licences,
     "op11_simhash_blocks": op11_simhash_blocks,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 

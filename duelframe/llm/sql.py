@@ -94,7 +94,22 @@ subroots AS (SELECT tree AS lang, digest, row_number() OVER (ORDER BY tree) - 1
 SELECT p.doc_id, p.leaf, r.digest AS subroot, s.digest AS root, sha256(u.proof) AS proof_sha256, u.folded AS folded_root, u.folded = s.digest AS verified
 FROM placed p JOIN s_up_{_WIDE} u ON p.row = u.row JOIN subroots r ON p.tree = r.lang, s_{_WIDE} s"""
 
+#: All anchors against all rows.
+NEGATIVES_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id AS id, b.label AS label, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, anchor_label, id AS positive_id, score AS positive_score FROM pairs WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+  n.id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND n.label <> p.anchor_label AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+QUALIFY rank <= 5"""
+
 ORACLE_SQL = {
     "op5_adaptive_rules": f"WITH {RULES_CTE} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged",
+    "op12_hard_negatives": NEGATIVES_SQL,
     "op13_merkle_manifest": MERKLE_SQL,
 }
