@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.llm.common import stored, texts_of
+from duelframe.llm.components import components
 
 SIMILARITY = 0.8
 WORDS = 5
@@ -198,28 +199,6 @@ def verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
     return stored(joined.select("a", "b", "va", "ca", "vb", "cb").mapInPandas(compare, "a long, b long"), "links")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, root (the smallest node of its component) for the nodes of `links` (a, b), by large and small stars.
-
-    Each round joins every node's neighbours to the smallest one; about as many rounds are needed as the
-    logarithm of the longest path. Only sums of the links' hashes come to the driver.
-    """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    before = None
-    while True:
-        edges = stored(edges, "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = small.unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-
-
 def _blocks(members: DataFrame, group: str) -> DataFrame:
     """`members` (group, node, root) dealt to blocks of BLOCK nodes or so; every two blocks of a group meet as (i, j)."""
     sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("x"), F.max("root").alias("y"))
