@@ -1,6 +1,6 @@
 """Contest analytics on Spark: outcome metrics, rankings, categories, teams and loads."""
 
-from duelframe.errors import ValidationError
+from duelframe.errors import ConcurrentLoadError, ValidationError
 from duelframe.operators.categories import (
     best_by_category, categories_long, category_list, category_win_rate, top_n_by_category,
 )
@@ -11,15 +11,17 @@ from duelframe.operators.correlation import (
 )
 from duelframe.operators.metrics import outcome_counts, outcome_metrics
 from duelframe.operators.quality import quality_report
-from duelframe.operators.ranking import ranking, top_win_rate
+from duelframe.operators.ranking import ranking, ranking_positions, top_win_rate
 from duelframe.operators.team import diverse_top_n
-from duelframe.plans.pipeline import load_contests, load_entities, run_pipeline, store_metrics, stored_metrics
+from duelframe.plans.pipeline import (
+    delete_contests, delete_entities, load_contests, load_entities, run_pipeline, store_metrics, stored_metrics,
+)
 
 __all__ = [
-    "ValidationError", "attribute_correlation", "attribute_profile", "best_by_category",
+    "ConcurrentLoadError", "ValidationError", "attribute_correlation", "attribute_profile", "best_by_category",
     "categories_long", "category_list", "category_win_rate", "clean_contests", "clean_entities",
-    "correlation_matrix", "diverse_top_n", "influence", "influence_extremes", "influence_table",
+    "correlation_matrix", "delete_contests", "delete_entities", "diverse_top_n", "influence", "influence_extremes", "influence_table",
     "load_contests", "load_entities", "outcome_counts", "outcome_metrics", "quality_report",
-    "ranking", "run_pipeline", "store_metrics", "stored_metrics", "top_attribute", "top_correlations",
+    "ranking", "ranking_positions", "run_pipeline", "store_metrics", "stored_metrics", "top_attribute", "top_correlations",
     "top_n_by_category", "top_win_rate",
 ]

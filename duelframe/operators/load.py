@@ -91,17 +91,21 @@ def existing_ids(stored: DataFrame, ids: DataFrame) -> DataFrame:
 def upsert_entities(stored: DataFrame, incoming: DataFrame, *, partial: bool = False) -> DataFrame:
     """The stored table after inserting and replacing by key.
 
-    ``incoming`` has one row per key (see last_per_key). A replaced row is replaced
+    Both have one row per key (for ``incoming`` see last_per_key). A replaced row is replaced
     whole, missing values included; ``partial=True`` keeps the stored value where the
-    incoming one is NULL. Both inputs are read once and meet in one aggregation by key.
+    incoming one is NULL. Both inputs are read once and meet in one join by key.
     """
     names = [f.name for f in ENTITY.fields]
-    both = stored.select(*names, F.lit(0).alias("_new")).unionByName(incoming.select(*names, F.lit(1).alias("_new")))
-    old, new = (lambda c: F.max(F.when(F.col("_new") == 0, F.col(c)))), (lambda c: F.max(F.when(F.col("_new") == 1, F.col(c))))
-    replaced = F.max("_new") == 1
-    value = (lambda c: F.coalesce(new(c), old(c))) if partial else (lambda c: F.when(replaced, new(c)).otherwise(old(c)))
-    merged = both.groupBy(ENTITY_ID).agg(*[value(c).alias(c) for c in names if c != ENTITY_ID])
-    return merged.select(*names)
+    old = stored.select(*[F.col(c).alias(f"_old_{c}") for c in names])
+    both = old.join(incoming.select(*names), F.col(f"_old_{ENTITY_ID}") == F.col(ENTITY_ID), "full_outer")
+    replaced = F.col(ENTITY_ID).isNotNull()
+
+    def value(c: str) -> Column:
+        if partial or c == ENTITY_ID:
+            return F.coalesce(F.col(c), F.col(f"_old_{c}"))
+        return F.when(replaced, F.col(c)).otherwise(F.col(f"_old_{c}"))
+
+    return both.select(*[value(c).alias(c) for c in names])
 
 
 def entity_load_report(raw: DataFrame, stored: DataFrame, *, max_id: int | None = None) -> DataFrame:
@@ -130,8 +134,8 @@ def entity_load_report(raw: DataFrame, stored: DataFrame, *, max_id: int | None
     )
 
 
-#: Copies of a contest that one row is repeated to at once.
-REPEATS = 10_000
+#: Ids that are looked for as frequent, counters their sketch keeps, and tasks that the rows of one are dealt to.
+FREQUENT, COUNTERS, SHARES = 200, 20_000, 64
 
 
 def _total(c: Column) -> Column:
@@ -144,28 +148,48 @@ def distinct_contests(contests: DataFrame) -> DataFrame:
 
 
 def _checked(keys: DataFrame, entities: DataFrame) -> DataFrame:
-    """Distinct keys, a row for each different id in them: (key, copies, unknown).
+    """Distinct keys, a row for each different id in them: (key, copies, id, unknown).
 
     All ids are looked up in one join. Keys are distinct by then, and Spark splits the partition of
     an id that very many of them name.
     """
     ids = keys.select(*CONTEST_KEY, "copies", F.explode(F.array_distinct(F.array(*CONTEST_KEY))).alias(ENTITY_ID))
     known = entities.select(ENTITY_ID, F.lit(True).alias("_known"))
-    return ids.join(known, ENTITY_ID, "left").select(*CONTEST_KEY, "copies", F.col("_known").isNull().alias("unknown"))
+    return ids.join(known, ENTITY_ID, "left").select(*CONTEST_KEY, "copies", ENTITY_ID, F.col("_known").isNull().alias("unknown"))
+
+
+def frequent_ids(contests: DataFrame) -> DataFrame:
+    """The ids that take part most often, FREQUENT of them at most: (entity_id).
+
+    They come from a sketch of frequent items: every task keeps COUNTERS counters at most, and the tasks' sketches are
+    merged. An id with a share of a few in COUNTERS of all mentions is among the counted ones.
+    """
+    ids = contests.unpivot([], CONTEST_KEY, "role", ENTITY_ID).filter(F.col(ENTITY_ID).isNotNull())
+    top = ids.agg(F.expr(f"approx_top_k({ENTITY_ID}, {FREQUENT}, {COUNTERS})").alias("top"))
+    return top.select(F.explode("top").alias("top")).select(F.col("top.item").alias(ENTITY_ID))
 
 
 def known_contests(contests: DataFrame, entities: DataFrame) -> DataFrame:
     """Contests whose three ids are all stored entities, as often as they occur.
 
-    They are looked up once per distinct contest and repeated afterwards, in steps, so that no row
-    holds a long list.
+    The ids are made distinct in the map tasks and looked up once; contests that name one of the unknown ones
+    are left out. Frequent ids are settled by a small lookup of their own, a table of FREQUENT rows that is broadcast:
+    a contest that names an unknown one goes, and one that names a known one is dealt to any of SHARES
+    tasks in the joins, as it can't match there. So no task gets all rows of an id.
     """
-    checked = _checked(batch_keys(contests), entities).groupBy(*CONTEST_KEY).agg(F.max("copies").alias("copies"), F.max("unknown").alias("unknown"))
-    kept = checked.filter(~F.col("unknown"))
-    step = F.lit(REPEATS)
-    blocks = kept.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / step))))
-    here = F.least(step, F.col("copies") - F.col("_block") * step)
-    return blocks.select(*CONTEST_KEY, F.explode(F.sequence(F.lit(1).cast("bigint"), here)).alias("_copy")).select(*CONTEST_KEY)
+    keys = contests.select(*CONTEST_KEY).filter(" AND ".join(f"{c} IS NOT NULL" for c in CONTEST_KEY))
+    unknown = unknown_ids(keys, entities).select(ENTITY_ID, F.lit(0).alias("_share"))
+    stored = entities.select(ENTITY_ID, F.lit(True).alias("_known"))
+    frequent = frequent_ids(keys).join(stored, ENTITY_ID, "left").withColumn("_known", F.col("_known").isNotNull())
+    rows = keys
+    for name in CONTEST_KEY:
+        here = frequent.withColumnsRenamed({ENTITY_ID: name, "_known": f"_{name}"})
+        rows = rows.join(F.broadcast(here), name, "left").filter(F.coalesce(F.col(f"_{name}"), F.lit(True)))
+    for name in CONTEST_KEY:
+        share = F.pmod(F.xxhash64(*CONTEST_KEY, F.spark_partition_id()), F.lit(SHARES)).cast("int") + 1
+        rows = rows.withColumn("_share", F.when(F.col(f"_{name}").isNull(), F.lit(0)).otherwise(share))
+        rows = rows.join(unknown.withColumnRenamed(ENTITY_ID, name), [name, "_share"], "left_anti")
+    return rows.select(*CONTEST_KEY)
 
 
 def existing_contests(stored: DataFrame, keys: DataFrame) -> DataFrame:
@@ -210,15 +234,11 @@ def unknown_ids(keys: DataFrame, entities: DataFrame) -> DataFrame:
     return mentioned.join(entities.select(ENTITY_ID), ENTITY_ID, "left_anti")
 
 
-def with_waiting(keys: DataFrame, waiting: DataFrame) -> DataFrame:
-    """The keys of a batch and those that wait for their entities; the latter count as no copy of the batch."""
-    both = keys.select(*CONTEST_KEY, "copies").unionByName(waiting.select(*CONTEST_KEY, F.lit(0).cast("bigint").alias("copies")))
-    return both.groupBy(*CONTEST_KEY).agg(F.sum("copies").alias("copies"))
-
-
-def classify_contests(keys: DataFrame, entities: DataFrame, existing: DataFrame) -> DataFrame:
+def classify_contests(keys: DataFrame, entities: DataFrame, existing: DataFrame, *, missing: str | None = None) -> DataFrame:
     """Give every key of a batch its load status.
 
+    ``missing`` names a column for the smallest unknown id of a contest.
+
     ``keys`` comes from batch_keys; ``existing`` is the stored table or the part of it that
     existing_contests found. Status is one of out_of_range, unknown_entity, present and new. The rows
     to insert and the load report are both read off this one frame.
@@ -226,16 +246,18 @@ def classify_contests(keys: DataFrame, entities: DataFrame, existing: DataFrame)
     One join looks up all ids; whether one is unknown and whether the contest is stored is then
     settled in one aggregation by key, to which the stored contests come as marked rows.
     """
-    there = existing.select(*CONTEST_KEY, F.lit(None).cast("bigint").alias("copies"), F.lit(False).alias("unknown"), F.lit(True).alias("_there"))
-    marks = _checked(keys, entities).withColumn("_there", F.lit(False)).unionByName(there)
-    folded = marks.groupBy(*CONTEST_KEY).agg(*[F.max(c).alias(c) for c in ("copies", "unknown", "_there")])
+    nothing = F.lit(None).cast("bigint")
+    there = existing.select(*CONTEST_KEY, nothing.alias("copies"), nothing.alias("_missing"), F.lit(True).alias("_there"))
+    checked = _checked(keys, entities).select(*CONTEST_KEY, "copies", F.when(F.col("unknown"), F.col(ENTITY_ID)).alias("_missing"), F.lit(False).alias("_there"))
+    folded = checked.unionByName(there).groupBy(*CONTEST_KEY).agg(F.max("copies").alias("copies"), F.min("_missing").alias("_missing"), F.max("_there").alias("_there"))
     status = (
         F.when(F.col(FIRST_ID).isNull(), F.lit("out_of_range"))
-        .when(F.col("unknown"), F.lit("unknown_entity"))
+        .when(F.col("_missing").isNotNull(), F.lit("unknown_entity"))
         .when(F.col("_there"), F.lit("present"))
         .otherwise(F.lit("new"))
     )
-    return folded.filter(F.col("copies").isNotNull()).select(*CONTEST_KEY, "copies", status.alias("status"))
+    more = [F.col("_missing").alias(missing)] if missing else []
+    return folded.filter(F.col("copies").isNotNull()).select(*CONTEST_KEY, "copies", status.alias("status"), *more)
 
 
 def contests_to_insert(classified: DataFrame) -> DataFrame:

@@ -94,6 +94,11 @@ def outcome_metrics(
     if on_empty == "error":
         require_rows(entities, "entities")
         require_rows(contests, "contests")
+    return with_counts(entities, counts, id_column=id_column)
+
+
+def with_counts(entities: DataFrame, counts: DataFrame, *, id_column: str = ENTITY_ID) -> DataFrame:
+    """Every entity row with the battles and wins that ``counts`` has for its id, and the rates that follow."""
     base = entities.drop(*METRIC_COLUMNS)
     if not isinstance(fn.dtype(base, id_column), T.LongType):
         base = base.withColumn(id_column, fn.to_long(fn.named(id_column), fn.dtype(base, id_column)))

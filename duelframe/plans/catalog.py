@@ -302,6 +302,13 @@ def contests_fk_filter(spark, folder):
     return load.known_contests(bridge.contests(spark, folder), stored_entities(spark, folder))
 
 
+@query
+def contests_fk_filter_hot(spark, folder):
+    """The key check where one id, which is stored, takes part in every third contest, and one that isn't in every seventh."""
+    lines = bridge.table(spark, folder, "lineitem")
+    return load.known_contests(bridge.derive(lines, bridge.HOT_CONTESTS), stored_entities(spark, folder))
+
+
 @query
 def existing_contests(spark, folder):
     return load.existing_contests(
@@ -428,9 +435,15 @@ def quality_report(spark, folder):
 
 @query
 def quality_report_of_empty(spark, folder):
-    """No checks without contests: none of the given lines is that large."""
-    entities, contests = bridge.entities(spark, folder), bridge.contests(spark, folder).filter("winner_id < 0")
-    return quality.quality_report(entities, contests, met.outcome_metrics(entities, contests, on_empty="zero"))
+    """The checks by line number: there are none for the contests of a number that no order has lines of."""
+    entities, lines = bridge.entities(spark, folder), bridge.table(spark, folder, "lineitem")
+    found = None
+    for number in (7, 8):
+        contests = bridge.derive(lines.filter(F.col("l_linenumber") == number), bridge.CONTESTS)
+        report = quality.quality_report(entities, contests, met.outcome_metrics(entities, contests, on_empty="zero"))
+        report = report.withColumn("line", F.lit(number))
+        found = report if found is None else found.unionByName(report)
+    return found
 
 
 @query
@@ -535,7 +548,7 @@ def load_job(spark, folder):
 def stream_load_job(spark, folder):
     """Contest pages landed as files and loaded as a stream, next to stored entities."""
     base = tables.scratch_folder(spark, "stream-load-job")
-    tables.publish_version(bridge.entities(spark, folder), f"{base}/warehouse/entities")
+    tables.publish_entities(bridge.entities(spark, folder), f"{base}/warehouse")
     bridge.contest_pages(spark, folder).write.json(f"{base}/pages")
     pages = incremental.stream_pages(spark, f"{base}/pages")
     incremental.append_stream(pages, f"{base}/warehouse", f"{base}/checkpoint").awaitTermination()
@@ -568,3 +581,67 @@ def stream_late_entities(spark, folder):
     pipeline.load_entities(spark, entities.filter(F.col(ENTITY_ID) % 2 == 1), warehouse)
     tables.compact_contests(spark, warehouse)
     return tables.read_contests(spark, warehouse)
+
+
+# --- stored tables from load to load ---
+
+
+def loaded(spark: SparkSession, folder: str, name: str) -> str:
+    """A new warehouse with all entities and all contests."""
+    warehouse = tables.scratch_folder(spark, name)
+    tables.publish_entities(bridge.entities(spark, folder), warehouse)
+    pipeline.load_contests(spark, bridge.contests(spark, folder), warehouse)
+    return warehouse
+
+
+@query
+def contests_batch_load(spark, folder):
+    """A batch of about a thousand contests, those of the first ids decided otherwise, loaded next to all contests."""
+    warehouse = loaded(spark, folder, "contests-batch-load")
+    lines = bridge.table(spark, folder, "lineitem").filter("l_partkey <= 33")
+    pipeline.load_contests(spark, bridge.derive(lines, bridge.STORED_CONTESTS), warehouse)
+    return tables.read_contests(spark, warehouse)
+
+
+@query
+def entities_load_ranges(spark, folder):
+    """Two loads of entities into a table of many ranges, some of which the second load doesn't touch or cuts."""
+    warehouse = tables.scratch_folder(spark, "entities-load-ranges")
+    tables.publish_entities(stored_entities(spark, folder), warehouse, range_rows=300)
+    pipeline.load_entities(spark, incoming_entities(spark, folder), warehouse, range_rows=300)
+    return tables.read_entities(spark, warehouse)
+
+
+@query
+def metrics_after_loads(spark, folder):
+    """Metrics from the counts that two loads of contests have kept."""
+    warehouse = loaded(spark, folder, "metrics-after-loads")
+    lines = bridge.table(spark, folder, "lineitem")
+    pipeline.load_contests(spark, bridge.derive(lines, bridge.STORED_CONTESTS), warehouse)
+    found = pipeline.stored_metrics(spark, warehouse)
+    return found.withColumn("weighted_score", F.round("weighted_score", 9))
+
+
+@query
+def contests_deleted(spark, folder):
+    """The contests after a deletion, and again after the table has been compacted, with their metrics' totals."""
+    warehouse = loaded(spark, folder, "contests-deleted")
+    pipeline.delete_contests(spark, warehouse, stored_contests(spark, folder))
+    totals = tables.read_counts(spark, warehouse).agg(F.sum("total_battles").alias("battles"), F.sum("total_wins").alias("wins"))
+    before = tables.read_contests(spark, warehouse).withColumn("step", F.lit("deleted"))
+    tables.compact_contests(spark, warehouse)
+    after = tables.read_contests(spark, warehouse).withColumn("step", F.lit("compacted"))
+    sums = pipeline.settled(totals).select(F.col("battles").alias("first_id"), F.col("wins").alias("second_id"), F.lit(0).cast("bigint").alias("winner_id"), F.lit("totals").alias("step"))
+    return before.unionByName(after).unionByName(sums)
+
+
+@query
+def entities_deleted(spark, folder):
+    """The entities after those without a contest have been deleted, by the counts kept beside the contests."""
+    warehouse = tables.scratch_folder(spark, "entities-deleted")
+    tables.publish_entities(stored_entities(spark, folder), warehouse, range_rows=300)
+    pipeline.load_contests(spark, bridge.contests(spark, folder), warehouse)
+    named = tables.read_counts(spark, warehouse)
+    idle = tables.read_entities(spark, warehouse).join(named, ENTITY_ID, "left_anti")
+    pipeline.delete_entities(spark, warehouse, idle)
+    return tables.read_entities(spark, warehouse)

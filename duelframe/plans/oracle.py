@@ -114,7 +114,16 @@ classified AS (SELECT k.*, CASE WHEN first_id IS NULL THEN 'out_of_range'
       OR winner_id NOT IN (SELECT entity_id FROM ent) THEN 'unknown_entity'
     WHEN EXISTS (SELECT 1 FROM old_con o WHERE o.first_id = k.first_id AND o.second_id = k.second_id
       AND o.winner_id = k.winner_id) THEN 'present' ELSE 'new' END AS status
-    FROM (SELECT first_id, second_id, winner_id, count(*) AS copies FROM keyed GROUP BY ALL) k)
+    FROM (SELECT first_id, second_id, winner_id, count(*) AS copies FROM keyed GROUP BY ALL) k),
+con7 AS ({_select(bridge.CONTESTS, 'lineitem')} WHERE l_linenumber = 7),
+{_metrics('seven_', 'ent', 'con7')},
+two_con AS (SELECT * FROM (SELECT * FROM con UNION SELECT * FROM old_con) t WHERE first_id IN (SELECT entity_id FROM ent)
+    AND second_id IN (SELECT entity_id FROM ent) AND winner_id IN (SELECT entity_id FROM ent)),
+{_metrics('two_', 'ent', 'two_con')},
+hot_con AS ({_select(bridge.HOT_CONTESTS, 'lineitem')}),
+left_con AS (SELECT * FROM con EXCEPT SELECT * FROM old_con),
+idle_con AS (SELECT DISTINCT * FROM con WHERE first_id IN (SELECT entity_id FROM old_ent)
+    AND second_id IN (SELECT entity_id FROM old_ent) AND winner_id IN (SELECT entity_id FROM old_ent))
 """
 
 
@@ -223,6 +232,8 @@ BODIES = {
     "contests_dedup": "SELECT DISTINCT first_id, second_id, winner_id FROM con",
     "contests_fk_filter": """SELECT * FROM con WHERE first_id IN (SELECT entity_id FROM old_ent)
         AND second_id IN (SELECT entity_id FROM old_ent) AND winner_id IN (SELECT entity_id FROM old_ent)""",
+    "contests_fk_filter_hot": """SELECT * FROM hot_con WHERE first_id IN (SELECT entity_id FROM old_ent)
+        AND second_id IN (SELECT entity_id FROM old_ent) AND winner_id IN (SELECT entity_id FROM old_ent)""",
     "existing_contests": "SELECT * FROM old_con INTERSECT SELECT * FROM con",
     "contests_append": """SELECT DISTINCT * FROM ccon WHERE first_id IN (SELECT entity_id FROM ent)
         AND second_id IN (SELECT entity_id FROM ent) AND winner_id IN (SELECT entity_id FROM ent)
@@ -260,7 +271,12 @@ BODIES = {
     "quarantined_whole_texts": """SELECT page, text, left(text, 500) || CASE WHEN length(text) > 500 THEN '...' ELSE '' END AS preview,
         CAST(length(text) AS INTEGER) AS n_chars FROM (SELECT p_partkey AS page,
         '{"detail":"' || repeat(p_name, 100) || '"}' AS text FROM part) t""",
-    "quality_report_of_empty": "SELECT '' AS \"check\", CAST(0 AS BIGINT) AS result, '' AS status WHERE false",
+    "quality_report_of_empty": "SELECT *, 7 AS line FROM ("
+    + _quality(
+        "(SELECT count(*) FROM ent WHERE entity_id IS NULL)",
+        "(SELECT count(*) - count(DISTINCT entity_id) FROM ent)", "con7", "seven_met",
+    )
+    + ") q",
     "quality_report": _quality(
         "(SELECT count(*) FROM ent WHERE entity_id IS NULL)",
         "(SELECT count(*) - count(DISTINCT entity_id) FROM ent)", "con", "met",
@@ -304,6 +320,14 @@ BODIES = {
         UNION ALL SELECT 'entities', p_partkey, 0, 'entity without a name',
             length('{"page":,"pos":0,"entity_id":2000000000,"hp":,"legendary":false}') - 10
             + length(CAST(p_partkey AS VARCHAR)) + length(CAST(p_partkey + 2000000000 AS VARCHAR)) + length(CAST(p_size AS VARCHAR)) FROM part""",
+    "contests_batch_load": "SELECT * FROM con UNION SELECT * FROM old_con WHERE first_id <= 33",
+    "entities_load_ranges": """SELECT * FROM new_ent UNION ALL
+        SELECT * FROM old_ent WHERE entity_id NOT IN (SELECT entity_id FROM new_ent)""",
+    "metrics_after_loads": "SELECT * FROM two_met",
+    "contests_deleted": """SELECT *, 'deleted' AS step FROM left_con UNION ALL SELECT *, 'compacted' FROM left_con
+        UNION ALL SELECT 2 * count(*), count(*), 0, 'totals' FROM left_con""",
+    "entities_deleted": """SELECT * FROM old_ent WHERE entity_id IN (SELECT first_id FROM idle_con UNION ALL
+        SELECT second_id FROM idle_con UNION ALL SELECT winner_id FROM idle_con)""",
     "stream_late_entities": "SELECT DISTINCT first_id, second_id, winner_id FROM con",
     "stream_load_job": "SELECT DISTINCT first_id, second_id, winner_id FROM con",
 }

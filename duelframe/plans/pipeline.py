@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import count
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duelframe.errors import ConcurrentLoadError, ValidationError
 from duelframe.operators import load
+from duelframe.operators.checks import require_rows
 from duelframe.operators.clean import clean_entities, resolve_aliases
-from duelframe.operators.metrics import outcome_metrics
-from duelframe.schemas import CONTEST, CONTEST_KEY, ENTITY_ALIASES
+from duelframe.operators.metrics import with_counts
+from duelframe.schemas import CONTEST_KEY, ENTITY_ALIASES, ENTITY_ID
 from duelframe.sources import landing, tables
 
+T = TypeVar("T")
 NO_NAME = "entity without a name"
 
 
@@ -67,17 +73,23 @@ def entity_source(
 
 
 def load_entities(
-    spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id: int | None = None, batch_name: str | None = None
+    spark: SparkSession,
+    raw: DataFrame,
+    warehouse: str,
+    *,
+    max_id: int | None = None,
+    batch_name: str | None = None,
+    range_rows: int = tables.RANGE_ROWS,
 ) -> DataFrame:
-    """Clean, conform and upsert entities as a new table version; returns the load report.
+    """Clean, conform and upsert entities; returns the load report.
 
-    Rows without a name are set aside. Contests that waited for one of the entities are loaded.
+    Only the ranges of ids that the batch falls into are read and written anew; ``range_rows`` is about how many rows
+    a new range gets. Rows without a name are set aside.
+    Contests that waited for one of the batch's entities are loaded.
     """
     batch = new_batch(warehouse)
     name = batch_name or batch.rsplit("/", 1)[1]
     cleaned = clean_entities(raw, max_id=max_id)
-    stored = tables.read_entities(spark, warehouse)
-    report = settled(load.entity_load_report(resolve_aliases(raw, ENTITY_ALIASES), stored, max_id=max_id))
     place = [F.col(c).cast(t) if c in cleaned.columns else F.lit(None).cast(t) for c, t in (("page", "bigint"), ("pos", "int"))]
     unnamed = load.unnamed_entities(cleaned, max_id=max_id)
     unnamed = unnamed.select(place[0].alias("page"), place[1].alias("pos"), F.lit(NO_NAME).alias("reason"), F.to_json(F.struct("*")).alias("text"))
@@ -85,35 +97,136 @@ def load_entities(
     ordinal = [c for c in ("page", "pos") if c in cleaned.columns]
     conformed = load.conform_entities(cleaned, max_id=max_id, keep=ordinal)
     incoming = staged(load.last_per_key(conformed, ordinal).drop(*ordinal), f"{batch}/incoming")
-    tables.publish_version(load.upsert_entities(stored, incoming), f"{warehouse}/entities")
+
+    def upsert() -> DataFrame:
+        at = tables.entity_ranges(spark, warehouse)
+        touched = tables.ranges_with(incoming, at)
+        stored = tables.read_entities(spark, warehouse, sorted(touched), at)
+        report = settled(load.entity_load_report(resolve_aliases(raw, ENTITY_ALIASES), stored, max_id=max_id))
+        if touched:
+            tables.replace_ranges(spark, warehouse, at, touched, load.upsert_entities(stored, incoming), range_rows)
+        return report
+
+    report = again_if_overtaken(upsert)
+    release_waiting(spark, warehouse, incoming.select(ENTITY_ID), max_id=max_id)
     tables.remove(spark, batch)
-    if not tables.read_waiting(spark, warehouse).isEmpty():
-        load_contests(spark, spark.createDataFrame([], CONTEST), warehouse, max_id=max_id)
     return report
 
 
+#: Times that a load is tried when others change the table in between.
+TRIES = 3
+
+
+def again_if_overtaken(step: Callable[[], T]) -> T:
+    """Run a step that reads a table and commits to it, anew if another writer has committed in between."""
+    for left in reversed(range(TRIES)):
+        try:
+            return step()
+        except ConcurrentLoadError:
+            if not left:
+                raise
+
+
 def load_contests(spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id: int | None = None) -> DataFrame:
     """Append the contests that are valid and new; returns the load report.
 
     The batch is written as distinct keys, then with statuses. Both the appended rows and
     the report are read from there, so they cannot disagree, and running the same batch
-    again adds nothing. Contests that name an entity not stored yet wait in a table of their own
-    and take part in every later load; the report counts them where they are inserted.
+    again adds nothing. Of the stored contests only row groups are read that may hold one of the keys. Contests that
+    name an entity not stored yet are filed by the id they wait for.
     """
     batch = new_batch(warehouse)
-    keys = load.with_waiting(load.batch_keys(raw, max_id=max_id), tables.read_waiting(spark, warehouse))
-    keys = staged(keys, f"{batch}/keys")
-    existing = load.existing_contests(tables.read_contests(spark, warehouse, tables.buckets_of(keys)), keys)
-    classified = load.classify_contests(keys, tables.read_entities(spark, warehouse), existing)
-    classified = staged(classified, f"{batch}/classified")
-    tables.append_contest_rows(load.contests_to_insert(classified), warehouse)
-    waiting = classified.filter(F.col("status") == "unknown_entity").select(*CONTEST_KEY)
-    tables.publish_version(waiting, f"{warehouse}/waiting")
+    keys = staged(load.batch_keys(raw, max_id=max_id), f"{batch}/keys")
+    condition = tables.lookup(keys)
+    entities_at = tables.entity_ranges(spark, warehouse)
+    entities = tables.read_entities(spark, warehouse, at=entities_at)
+    tries = count()
+
+    def append() -> DataFrame:
+        at = tables.contest_batches(spark, warehouse)
+        stored = tables.read_contests(spark, warehouse, condition, at)
+        found = load.classify_contests(keys, entities, load.existing_contests(stored, keys), missing="missing")
+        found = staged(found, f"{batch}/classified-{next(tries)}")
+        fresh = load.contests_to_insert(found)
+        if not fresh.isEmpty():
+            tables.change_contests(spark, warehouse, at, fresh)
+        return found
+
+    classified = again_if_overtaken(append)
+    waiting = classified.filter(F.col("status") == "unknown_entity")
+    if not waiting.isEmpty():
+        again_if_overtaken(lambda: tables.change_waiting(spark, warehouse, waiting))
+        now = tables.entity_ranges(spark, warehouse)
+        if now.number != entities_at.number:  # what they wait for may have come while they were looked up
+            come = load.existing_ids(tables.read_entities(spark, warehouse, at=now), waiting.select(F.col("missing").alias(ENTITY_ID)))
+            release_waiting(spark, warehouse, come, max_id=max_id)
     report = settled(load.contest_load_report(classified))
     tables.remove(spark, batch)
     return report
 
 
+def release_waiting(spark: SparkSession, warehouse: str, ids: DataFrame, *, max_id: int | None = None) -> None:
+    """Load the contests that wait for one of the ids (entity_id), which are stored by now.
+
+    Those that another id is still missing for are filed under that one.
+    """
+    at = tables.waiting_batches(spark, warehouse)
+    ids = ids.select(F.col(ENTITY_ID).alias("missing"))
+    condition = tables.lookup(ids, ["missing"]) if at.entries else None
+    if condition is None:
+        return
+    batch = new_batch(warehouse)
+    freed = staged(tables.read_waiting(spark, warehouse, condition, at).join(ids, "missing", "left_semi"), f"{batch}/freed")
+    if not freed.isEmpty():
+        load_contests(spark, freed.select(*CONTEST_KEY).distinct(), warehouse, max_id=max_id)
+        again_if_overtaken(lambda: tables.change_waiting(spark, warehouse, freed.select("missing").distinct(), "delete"))
+    tables.remove(spark, batch)
+
+
+def delete_contests(spark: SparkSession, warehouse: str, keys: DataFrame) -> int:
+    """Delete the stored contests with the given keys; returns how many there were.
+
+    The keys are written as a deletion, which readers apply until the table is compacted.
+    """
+    keys = keys.select(*CONTEST_KEY).distinct()
+    condition, tries, batch = tables.lookup(keys), count(), new_batch(warehouse)
+
+    def delete() -> int:
+        at = tables.contest_batches(spark, warehouse)
+        found = staged(load.existing_contests(tables.read_contests(spark, warehouse, condition, at), keys), f"{batch}/found-{next(tries)}")
+        n = found.count()
+        if n:
+            tables.change_contests(spark, warehouse, at, found, "delete")
+        return n
+
+    n = 0 if condition is None else again_if_overtaken(delete)
+    tables.remove(spark, batch)
+    return n
+
+
+def delete_entities(spark: SparkSession, warehouse: str, ids: DataFrame) -> int:
+    """Delete the stored entities with the given ids (entity_id); returns how many there were.
+
+    Raises if a stored contest names one of them, by the counts kept beside the contests. Only the
+    ranges that the ids fall into are written anew.
+    """
+    ids = ids.select(ENTITY_ID).filter(F.col(ENTITY_ID).isNotNull()).distinct()
+    named = tables.read_counts(spark, warehouse).filter("total_battles > 0 OR total_wins > 0").join(ids, ENTITY_ID, "left_semi")
+    if not named.isEmpty():
+        raise ValidationError("stored contests name an entity that is to be deleted")
+
+    def delete() -> int:
+        at = tables.entity_ranges(spark, warehouse)
+        touched = [n for n in tables.ranges_with(ids, at) if n < len(at.entries)]
+        stored = tables.read_entities(spark, warehouse, touched, at)
+        n = load.existing_ids(stored, ids).count()
+        if n:
+            tables.replace_ranges(spark, warehouse, at, dict.fromkeys(touched, 0), load.delete_by_key(stored, ids))
+        return n
+
+    return again_if_overtaken(delete)
+
+
 def run_pipeline(
     spark: SparkSession,
     warehouse: str,
@@ -150,9 +263,15 @@ def run_pipeline(
 def stored_metrics(
     spark: SparkSession, warehouse: str, *, max_id: int | None = None, on_empty: str = "error"
 ) -> DataFrame:
-    """Metrics over the stored tables, computed from the contests each time."""
+    """Metrics over the stored tables, from the counts that every load of contests keeps; no contest is read."""
+    if on_empty not in ("error", "zero"):
+        raise ValidationError("on_empty is 'error' or 'zero'")
     entities = clean_entities(tables.read_entities(spark, warehouse), max_id=max_id)
-    return outcome_metrics(entities, tables.read_contests(spark, warehouse), on_empty=on_empty)
+    counts = tables.read_counts(spark, warehouse)
+    if on_empty == "error":
+        require_rows(entities, "entities")
+        require_rows(counts, "contests")
+    return with_counts(entities, counts)
 
 
 def store_metrics(

@@ -45,6 +45,13 @@ INCOMING_ENTITIES = {
 }
 STORED_CONTESTS = {**CONTESTS, "winner_id": "CASE WHEN l_quantity >= 30 THEN l_partkey ELSE l_suppkey END"}
 
+# A stored entity that takes part in every third contest and an unknown one in every seventh.
+HOT_CONTESTS = {
+    **CONTESTS,
+    "first_id": "CASE WHEN l_orderkey % 3 = 0 THEN 4 ELSE l_partkey END",
+    "second_id": "CASE WHEN l_orderkey % 7 = 0 THEN 5 ELSE l_suppkey END",
+}
+
 # The same parts and lines as a careless source would send them: other column names,
 # text where numbers are due, combined and blank categories, unknown and missing ids.
 RAW_ENTITIES = {

@@ -477,8 +477,7 @@ def test_quarantine_keeps_whole_texts(spark):
     assert log.preview == long[:500] + "..." and log.n_chars == len(long)
 
 
-def test_copies_of_known_contests_stay(spark, monkeypatch):
-    monkeypatch.setattr(load, "REPEATS", 3)
+def test_copies_of_known_contests_stay(spark):
     raw = contests(spark, *[(1, 2, 1)] * 10, (2, 1, 2), (1, 3, 1), (None, 1, 1))
     found = sorted(tuple(r) for r in load.known_contests(raw, entities(spark, 1, 2)).collect())
     assert found == [(1, 2, 1)] * 10 + [(2, 1, 2)]

@@ -1,14 +1,13 @@
 """The load job, the stored tables and the stream."""
 
 import json
-import re
 
 import pytest
 
-from duelframe import ValidationError, run_pipeline, store_metrics, stored_metrics
+from duelframe import ConcurrentLoadError, ValidationError, run_pipeline, store_metrics, stored_metrics
 from duelframe.plans import pipeline
 from duelframe.schemas import CONTEST, ENTITY
-from duelframe.sources import landing, tables
+from duelframe.sources import commits, landing, tables
 from duelframe.streaming import incremental
 
 pytestmark = pytest.mark.usefixtures("interpreted")
@@ -74,12 +73,53 @@ def test_details_replace_the_listing(spark, tmp_path):
     assert sorted(r.entity_id for r in found.entities.collect()) == [1, 2, 3]
 
 
-def test_unfinished_version_is_not_read(spark, tmp_path):
-    run(spark, str(tmp_path))
-    (tmp_path / "entities" / "version-00000002").mkdir()
-    assert tables.read_entities(spark, str(tmp_path)).count() == 3
-    run(spark, str(tmp_path))
-    assert tables.latest_version(spark, f"{tmp_path}/entities").endswith("version-00000002")
+def test_what_is_not_committed_is_not_read(spark, tmp_path, monkeypatch):
+    warehouse = str(tmp_path)
+    run(spark, warehouse)
+    before = [sorted(map(repr, read(spark, warehouse).collect())) for read in (tables.read_entities, tables.read_contests, tables.read_counts)]
+
+    def broken(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:  # rows and counts are written by then
+        m.setattr(tables.commits, "commit", broken)
+        with pytest.raises(OSError):
+            pipeline.load_contests(spark, spark.createDataFrame([(3, 1, 1), (3, 2, 2)], CONTEST), warehouse)
+        with pytest.raises(OSError):
+            run(spark, warehouse, listing=[[entity(1, hp=5), entity(7)]])
+    assert len(list((tmp_path / "contests").glob("add-*"))) == 2
+    assert [sorted(map(repr, read(spark, warehouse).collect())) for read in (tables.read_entities, tables.read_contests, tables.read_counts)] == before
+
+
+def test_the_second_of_two_writers_fails_and_a_load_tries_again(spark, tmp_path, monkeypatch):
+    warehouse = str(tmp_path)
+    run(spark, warehouse)
+    at = tables.contest_batches(spark, warehouse)
+    tables.change_contests(spark, warehouse, at, spark.createDataFrame([(3, 1, 1)], CONTEST))
+    with pytest.raises(ConcurrentLoadError):
+        tables.change_contests(spark, warehouse, at, spark.createDataFrame([(3, 1, 1)], CONTEST))
+    real, late = tables.contest_batches, [tables.contest_batches(spark, warehouse)]
+    other = spark.createDataFrame([(3, 2, 2), (2, 1, 1)], CONTEST)
+    tables.change_contests(spark, warehouse, late[0], spark.createDataFrame([(3, 2, 2)], CONTEST))
+    monkeypatch.setattr(tables, "contest_batches", lambda *a: late.pop() if late else real(*a))
+    report = pipeline.load_contests(spark, other, warehouse).collect()[0]  # began before the other's commit
+    assert (report.inserted, report.already_present) == (1, 1)
+    found = sorted(tuple(r) for r in tables.read_contests(spark, warehouse).collect())
+    assert found == [(1, 2, 1), (2, 1, 1), (2, 3, 2), (3, 1, 1), (3, 2, 2)]
+
+
+def test_a_name_that_is_taken_is_not_replaced(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    for folder in "ab":
+        commits.commit(spark, table, commits.newest(spark, table), [{"folder": folder}])
+    before = commits.newest(spark, table)
+    (tmp_path / "t" / "commit-0000000003").write_text('[{"folder": "other"}]')
+    monkeypatch.setattr(commits, "_numbers", lambda *a: [1, 2])  # the other writer came in just now
+    with pytest.raises(ConcurrentLoadError):
+        commits.commit(spark, table, before, [{"folder": "c"}])
+    monkeypatch.undo()
+    assert commits.newest(spark, table).entries == ({"folder": "other"},)
+    assert sorted(f.name for f in (tmp_path / "t").iterdir() if "crc" not in f.name) == ["commit-0000000001", "commit-0000000002", "commit-0000000003"]
 
 
 def test_empty_inputs(spark, tmp_path):
@@ -103,7 +143,7 @@ def test_page_readers(spark, tmp_path):
 
 def test_table_scan_projection_and_mapper(spark, tmp_path):
     run(spark, str(tmp_path))
-    path = tables.latest_version(spark, f"{tmp_path}/entities")
+    path = f"{tmp_path}/entities/{tables.entity_ranges(spark, str(tmp_path)).entries[0]['folder']}"
     df = tables.read_table(spark, path, ENTITY, ["entity_id", "hp"], lambda d: d.filter("hp > 10"))
     assert df.columns == ["entity_id", "hp"] and df.count() == 2
 
@@ -136,7 +176,7 @@ def test_nothing_is_lost_by_default(spark, tmp_path):
     assert sorted(tuple(r) for r in found.contests.collect()) == [(1, 2, 1), (2, 3, 2), (3, 900, 3)]
     assert [tuple(r) for r in found.quarantine_report.collect()] == [("listing", landing.NOT_AN_OBJECT, 1)]
     waiting = [tuple(r) for r in tables.read_waiting(spark, str(tmp_path)).collect()]
-    assert waiting == [(1, 4, 4)]
+    assert waiting == [(1, 4, 4, 4)]
 
 
 def test_limits_take_the_first_records(spark, tmp_path):
@@ -157,21 +197,13 @@ def test_nameless_entities_are_set_aside_and_counted(spark, tmp_path):
 def test_folders_do_not_pile_up(spark, tmp_path):
     for _ in range(4):
         run(spark, str(tmp_path))
-    assert len(list((tmp_path / "entities").glob("version-*"))) == tables.KEPT_VERSIONS
+    assert len(list((tmp_path / "entities").glob("rows-*/part=*"))) == commits.KEPT
     assert not list((tmp_path / "batches").glob("*"))
     before = sorted(tuple(r) for r in tables.read_contests(spark, str(tmp_path)).collect())
     tables.compact_contests(spark, str(tmp_path))
     assert sorted(tuple(r) for r in tables.read_contests(spark, str(tmp_path)).collect()) == before == [(1, 2, 1), (2, 3, 2)]
 
 
-def test_a_batch_reads_its_own_folders_only(spark, tmp_path):
-    run(spark, str(tmp_path))
-    keys = spark.createDataFrame([(1, 2, 1)], CONTEST)
-    some = tables.read_contests(spark, str(tmp_path), tables.buckets_of(keys))
-    text = some._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*bucket", text) and (1, 2, 1) in [tuple(r) for r in some.collect()]
-
-
 def test_scratch_folder_uses_the_shared_setting(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert tables.scratch_folder(spark, "x").startswith(f"{shared}/x-")

@@ -1,0 +1,221 @@
+"""Stored tables from load to load: what is read, what is rewritten, and that it adds up."""
+
+import re
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from duelframe import ValidationError, delete_contests, delete_entities, load_contests, load_entities, stored_metrics
+from duelframe.operators import load
+from duelframe.operators.metrics import outcome_metrics
+from duelframe.schemas import CONTEST, ENTITY
+from duelframe.sources import bridge, tables
+from tests.conftest import MEDIUM
+
+
+def entities(spark, *ids, hp=1):
+    rows = [(i, f"n{i}", "A", None, 1, False, hp, 1, 1, 1, 1, 1) for i in ids]
+    return spark.createDataFrame(rows, ENTITY)
+
+
+def contests(spark, *rows):
+    return spark.createDataFrame(list(rows), CONTEST)
+
+
+def stored(spark, warehouse):
+    return sorted(tuple(r) for r in tables.read_contests(spark, warehouse).collect())
+
+
+def rows_read(frame):
+    """Rows of the row groups that a scan has not skipped."""
+    n = len(frame.collect())
+    plan = frame._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return n, sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_small_batch_reads_a_small_part_of_the_contests(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROW_GROUP", 16_000)
+    warehouse = str(tmp_path)
+    tables.publish_entities(bridge.entities(spark, MEDIUM), warehouse)
+    load_contests(spark, bridge.contests(spark, MEDIUM), warehouse)
+    tables.compact_contests(spark, warehouse)
+    every = tables.read_contests(spark, warehouse)
+    total = every.count()
+    folder = tables.contest_batches(spark, warehouse).entries[0]["folder"]
+    groups = [pq.read_metadata(f).row_group(g) for f in Path(warehouse, "contests", folder).glob("*.parquet") for g in range(pq.read_metadata(f).num_row_groups)]
+    assert len(groups) > 30 and sum(g.num_rows for g in groups) == total
+    keys = every.filter("first_id <= 33").cache()
+    n = keys.count()
+    assert 500 < n < 2000
+    condition = tables.lookup(keys)
+    assert rows_read(every)[1] == total
+    found, read = rows_read(tables.read_contests(spark, warehouse, condition))
+    assert n <= found <= read < total / 10
+    low = [g for g in groups if g.column(0).statistics.min <= 33]
+    assert sum(g.total_byte_size for g in low) < sum(g.total_byte_size for g in groups) / 10
+    assert load.existing_contests(tables.read_contests(spark, warehouse, condition), keys).count() == n
+    # Scattered ids: row groups between them are skipped by their dictionaries. Too many to list: bounds only.
+    scattered = every.filter("first_id IN (40, 1200, 1900)").cache()
+    found, read = rows_read(tables.read_contests(spark, warehouse, tables.lookup(scattered)))
+    assert scattered.count() <= found <= read < total / 4
+    monkeypatch.setattr(tables, "LOOKED_UP", 2)
+    found, read = rows_read(tables.read_contests(spark, warehouse, tables.lookup(scattered)))
+    assert scattered.count() <= found <= read < total
+    assert load.existing_contests(tables.read_contests(spark, warehouse, tables.lookup(scattered)), scattered).count() == scattered.count()
+
+
+def test_lookup_of_no_keys_and_of_negative_ones(spark, tmp_path):
+    assert tables.lookup(contests(spark)) is None
+    warehouse = str(tmp_path)
+    load_entities(spark, entities(spark, -5, -4, 3), warehouse)
+    load_contests(spark, contests(spark, (-5, 3, 3), (3, -4, 3)), warehouse)
+    report = load_contests(spark, contests(spark, (-5, 3, 3), (-4, -5, -4)), warehouse).collect()[0]
+    assert (report.already_present, report.inserted) == (1, 1)
+    assert stored(spark, warehouse) == [(-5, 3, 3), (-4, -5, -4), (3, -4, 3)]
+
+
+def ranges(spark, warehouse):
+    return {e["folder"]: (e["low"], e["rows"]) for e in tables.entity_ranges(spark, warehouse).entries}
+
+
+def test_a_batch_rewrites_its_own_ranges_only(spark, tmp_path):
+    warehouse = str(tmp_path)
+    load_entities(spark, entities(spark, *range(2000)), warehouse, range_rows=100)
+    first = ranges(spark, warehouse)
+    assert len(first) == 20 and sum(n for _, n in first.values()) == 2000
+    report = load_entities(spark, entities(spark, *range(1000, 1010), 1011, hp=9), warehouse, range_rows=100).collect()[0]
+    second = ranges(spark, warehouse)
+    assert report.updated == 11 and len(set(second) - set(first)) == 1 and len(set(first) & set(second)) == 19
+    rows = tables.read_entities(spark, warehouse).collect()
+    assert sorted(r.entity_id for r in rows) == list(range(2000))
+    assert {r.entity_id for r in rows if r.hp == 9} == {*range(1000, 1010), 1011}
+    # ids below and above all others belong to the first and the last range, which is cut when it has too many
+    load_entities(spark, entities(spark, -7, *range(5000, 5300)), warehouse, range_rows=100)
+    third = ranges(spark, warehouse)
+    assert len(set(second) & set(third)) == 18 and len(third) > 20
+    lows = [low for low, _ in third.values()]
+    assert lows[0] is None and sorted(lows[1:]) == lows[1:]
+    assert tables.read_entities(spark, warehouse).count() == 2301
+
+
+def test_ranges_by_halving(spark):
+    lows = [-10, 0, 5, 6, 100]
+    ids = list(range(-20, 120))
+    frame = spark.createDataFrame([(i,) for i in ids], "entity_id long")
+    for n in range(len(lows) + 1):
+        got = {r[0]: r[1] for r in frame.select("entity_id", tables.range_of(lows[:n], F.col("entity_id"))).collect()}
+        assert got == {i: sum(x <= i for x in lows[:n]) for i in ids}
+
+
+def test_metrics_follow_from_the_counts_of_the_loads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MERGED", 3)
+    warehouse = str(tmp_path)
+    load_entities(spark, entities(spark, *range(1, 8)), warehouse)
+    for n in range(2, 7):
+        load_contests(spark, contests(spark, *[(1, i, i) for i in range(2, n + 1)], (n, 7, 7)), warehouse)
+        found = stored_metrics(spark, warehouse)
+        again = outcome_metrics(tables.read_entities(spark, warehouse), tables.read_contests(spark, warehouse))
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, again.collect()))
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "first_id" not in text and not re.search(r"contests/add-", text)
+    entries = tables.contest_batches(spark, warehouse).entries
+    assert len(entries) == 5 and sum("counts" in e for e in entries) < 4  # merged in between
+
+
+def test_deletions_reach_the_table(spark, tmp_path):
+    warehouse = str(tmp_path)
+    load_entities(spark, entities(spark, 1, 2, 3, 4), warehouse)
+    load_contests(spark, contests(spark, (1, 2, 1), (2, 1, 1), (2, 3, 3)), warehouse)
+    assert delete_contests(spark, warehouse, contests(spark, (1, 2, 1), (1, 2, 1), (9, 9, 9))) == 1
+    assert delete_contests(spark, warehouse, contests(spark, (9, 9, 9))) == 0
+    assert delete_contests(spark, warehouse, contests(spark)) == 0
+    assert stored(spark, warehouse) == [(2, 1, 1), (2, 3, 3)]
+    load_contests(spark, contests(spark, (1, 2, 1)), warehouse)  # a contest may come again
+    assert stored(spark, warehouse) == [(1, 2, 1), (2, 1, 1), (2, 3, 3)]
+    assert delete_contests(spark, warehouse, contests(spark, (2, 3, 3), (1, 2, 1))) == 2
+    counts = lambda: sorted(tuple(r) for r in tables.read_counts(spark, warehouse).collect() if r[1] or r[2])
+    assert stored(spark, warehouse) == [(2, 1, 1)] and counts() == [(1, 1, 1), (2, 1, 0)]
+    tables.compact_contests(spark, warehouse)
+    assert stored(spark, warehouse) == [(2, 1, 1)] and counts() == [(1, 1, 1), (2, 1, 0)]
+    assert [e["kind"] for e in tables.contest_batches(spark, warehouse).entries] == ["add"]
+    with pytest.raises(ValidationError):
+        delete_entities(spark, warehouse, entities(spark, 1, 4))
+    assert delete_entities(spark, warehouse, entities(spark, 3, 4, 77)) == 2
+    assert delete_entities(spark, warehouse, entities(spark, 77)) == 0
+    assert sorted(r.entity_id for r in tables.read_entities(spark, warehouse).collect()) == [1, 2]
+    delete_contests(spark, warehouse, tables.read_contests(spark, warehouse))
+    assert delete_entities(spark, warehouse, entities(spark, 1, 2)) == 2
+    assert tables.read_entities(spark, warehouse).collect() == [] == stored(spark, warehouse)
+    load_entities(spark, entities(spark, 5), warehouse)
+    assert [r.entity_id for r in tables.read_entities(spark, warehouse).collect()] == [5]
+
+
+def test_contests_wait_by_the_id_they_miss(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MERGED", 2)
+    warehouse = str(tmp_path)
+    load_entities(spark, entities(spark, 1, 2), warehouse)
+    report = load_contests(spark, contests(spark, (1, 2, 1), (1, 8, 8), (9, 8, 9), (1, 7, 1)), warehouse).collect()[0]
+    assert (report.inserted, report.unknown_entity) == (1, 3)
+    waiting = lambda: {tuple(r) for r in tables.read_waiting(spark, warehouse).collect()}
+    assert waiting() == {(1, 8, 8, 8), (9, 8, 9, 8), (1, 7, 1, 7)}
+
+    def never(*a, **b):
+        raise AssertionError("read")
+
+    with monkeypatch.context() as m:  # a batch of contests doesn't read what waits
+        m.setattr(tables, "read_waiting", never)
+        load_contests(spark, contests(spark, (2, 1, 2), (1, 8, 8)), warehouse)
+    load_entities(spark, entities(spark, 5, 6), warehouse)  # frees nothing
+    assert stored(spark, warehouse) == [(1, 2, 1), (2, 1, 2)]
+    load_entities(spark, entities(spark, 8), warehouse)
+    assert stored(spark, warehouse) == [(1, 2, 1), (1, 8, 8), (2, 1, 2)]
+    assert waiting() == {(9, 8, 9, 9), (1, 7, 1, 7)}  # filed anew
+    load_entities(spark, entities(spark, 9), warehouse)
+    load_entities(spark, entities(spark, 7), warehouse)
+    assert stored(spark, warehouse) == [(1, 2, 1), (1, 7, 1), (1, 8, 8), (2, 1, 2), (9, 8, 9)]
+    assert waiting() == set()
+
+
+def test_an_entity_that_comes_during_a_load_frees_its_contests(spark, tmp_path, monkeypatch):
+    warehouse = str(tmp_path)
+    load_entities(spark, entities(spark, 1, 2), warehouse)
+    real = tables.change_waiting
+
+    def late(spark_, warehouse_, rows, kind="add"):
+        monkeypatch.setattr(tables, "change_waiting", real)
+        load_entities(spark, entities(spark, 8), warehouse)
+        return real(spark_, warehouse_, rows, kind)
+
+    monkeypatch.setattr(tables, "change_waiting", late)
+    load_contests(spark, contests(spark, (1, 8, 8), (1, 9, 9)), warehouse)
+    assert stored(spark, warehouse) == [(1, 8, 8)]
+    assert {tuple(r) for r in tables.read_waiting(spark, warehouse).collect()} == {(1, 9, 9, 9)}
+
+
+def test_rows_of_a_frequent_id_are_spread(spark, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n = 30_000
+        first = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000)
+        rows = spark.range(n).select(first.alias("first_id"), (F.col("id") % 4999).alias("second_id"), (F.col("id") % 4999).alias("winner_id"))
+        known = spark.range(-1, 4000).select(F.col("id").alias("entity_id"))
+        for name, missing in (("first_id", 1), ("second_id", 2)):
+            kept = load.known_contests(rows, known)
+            sizes = [r["n"] for r in kept.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+            assert len(sizes) == 8 and max(sizes) < 2 * sorted(sizes)[4]
+        want = rows.filter("first_id < 4000 AND second_id < 4000 AND winner_id < 4000")
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, want.collect()))
+        without = load.known_contests(rows, known.filter("entity_id >= 0"))  # the frequent one is unknown
+        assert sorted(map(tuple, without.collect())) == sorted(map(tuple, want.filter("first_id >= 0").collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_frequent_ids_are_found_and_few(spark):
+    rows = spark.range(20_000).select((F.when(F.col("id") % 4 == 0, F.lit(7)).otherwise(F.col("id"))).alias("first_id"), F.col("id").alias("second_id"), F.lit(9).cast("bigint").alias("winner_id"))
+    found = [r[0] for r in load.frequent_ids(rows).collect()]
+    assert {7, 9} <= set(found) and len(found) <= load.FREQUENT
+    assert load.frequent_ids(rows.limit(0)).collect() == []
