@@ -82,6 +82,7 @@ def leaves(documents: DataFrame) -> DataFrame:
     changed = F.when(crc % 3 == 0, leaf(text=tampered(F.col("text"))))
     tree = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))  # in the order of the languages, null first
     hashed = documents.select("doc_id", tree.alias("tree"), leaf().alias("leaf"), changed.alias("changed"))
+    hashed = stored(hashed, "leaves")  # ranges are found by a pass of their own, which is not to read the texts again
     return _ranked(hashed, [F.col("doc_id").asc_nulls_first(), F.col("leaf")], ["tree"])
 
 
