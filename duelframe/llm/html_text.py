@@ -4,7 +4,13 @@ Every block of text has a path of tags from the root, with their classes. Per pa
 punctuation marks are counted and divided by the number of its blocks. Both ratios are smoothed along the
 page, so that a short line amid long ones gains and a lone one doesn't, fused into one score per path, and
 compared with the page's best. Paths through navigation, forms, notices and the like, or made of links,
-score nothing. Where the best path lies in an article or main element, the text is that element's.
+score nothing, in an article as elsewhere. The nodes of the paths that pass are the content nodes.
+
+Headings, short lines and lists between them score less but belong to the text, so the elements that hold content
+nodes are taken as a whole, without what scores nothing: a node's parent, an article or main element around it, and
+any other element around it that has more content than that and little else. An article element is a hint, not
+a condition: the same page with plain elements in its place has the same text. Class words that are often used in
+articles too, such as `legal`, weigh on a path's score there and don't settle it.
 """
 
 from __future__ import annotations
@@ -43,6 +49,13 @@ WORDS = set(
     "signin login share sharing social related recommended recommendations comment comments commentlist discussion reply replies respond disqus pagination pager "
     "toolbar search skip alert paywall disclaimer copyright legal form tags".split()
 )
+#: Those of them that may also name a part of an article, and what a path through one counts there.
+DOUBTFUL = set("legal discussion notice notices alert form tags copyright disclaimer header footer search promotion banner overlay".split())
+DOUBT = 0.3
+#: Words that name whoever wrote a text.
+AUTHORS = set("author authors byline bio".split())
+#: What an element must have, next to the content nodes in it, to be taken: more content than the one inside, and so much of its text.
+MORE, MOSTLY = 1.1, 0.6
 ROOTS = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -55,24 +68,31 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = ".,;:!?…。，！？、"
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
     path: str
-    outside: bool
-    root: str | None
+    parent: Element | None = None
+    #: Text in it is none of the page's, or may be none.
+    outside: bool = False
+    doubtful: bool = False
+    root: bool = False  # an article or main element
+    within: bool = False  # it or one around it is
     heading_only: bool = False
 
 
 @dataclass
 class Block:
-    path: str
+    place: Element
     outside: bool
-    root: str | None
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
+    @property
+    def path(self) -> str:
+        return self.place.path
+
 
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(source)} if source and not source.isspace() else {}
@@ -91,26 +111,27 @@ def _named(attributes: dict[str, str]) -> list[str]:
 def _enter(parent: Element, tag: str, source: str) -> Element:
     attributes = _attributes(source)
     words = _named(attributes)
-    root, heading_only = parent.root, parent.heading_only
-    path = f"{parent.path}/{tag}" + "".join(f".{w}" for w in words[:4])
-    outside = parent.outside
+    made = Element(tag, f"{parent.path}/{tag}" + "".join(f".{w}" for w in words), parent, parent.outside, parent.doubtful, False, parent.within, parent.heading_only)
+    named = WORDS.intersection(words)
+    hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
     if tag in ROOTS or attributes.get("role") in ("main", "article"):
-        if not WORDS.intersection(words):
-            root = root or path
+        made.root = made.within = not named
+        made.outside |= bool(named)
+    elif tag == "header" and made.within:
+        made.heading_only = True  # an article's own header holds its headline
+    elif tag in OUTSIDE or attributes.get("role") in ROLES or hidden:
+        made.outside = True
+    elif tag not in ("html", "body") and tag not in HEADINGS and (named or AUTHORS.intersection(words)):
+        if made.within and named <= DOUBTFUL and not AUTHORS.intersection(words):
+            made.doubtful = True
         else:
-            outside = True
-    elif tag == "header" and root:
-        heading_only = True  # an article's own header holds its headline
-    elif tag in OUTSIDE or attributes.get("role") in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
-        outside = True
-    elif tag not in ("html", "body") and tag not in HEADINGS and WORDS.intersection(words):
-        outside = True
-    return Element(tag, path, outside, root, heading_only)
+            made.outside = True
+    return made
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text in order, white space put right, empty ones left out."""
-    stack = [Element("", "", False, None)]
+    stack = [Element("", "")]
     done: list[Block] = []
     now: Block | None = None
     links = 0
@@ -122,7 +143,7 @@ def blocks(page: str) -> list[Block]:
         if now is None:
             top = next(e for e in reversed(stack) if e.tag not in INLINE)
             outside = stack[-1].outside or (top.heading_only and top.tag not in HEADINGS)
-            now = Block(top.path, outside, top.root)
+            now = Block(top, outside)
         text = html.unescape(raw) if "&" in raw else raw
         now.parts.append(text)
         now.linked += len(text) if links else 0
@@ -188,6 +209,7 @@ def path_scores(found: list[Block]) -> dict[str, float]:
         for i, x in enumerate((1, len(b.text), sum(map(b.text.count, _PUNCTUATION)), b.linked)):
             c[i] += x
     barred = {b.path for b in found if b.outside} | {p for p, c in counts.items() if c[3] > LINKS * c[1]}
+    weight = {b.path: 0.0 if b.path in barred else DOUBT if b.place.doubtful else 1.0 for b in found}
     at = [b.path for b in found]
     ratio = lambda i: np.array([0.0 if p in barred else counts[p][i] / counts[p][0] for p in at])
     smooth = lambda x: np.convolve(np.pad(x, 2, mode="edge"), KERNEL, mode="valid")
@@ -195,24 +217,53 @@ def path_scores(found: list[Block]) -> dict[str, float]:
     sums: dict[str, float] = {}
     for p, s in zip(at, fused, strict=True):
         sums[p] = sums.get(p, 0.0) + s
-    return {p: 0.0 if p in barred else sums[p] / counts[p][0] for p in counts}
+    return {p: weight[p] * sums[p] / counts[p][0] for p in counts}
+
+
+def _around(place: Element) -> Iterator[Element]:
+    """The elements around one, from its parent out, without the page's own."""
+    at = place.parent
+    while at is not None and at.tag not in ("", "html", "body"):
+        yield at
+        at = at.parent
+
+
+def _held(nodes: list[Block], others: list[Block]) -> set[Element]:
+    """The elements that are taken as a whole: `nodes` are the content nodes, `others` what else might be text."""
+    content: dict[Element, int] = {}
+    every: dict[Element, int] = {}
+    for group, sums in ((nodes, (content, every)), (others, (every,))):
+        for b in group:
+            for e in (b.place, *_around(b.place)):
+                for s in sums:
+                    s[e] = s.get(e, 0) + len(b.text)
+    held, seen = set(), set()
+    for place in {b.place: None for b in nodes}:
+        around = list(_around(place))
+        if not around or around[0] in seen:
+            continue
+        seen.add(around[0])
+        now = around[0]
+        for e in around[1:]:
+            in_article = now.root or any(x.root for x in around[: around.index(now)])
+            if (e.root and not in_article) or (content[e] >= MORE * content[now] and content[e] >= MOSTLY * every[e]):
+                now = e
+        held.add(now)
+    return held
 
 
 def main_text(page: str) -> tuple[str, int, int]:
     """The page's main text, its number of blocks, and that of all blocks."""
     found = blocks(page)
     scores = path_scores(found)
-    weight: dict[str, float] = {}  # of a path: its score times its blocks, which tells where most text is
-    for b in found:
-        weight[b.path] = weight.get(b.path, 0.0) + scores[b.path]
-    best = max((b for b in found if scores[b.path] > 0), key=lambda b: weight[b.path], default=None)
-    if best is None:
+    top = max(scores.values(), default=0.0)
+    if not top:
         return "", 0, len(found)
-    top = max(scores.values())
-    if best.root:
-        kept = [b for b in found if b.root == best.root and not b.outside]
-    else:
-        kept = [b for b in found if not b.outside and scores[b.path] >= SHARE * top]
+    passes = [scores[b.path] >= SHARE * top for b in found]
+    others = [b for b, p in zip(found, passes, strict=True) if not p and scores[b.path] and not b.place.doubtful]
+    held = _held([b for b, p in zip(found, passes, strict=True) if p], others)
+    fill = {id(b) for b in others if held.intersection(_around(b.place)) or b.place in held}
+    kept = [b for b, p in zip(found, passes, strict=True) if p or id(b) in fill]
     return "\n".join(b.text for b in kept), len(kept), len(found)
 
 

@@ -25,6 +25,20 @@ CASES = {
     '<div id="cookie-notice">We use cookies, fine?</div><div><p>A story, told at length. It ends well.</p><p>Short.</p></div><p><a href=x>More stories, all of them links</a></p>': "A story, told at length. It ends well.\nShort.",
 }
 
+LONG = "A long sentence of the story, with a comma. And a second one, which ends here."
+CASES |= {
+    # sibling articles, of different classes too
+    f'<main><article class="lead"><h2>One</h2><p>{LONG}</p></article><article class="other"><h2>Two</h2><p>{LONG}</p><p>Short.</p></article></main>': f"One\n{LONG}\nTwo\n{LONG}\nShort.",
+    # class words within an article tell little, but for a few
+    f'<article><h1>T</h1><p>{LONG}</p><p class="legal">{LONG}</p><div class="discussion"><p>{LONG}</p></div></article>': "\n".join(["T", LONG, LONG, LONG]),
+    f'<article><p>{LONG}</p><div class="tags">news</div><section class="comments"><p>{LONG}</p></section><div class="sponsored">{LONG}</div></article>': LONG,
+    # lists stay, lists of links and who wrote it don't
+    f'<article><p>{LONG}</p><ul><li>one<li>two</ul><ul class="more"><li><a href=x>Another story, which is long</a><li><a href=y>And one more, also long</a></ul><p>{LONG}</p><div class="author-box">Jane Doe writes about stories, often.</div></article>': f"{LONG}\none\ntwo\n{LONG}",
+    # no article element: the content nodes' elements
+    f'<div id="page"><div id="top">Site name</div><div class="post"><h1>T</h1><section><h2>A</h2><p>{LONG}</p></section><section><p>{LONG}</p><ul><li>x<li>y</ul></section></div><div>Imprint</div></div>': f"T\nA\n{LONG}\n{LONG}\nx\ny",
+    f"<body><h1>T</h1><p>{LONG}</p><p>{LONG}</p><div><a href=x>All stories</a></div></body>": f"T\n{LONG}\n{LONG}",
+}
+
 
 @pytest.mark.parametrize("page", CASES)
 def test_cases(page):
@@ -49,6 +63,18 @@ def test_articles_of_all_pages(spark):
         assert r["text"] == "\n".join(x for x in blocks if x) and r["n_chars"] == len(r["text"])
 
 
+def test_articles_need_no_article_element(spark):
+    """The same pages with plain elements for the articles, and with two articles of each page."""
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        page, text = r["html"], html_text.main_text(r["html"])[0]
+        plain = re.sub(r"<(/?)article\b", r"<\1div", page)
+        assert html_text.main_text(plain)[0] == text
+        if "</article>" in page and text:
+            start, end = page.index("<article>"), page.index("</article>") + len("</article>")
+            twice = page[:end] + page[start:end] + page[end:]
+            assert html_text.main_text(twice)[0] == f"{text}\n{text}"
+
+
 def test_edge_rows(spark):
     ship(spark)
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (None, "u", "<p>Text.</p>"), (3, "u", "<p>Text.</p>"), (3, "u", "<p>Text.</p>"), (4, "u", "<p>" + "Many words. " * 50_000)], "page_id long, url string, html string")
