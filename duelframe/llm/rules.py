@@ -4,9 +4,11 @@ Every text is counted once: words, symbols, repeated lines and words, capitals.
 pass the fixed base rules go into quantile sketches, one for each language, source and ratio. A sketch
 is a table of counts by bucket with a relative error of 1/32; sketches merge by adding counts, so those of
 sources merge to a language's and those to the whole corpus'. A group with too few texts takes the
-thresholds of its language, and a language with too few those of the corpus. Each ratio's threshold
-lies three interquartile ranges beyond the quartile, and a margin further. Texts are then joined with
-the thresholds of their group and filtered.
+thresholds of its language, and a language with too few those of the corpus. A threshold lies beyond a quantile
+of the group by a multiple of the group's own spread, and a small floor further, so that groups without any spread
+don't lose texts by rounding: beyond the upper quartile by three interquartile ranges where a share of the texts is
+expected to be junk, and beyond the last hundredth by half of its distance from the quartile where
+tails are long. Texts are then joined with the thresholds of their group and filtered.
 """
 
 from __future__ import annotations
@@ -22,15 +24,14 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: Texts that a group needs for thresholds of its own.
 MIN_GROUP = 200
-#: Interquartile ranges between a quartile and the threshold.
-RANGES = 3
-#: Ratio: (numerator, denominator, scale, margin above, margin below or None for no lower threshold).
+#: Ratio: (numerator, denominator, scale, anchor, inner, halves, floor, whether there is a lower threshold too). The upper threshold is
+#: the anchor's quantile, plus `halves` halves of its distance from the inner one, plus the floor; the lower one mirrors it.
 RATIOS = {
-    "symbols": ("n_symbols", "n_words", 1000, 100, None),
-    "repeats": ("n_repeat_words", "n_words", 1000, 200, None),
-    "dup_lines": ("n_dup_lines", "n_words", 1000, 100, None),
-    "capitals": ("n_capitals", "word_chars", 1000, 150, None),
-    "word_length": ("word_chars", "n_words", 100, 500, 500),
+    "symbols": ("n_symbols", "n_words", 1000, 75, 25, 6, 20, False),
+    "repeats": ("n_repeat_words", "n_words", 1000, 99, 75, 1, 10, False),
+    "dup_lines": ("n_dup_lines", "n_words", 1000, 99, 75, 1, 2, False),
+    "capitals": ("n_capitals", "word_chars", 1000, 99, 75, 1, 5, False),
+    "word_length": ("word_chars", "n_words", 100, 99, 75, 1, 10, True),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
 SPACES = " \t\n\x0b\x0c\r"
@@ -89,14 +90,18 @@ def base_failed() -> Column:
 
 
 def ratio(name: str) -> Column:
-    top, below, scale, _, _ = RATIOS[name]
+    top, below, scale = RATIOS[name][:3]
     return F.floor(scale * F.col(top) / F.greatest(F.col(below), F.lit(1))).cast("long")
 
 
+def width(value: Column) -> Column:
+    """Numbers in the value's bucket: one below 64, else as many as share its six leading bits."""
+    return F.pow(F.lit(2), F.greatest(F.length(F.bin(value)) - 6, F.lit(0))).cast("long")
+
+
 def bucket(value: Column) -> Column:
-    """Lower edge of the value's bucket: the number itself below 64, else its six leading bits."""
-    shift = F.greatest(F.length(F.bin(value)) - 6, F.lit(0))
-    return (F.floor(value / F.pow(F.lit(2), shift)) * F.pow(F.lit(2), shift)).cast("long")
+    """Lower edge of the value's bucket."""
+    return (F.floor(value / width(value)) * width(value)).cast("long")
 
 
 def sketches(counts: DataFrame) -> DataFrame:
@@ -114,21 +119,22 @@ def limits(sketch: DataFrame, *groups: str) -> DataFrame:
     """A row per group: texts, and low and high threshold of each ratio."""
     order = Window.partitionBy(*groups, "ratio")
     placed = sketch.withColumn("upto", F.sum("n").over(order.orderBy("edge"))).withColumn("total", F.sum("n").over(order))
-    quartile = lambda p: F.min(F.when(100 * F.col("upto") >= p * F.col("total"), F.col("edge")))
-    found = placed.groupBy(*groups, "ratio").agg(F.max("total").alias("total"), quartile(25).alias("q25"), quartile(75).alias("q75"))
-    reach = RANGES * (F.col("q75") - F.col("q25"))
+    quantile = lambda p: F.min(F.when(100 * F.col("upto") >= p * F.col("total"), F.col("edge"))).alias(f"q{p}")
+    found = placed.groupBy(*groups, "ratio").agg(F.max("total").alias("total"), *[quantile(p) for p in (1, 25, 75, 99)])
     columns = [F.max("total").alias("total")]
-    for name, (_, _, _, above, below) in RATIOS.items():
+    for name, (_, _, _, anchor, inner, halves, floor, lower) in RATIOS.items():
         here = F.col("ratio") == name
-        columns.append(F.max(F.when(here, F.col("q75") + reach + above)).alias(f"{name}_high"))
-        if below is not None:
-            columns.append(F.max(F.when(here, F.col("q25") - reach - below)).alias(f"{name}_low"))
+        for side, sign, p, q in (("high", 1, anchor, inner), ("low", -1, 100 - anchor, 100 - inner)):
+            if side == "high" or lower:
+                reach = F.floor(halves * F.abs(F.col(f"q{p}") - F.col(f"q{q}")) / 2) + floor
+                reach = reach + width(F.col(f"q{p}")) - 1 if side == "high" else reach  # from the bucket's upper edge
+                columns.append(F.max(F.when(here, F.col(f"q{p}") + sign * reach)).alias(f"{name}_{side}"))
     return found.groupBy(*groups).agg(*columns)
 
 
 def thresholds(counts: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """Thresholds for every language and source that occurs, from the finest group with enough texts."""
-    names = [f"{n}_high" for n in RATIOS] + [f"{n}_low" for n, r in RATIOS.items() if r[4] is not None]
+    names = [f"{n}_high" for n in RATIOS] + [f"{n}_low" for n, r in RATIOS.items() if r[-1]]
     fine = stored(sketches(counts), "sketches")
     whole = limits(merge(fine).withColumn("all", F.lit(1)), "all").first()  # one row
     own = limits(fine, "lang", "source").select(F.col("lang").alias("l0"), F.col("source").alias("s0"), F.col("total").alias("t0"), *[F.col(n).alias(f"{n}_0") for n in names])
@@ -145,9 +151,9 @@ def _verdicts(counts: DataFrame, found: DataFrame) -> DataFrame:
     rows = counts.join(found, counts["lang"].eqNullSafe(F.col("group_lang")) & counts["source"].eqNullSafe(F.col("group_source")), "left")
     rows = rows.withColumns({f"{n}_ratio": ratio(n) for n in RATIOS})
     beyond = F.lit(False)
-    for name, (_, _, _, _, below) in RATIOS.items():
+    for name, (*_, lower) in RATIOS.items():
         beyond = beyond | (F.col(f"{name}_ratio") > F.col(f"{name}_high"))
-        if below is not None:
+        if lower:
             beyond = beyond | (F.col(f"{name}_ratio") < F.col(f"{name}_low"))
     rows = rows.withColumn("base_failed", base_failed())
     return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(beyond, F.lit(False)))

@@ -7,13 +7,14 @@ _RATIOS = """
          n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
   FROM counts"""
 
+_QUANTILES = ", ".join(f"min(edge) FILTER (100 * upto >= {p} * total) AS q{p}" for p in (1, 25, 75, 99))
 _LIMITS = """
   SELECT {groups}, max(total) AS total,
-         max(hi) FILTER (ratio = 'symbols') + 100 AS symbols_high, max(hi) FILTER (ratio = 'repeats') + 200 AS repeats_high,
-         max(hi) FILTER (ratio = 'dup_lines') + 100 AS dup_lines_high, max(hi) FILTER (ratio = 'capitals') + 150 AS capitals_high,
-         max(hi) FILTER (ratio = 'word_length') + 500 AS word_length_high, max(lo) FILTER (ratio = 'word_length') - 500 AS word_length_low
-  FROM (SELECT {groups}, ratio, max(total) AS total, min(edge) FILTER (100 * upto >= 75 * total) AS q75, min(edge) FILTER (100 * upto >= 25 * total) AS q25,
-               q75 + 3 * (q75 - q25) AS hi, q25 - 3 * (q75 - q25) AS lo
+         max(q75 + (2 ** greatest(length(bin(q75)) - 6, 0))::BIGINT - 1 + 3 * (q75 - q25) + 20) FILTER (ratio = 'symbols') AS symbols_high, max(tail + 10) FILTER (ratio = 'repeats') AS repeats_high,
+         max(tail + 2) FILTER (ratio = 'dup_lines') AS dup_lines_high, max(tail + 5) FILTER (ratio = 'capitals') AS capitals_high,
+         max(tail + 10) FILTER (ratio = 'word_length') AS word_length_high, max(head - 10) FILTER (ratio = 'word_length') AS word_length_low
+  FROM (SELECT {groups}, ratio, max(total) AS total, {quantiles},
+               q99 + (2 ** greatest(length(bin(q99)) - 6, 0))::BIGINT - 1 + (q99 - q75) // 2 AS tail, q1 - (q25 - q1) // 2 AS head
         FROM (SELECT *, sum(n) OVER (PARTITION BY {groups}, ratio ORDER BY edge) AS upto, sum(n) OVER (PARTITION BY {groups}, ratio) AS total
               FROM (SELECT {groups}, ratio, edge, count(*) AS n FROM edges GROUP BY ALL))
         GROUP BY {groups}, ratio)
@@ -35,9 +36,9 @@ edges AS (
   SELECT lang, source, 1 AS everything, ratio, v // (2 ** greatest(length(bin(v)) - 6, 0))::BIGINT * (2 ** greatest(length(bin(v)) - 6, 0))::BIGINT AS edge
   FROM (SELECT lang, source, unnest(['symbols', 'repeats', 'dup_lines', 'capitals', 'word_length']) AS ratio, unnest([symbols, repeats, dup_lines, capitals, word_length]) AS v
         FROM ratios WHERE NOT base_failed)),
-fine AS ({_LIMITS.format(groups="lang, source")}),
-middle AS ({_LIMITS.format(groups="lang")}),
-coarse AS ({_LIMITS.format(groups="everything")}),
+fine AS ({_LIMITS.format(groups="lang, source", quantiles=_QUANTILES)}),
+middle AS ({_LIMITS.format(groups="lang", quantiles=_QUANTILES)}),
+coarse AS ({_LIMITS.format(groups="everything", quantiles=_QUANTILES)}),
 judged AS (
   SELECT r.*, NOT base_failed AND NOT coalesce(
       symbols > t.symbols_high OR repeats > t.repeats_high OR dup_lines > t.dup_lines_high OR capitals > t.capitals_high
