@@ -40,27 +40,38 @@ NOTICES = {
     "all rights reserved": ("reserved", 0.0),
 }
 OPENNESS = {"mit": 1.0, "apache": 1.0, "gpl": 0.5} | dict(NOTICES.values())
-#: Families by which identifiers of expressions are judged: how they begin, and their label.
+#: Families by which identifiers of expressions are judged: what they are, or begin with before a mark or number, and their label.
 FAMILIES = [("mit", "mit"), ("apache", "apache"), ("agpl", "agpl"), ("lgpl", "lgpl"), ("gpl", "gpl"), ("bsd", "bsd"), ("isc", "isc"), ("mpl", "mpl"), ("epl", "epl"),
             ("cc0", "cc0"), ("cc-by-nc", "cc-nc"), ("cc-by-nd", "cc-nd"), ("cc-by", "cc"), ("unlicense", "unlicense"), ("bsl", "bsl")]
 TAG = "spdx license identifier"
 _TAGGED = re.compile(r"SPDX-License-Identifier:[ \t]*([^\n]*)", re.IGNORECASE)
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+#: What may stand after an expression on its line.
+_REST = re.compile(r"[\s\"'#;*>]*\Z")
+#: An identifier that is in no family has a number, a mark or a capital; plain words are prose.
+_FORMED = re.compile(r"(?=.*[A-Z0-9+-])[A-Za-z0-9][A-Za-z0-9.+-]*\Z")
+_FAMILY = {start: re.compile(rf"{re.escape(start)}(?:\Z|[-.+]|v?[0-9])") for start, _ in FAMILIES}
 #: Bytes of words keep their place, A-Z lower-cased; all else becomes a blank.
 _TABLE = bytes((b + 32 if 65 <= b <= 90 else b) if 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
-def postfix(expression: str) -> list[str]:
-    """Tokens of a licence expression in postfix order; it ends before the first thing that is none.
+def parsed(expression: str) -> tuple[list[str], bool]:
+    """Tokens of a licence expression in postfix order, and whether it makes up its line.
 
-    Brackets that don't match are passed over, so that a torn line still gives its identifiers.
+    It ends before the first thing that is none. Brackets that don't match are passed over, so that a torn
+    line still gives its identifiers.
     """
     out: list[str] = []
     held: list[str] = []
     operand = False  # whether the last token was one
-    for token in _TOKEN.findall(expression.split("*/")[0].split("-->")[0]):
+    line = expression.split("*/")[0].split("-->")[0]
+    end = 0
+    for match in _TOKEN.finditer(line):
+        token = match[0]
         word = token.lower()
+        if line[end : match.start()].strip():
+            break
         if word in _RANK:
             if not operand:
                 break
@@ -82,15 +93,43 @@ def postfix(expression: str) -> list[str]:
                 break
             out.append(token.rstrip(".:"))
             operand = True
+        end = match.end()
     out.extend(x for x in reversed(held) if x != "(")
-    return out
+    return out, _nothing_follows(line, end, operand)
+
+
+def _nothing_follows(line: str, end: int, operand: bool) -> bool:
+    """Whether nothing but marks follows on the line."""
+    return bool(_REST.match(line, end)) and (operand or line[:end].rstrip().endswith(")"))
+
+
+def postfix(expression: str) -> list[str]:
+    """Tokens of a licence expression in postfix order."""
+    return parsed(expression)[0]
+
+
+def identifiers(expression: str) -> list[str]:
+    """The licences that an expression names, lower-cased, without exceptions.
+
+    Those of known families count wherever they stand. Others count if they have the form of an identifier and the
+    expression makes up its line, so that prose after a tag names none.
+    """
+    tokens, whole = parsed(expression)
+    stack: list[list[str]] = []
+    for token in tokens:
+        if token not in _RANK:
+            known = family(token.lower()) is not None
+            stack.append([token.lower()] if known or (whole and _FORMED.match(token)) else [])
+        elif len(stack) > 1:
+            right, left = stack.pop(), stack.pop()
+            stack.append(left if token == "with" else left + right)
+    return list(dict.fromkeys(x for part in stack for x in part))
 
 
 def alternatives(expression: str) -> list[frozenset[str]]:
     """The sets of licences that satisfy an expression, smallest first. Unfinished operators take what there is.
 
-    AND multiplies alternatives; beyond 256 of them the operands' licences are asked for all together,
-    which keeps every licence named.
+    AND multiplies alternatives, so there may be very many; a scan doesn't list them.
     """
     stack: list[list[frozenset[str]]] = []
     for token in postfix(expression):
@@ -103,8 +142,6 @@ def alternatives(expression: str) -> list[frozenset[str]]:
                 stack.append(list(dict.fromkeys(left + right)))
             elif token == "with":
                 stack.append([x | {"with:" + e for s in right for e in s} for x in left])
-            elif len(left) * len(right) > 256:
-                stack.append([frozenset().union(*left, *right)])
             else:
                 stack.append(list(dict.fromkeys(a | b for a in left for b in right)))
         else:
@@ -132,7 +169,7 @@ def openness(expression: str) -> tuple[float, float] | None:
 
 def family(identifier: str) -> str | None:
     """Label of the family of an identifier; null for an exception or one that is not known."""
-    return next((label for start, label in FAMILIES if identifier.startswith(start)), None)
+    return next((label for start, label in FAMILIES if _FAMILY[start].match(identifier)), None)
 
 
 @functools.lru_cache(maxsize=1)
@@ -147,7 +184,7 @@ def _automaton():
 
 
 def scan_text(text: str) -> tuple:
-    """(n_words, n_base, first_word, last_word, base_labels, labels, score, spans, expressions)."""
+    """(n_words, n_base, first_word, last_word, base_labels, labels, score, score_most, spans, expressions)."""
     words = text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
     line = (b" " + b" ".join(words) + b" ").decode("utf-8", "replace")
     base: set[str] = set()
@@ -174,22 +211,21 @@ def scan_text(text: str) -> tuple:
     open_to = [(OPENNESS[x], OPENNESS[x]) for x in base | labels]
     if tagged:
         for match in _TAGGED.finditer(text):
-            ways = alternatives(match[1])
-            if ways:
+            named = identifiers(match[1])
+            if named:
                 expressions.append(match[1].strip())
-                labels |= {family(x) or x for way in ways for x in way if x and not x.startswith("with:")}
+                labels |= {family(x) or x for x in named}
                 open_to.append(openness(match[1]))
     low, high = (min(x) for x in zip(*open_to, strict=True)) if open_to else (0.0, 0.0)
-    score = low if low == high else None
-    return len(words), n_base, first, last, ",".join(sorted(base)), ",".join(sorted(base | labels)), score, spans, expressions
+    return len(words), n_base, first, last, ",".join(sorted(base)), ",".join(sorted(base | labels)), low, high, spans, expressions
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """One row per document: words, base places, labels, score, all spans and tagged expressions.
+    """One row per document: words, base places, labels, score, score_most, all spans and tagged expressions.
 
-    `score` says how freely the text may be used, by the strictest notice in it: 1 permissive, 0.5 with
-    conditions, 0 closed or no notice at all, null where it hangs on an identifier that is not known, which is
-    its own label in lower case. An expression counts with its most open alternative, and
+    `score` says how freely the text may be used at least, by the strictest notice in it: 1 permissive, 0.5 with
+    conditions, 0 closed or no notice at all. `score_most` is more where it hangs on an identifier that is not known,
+    which is its own label in lower case; else the same. An expression counts with its most open alternative, and
     that with its strictest licence. `spans` lists each phrase with the index of its first word. Null texts
     are empty, without words and labels; repeated rows are scanned one by one; other columns are not read.
     """
@@ -203,6 +239,6 @@ def scan(documents: DataFrame) -> DataFrame:
             out[["first_word", "last_word"]] = out[["first_word", "last_word"]].astype("Int64")
             yield pd.concat([frame[["doc_id"]].reset_index(drop=True), out], axis=1)
 
-    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans", "expressions"]
-    schema = f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<phrase string, word long>>, expressions array<string>"
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "score_most", "spans", "expressions"]
+    schema = f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, score_most double, spans array<struct<phrase string, word long>>, expressions array<string>"
     return documents.select("doc_id", "text").mapInPandas(run, schema)
