@@ -9,7 +9,6 @@ one with the largest share of its words.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,12 +31,11 @@ ROUNDS = 40
 CHAIN = 256
 #: Characters whose words are labelled at once.
 BATCH = 2_000_000
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def letters(token: str) -> str:
-    """The token's letters in lower case; empty if it has none."""
-    return token.lower() if token.isalpha() else "".join(_LETTERS.findall(token)).lower()
+    """The token's letters in lower case; empty if it has none. Signs that stand for numbers, such as a half, are none."""
+    return token.lower() if token.isalpha() else "".join(filter(str.isalpha, token)).lower()
 
 
 def feature_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -63,3 +63,13 @@ def test_edge_rows(spark):
     assert {r["doc_id"]: r["lang_pred"] for r in rows if r["doc_id"] in (1, 2, 3, 7)} == dict.fromkeys((1, 2, 3, 7), "und")
     assert languages.predict(nothing(spark), languages.learn(nothing(spark))).count() == 0
     assert {r["lang_pred"] for r in languages.predict(docs, languages.learn(nothing(spark))).collect()} == {"und"}
+
+
+def test_signs_that_stand_for_numbers_are_no_letters(spark):
+    ship(spark)
+    docs = spark.createDataFrame([(i, f"{EN} {i}" if i % 2 else f"{DE} {i}", "en" if i % 2 else "de") for i in range(300)], "doc_id long, text string, lang string")
+    texts = ["²", "½ 12", "①", "Ⅷ", "12 % — ٣", "_ _", "² x", "ª"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in languages.predict(asked, languages.learn(docs)).collect()}
+    assert {texts[i] for i, (lang, _) in found.items() if lang == "und"} == {x for x in texts if not any(map(str.isalpha, x))}
+    assert all(score == 0 for lang, score in found.values() if lang == "und")
