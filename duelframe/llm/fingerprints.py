@@ -141,10 +141,13 @@ def fingerprint(documents: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> D
 
     The last document is followed by the first one. Null texts are empty and null ids come last. Rows of
     the same id are ordered by their texts; a single document follows itself. An empty table gives no row.
+    Ids are whole numbers of up to 64 bits; others raise a TypeError before anything is read.
     Ranges of ids are cut at ids that occur; the rows of such an id also go to the range before, as
     the followers of its last row, so that texts are shuffled once and no task depends on another.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"doc_id is {kind}, not a whole number")
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("at"))
     n = rows.count()
     ranges = min(MOST_RANGES, max(1, -(-n // rows_per_range)))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pytest
 
 from duelframe.llm import fingerprints as fp
 from duelframe.llm.common import ship
@@ -60,3 +61,13 @@ def test_phrases_have_two_names_at_least_and_few():
     names = rng.integers(0, 1 << 62, 10_000).astype(np.uint64)
     found, _ = fp.phrases(names, np.array([0]))
     assert 10_000 / 12 < len(found) < 10_000 / 2
+
+
+def test_ids_are_whole_numbers(spark):
+    for kind in ("string", "double", "decimal(20,0)"):
+        docs = spark.createDataFrame([(None, "x")], f"doc_id {kind}, text string")
+        with pytest.raises(TypeError, match="not a whole number"):
+            fp.fingerprint(docs)
+    ship(spark)
+    docs = spark.createDataFrame([(3, PROSE), (1, "x")], "doc_id int, text string")
+    assert sorted(map(tuple, fp.fingerprint(docs).collect())) == expected([(3, PROSE), (1, "x")])
