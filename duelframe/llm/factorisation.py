@@ -1,4 +1,7 @@
-"""Quality classifier: a factorisation machine over hashed words and statistics of a text's structure.
+"""Quality classifier: a factorisation machine over hashed words, statistics of a text's structure and its metadata.
+
+Metadata are what a table keeps about a text beside it: its length in characters and the bytes that a character
+takes. They are taken from the text itself, so that equal texts score alike whatever a row says of them.
 
 y = w0 + sum w_i x_i + sum over pairs <v_i, v_j> x_i x_j. The pairs cost no more than the features
 themselves, since they equal half of (sum v x)^2 - sum (v x)^2, factor by factor.
@@ -26,19 +29,22 @@ CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 DIGITS = b"0123456789"
 SYMBOLS = b"#*$%&|<>"
 STATISTICS = ["one", "length", "symbols", "bars", "calls", "capitals", "digits", "echo", "variety", "word_length", "lines", "dup_lines", "others"]
+METADATA = ["chars", "bytes_per_char"]
 
 
 def statistics(text: str, words: list[bytes], raw: bytes, hashed: np.ndarray) -> list[float]:
-    """Structure of a text as numbers from 0 to about 1; the same for the same text."""
+    """Structure and metadata of a text as numbers from 0 to about 1; the same for the same text."""
     n, size = max(1, len(words)), max(1, len(raw))
     share = lambda drop: (len(raw) - len(raw.translate(None, drop))) / size
     lines = [x for x in raw.split(b"\n") if x]
     echo = float((hashed[1:] == hashed[:-1]).mean()) if len(hashed) > 1 else 0.0
     variety = len(set(words)) / n
+    chars = max(1, len(text))
     return [
         1.0, np.log1p(len(words)) / 10, min(1.0, sum(raw.count(bytes([c])) for c in SYMBOLS) / n / 3), min(1.0, raw.count(b"|") / n), min(1.0, raw.count(b"!") / n / 2),
         share(CAPITALS), share(DIGITS), echo, variety, min(2.0, size / n / 10), min(1.0, len(lines) / n), 1 - len(set(lines)) / max(1, len(lines)),
         share(b".,;:?'\"()-"),
+        np.log1p(len(text)) / 15, size / chars - 1,
     ]
 
 
@@ -70,9 +76,28 @@ class Model:
         return float(self.w0 + self.w[index] @ value + 0.5 * (total @ total - (vx * vx).sum()))
 
 
+def gradients(params, inner, value, owner, first, labels, weight) -> tuple[float, list[np.ndarray]]:
+    """Loss, with a slight pull of all weights to zero, and its gradient by w0, w and v.
+
+    Feature k has the weights of number inner[k], the value value[k], and belongs to text owner[k], whose features begin at
+    first[owner[k]].
+    """
+    w0, w, v = params
+    vx = v[inner] * value[:, None]
+    total = np.add.reduceat(vx, first, axis=0)
+    y = w0[0] + np.add.reduceat(w[inner] * value, first) + 0.5 * ((total**2).sum(1) - np.add.reduceat((vx * vx).sum(1), first))
+    y = np.clip(y, -40, 40)
+    loss = weight @ (np.logaddexp(0, y) - labels * y) + 0.5e-5 * ((w**2).sum() + (v**2).sum())
+    g = (1 / (1 + np.exp(-y)) - labels) * weight
+    gx = g[owner] * value
+    gv = gx[:, None] * (total[owner] - vx)
+    by_factor = [np.bincount(inner, gv[:, k], len(w)) for k in range(v.shape[1])]
+    return float(loss), [np.array([g.sum()]), np.bincount(inner, gx, len(w)) + 1e-5 * w, np.stack(by_factor, 1) + 1e-5 * v]
+
+
 def fit(sample: list[tuple[str, int]], rounds: int = ROUNDS, rate: float = 0.05, seed: int = 7) -> Model:
     """Logistic loss with both labels weighted alike, by gradient steps with momentum over the whole sample."""
-    size = BUCKETS + len(STATISTICS)
+    size = BUCKETS + len(STATISTICS) + len(METADATA)
     labels = np.array([y for _, y in sample], dtype=float)
     start = np.random.default_rng(seed).normal(0, 0.05, (size, FACTORS))
     if not len(sample) or labels.min() == labels.max():
@@ -87,14 +112,7 @@ def fit(sample: list[tuple[str, int]], rounds: int = ROUNDS, rate: float = 0.05,
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     weight = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
     for step in range(1, rounds + 1):
-        w0, w, v = params
-        vx = v[inner] * value[:, None]
-        total = np.add.reduceat(vx, first, axis=0)
-        y = w0[0] + np.add.reduceat(w[inner] * value, first) + 0.5 * ((total**2).sum(1) - np.add.reduceat((vx * vx).sum(1), first))
-        g = (1 / (1 + np.exp(-np.clip(y, -40, 40))) - labels) * weight
-        gx = g[owner] * value
-        gv = gx[:, None] * (total[owner] - vx)
-        grads = [np.array([g.sum()]), np.bincount(inner, gx, len(used)) + 1e-5 * w, np.stack([np.bincount(inner, gv[:, k], len(used)) for k in range(FACTORS)], 1) + 1e-5 * v]
+        grads = gradients(params, inner, value, owner, first, labels, weight)[1]
         for i, (p, d) in enumerate(zip(params, grads, strict=True)):
             m, s = moments[i]
             m, s = 0.9 * m + 0.1 * d, 0.99 * s + 0.01 * d * d

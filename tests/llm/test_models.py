@@ -42,6 +42,31 @@ def test_sum_of_squares_stands_for_all_pairs():
     assert np.isclose(model.margin(index, value), 0.3 + model.w[index] @ value + pairs)
 
 
+def test_gradients_are_those_of_finite_differences():
+    rng = np.random.default_rng(4)
+    lengths = np.array([3, 1, 4])
+    inner, value = rng.integers(0, 6, 8), rng.normal(size=8)
+    owner, first = np.repeat(np.arange(3), lengths), np.array([0, 3, 4])
+    labels, weight = np.array([1.0, 0.0, 1.0]), np.array([0.2, 0.5, 0.3])
+    params = [rng.normal(size=1), rng.normal(size=6), rng.normal(size=(6, 3))]
+    of = lambda: factorisation.gradients(params, inner, value, owner, first, labels, weight)
+    for p, d in zip(params, of()[1], strict=True):
+        for i in np.ndindex(p.shape):
+            kept, step = p[i], 1e-6
+            p[i] = kept + step
+            above = of()[0]
+            p[i] = kept - step
+            below = of()[0]
+            p[i] = kept
+            assert np.isclose((above - below) / (2 * step), d[i], atol=1e-7)
+
+
+def test_metadata_come_from_the_text():
+    cache = Cache(factorisation.hashed_word)
+    meta = lambda text: factorisation.describe(text, cache)[1][-2:]
+    assert np.allclose(meta("ab"), [np.log1p(2) / 15, 0]) and np.allclose(meta("日本"), [np.log1p(2) / 15, 2]) and np.allclose(meta(""), [0, 0])
+
+
 def test_factorisation_learns_an_interaction():
     """Two words are good together or apart from both, bad alone: no linear score can tell."""
     texts = [("alpha beta", 1), ("alpha gamma", 0), ("delta beta", 0), ("delta gamma", 1)] * 10
