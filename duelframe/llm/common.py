@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import tempfile
 import uuid
 import zipfile
@@ -11,7 +10,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelframe.sources.tables import remove
@@ -24,9 +23,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-#: Rows that go to a Python worker at once, where the session has Spark's default of 10,000: of 10,000 texts a worker
-#: holds up to 160 MB beside its own, and what workers once held stays with them from stage to stage.
-BATCH_ROWS = 2_000
+#: Rows that go to a Python worker at once, where the session has Spark's default of 10,000. Both sides hold such a batch
+#: of texts, the JVM in off-heap buffers that it keeps, and the worker up to 160 MB for 10,000, which also stay with it.
+BATCH_ROWS = 500
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -68,7 +67,7 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
     frame.write.option("compression", "zstd").parquet(path)
-    vars(spark.sparkContext).setdefault("duelframe_stored", []).append(path.rsplit("/", 1)[0])
+    tables_stored(spark).append(path.rsplit("/", 1)[0])
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -84,25 +83,25 @@ def in_stored_order(frame: DataFrame, name: str) -> DataFrame:
         placed = frame.withColumns({"_file": at["file_path"], name: at["row_index"]})
     except AnalysisException:
         return frame.withColumn(name, F.monotonically_increasing_id())
-    counts = {r["_file"]: r["n"] for r in placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per file
+    # One row per file: folder, number of the part and name give the order; a running total gives each file's first row.
+    folder, part = F.regexp_extract("_file", r"^(.*)/[^/]*$", 1), F.coalesce(F.regexp_extract("_file", r"part-(\d+)[^/]*$", 1).try_cast("long"), F.lit(-1))
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(folder, part, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    return placed.join(files, "_file").withColumn(name, F.col(name) + F.col("_first")).drop("_file", "_first")
 
-    def part(path: str) -> tuple:
-        found = re.search(r"part-(\d+)[^/]*\Z", path)
-        return path.rsplit("/", 1)[0], int(found[1]) if found else -1, path
 
-    first, at = [], 0
-    for path in sorted(counts, key=part):
-        first.append((path, at))
-        at += counts[path]
-    files = frame.sparkSession.createDataFrame(first, "_file string, _first long")
-    return placed.join(F.broadcast(files), "_file").withColumn(name, F.col(name) + F.col("_first")).drop("_file", "_first")
+def tables_stored(spark: SparkSession) -> list[str]:
+    """The folders of all tables that this application has stored between steps, oldest first."""
+    return vars(spark.sparkContext).setdefault("duelframe_stored", [])
 
 
-def discard(spark: SparkSession) -> None:
-    """Delete all tables that this application has stored between steps, once no result is read any more."""
-    folders = vars(spark.sparkContext).setdefault("duelframe_stored", [])
-    while folders:
-        remove(spark, folders.pop())
+def discard(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the tables stored since there were `since` of them, but for the last `keep`, once no result reads them any more."""
+    folders = tables_stored(spark)
+    for folder in folders[since : len(folders) - keep]:
+        remove(spark, folder)
+    del folders[since : len(folders) - keep]
 
 
 def id_crc(column: str = "doc_id") -> F.Column:

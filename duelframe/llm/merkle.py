@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import shared_folder, stored
+from duelframe.llm.common import shared_folder, stored, tables_stored
 from duelframe.operators.positions import with_positions
 
 FAN = 8
@@ -87,8 +87,9 @@ def leaves(documents: DataFrame) -> DataFrame:
 
 
 def _ranked(frame: DataFrame, order: list[Column], by: list[str]) -> DataFrame:
-    folder = f"{shared_folder(frame.sparkSession)}/llm-{uuid.uuid4().hex}/ranked"
-    return with_positions(frame, order, folder, name="nth", by=by, total="total").withColumn("nth", F.col("nth") - 1)
+    folder = f"{shared_folder(frame.sparkSession)}/llm-{uuid.uuid4().hex}"
+    tables_stored(frame.sparkSession).append(folder)
+    return with_positions(frame, order, f"{folder}/ranked", name="nth", by=by, total="total").withColumn("nth", F.col("nth") - 1)
 
 
 def forest(nodes: DataFrame) -> tuple[DataFrame, tuple[Level, ...]]:
