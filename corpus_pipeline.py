@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.llm import duplicates, mixing, packing, rules, toxicity
-from duelframe.llm.common import in_stored_order, ship, stored, table
+from duelframe.llm.common import discard, in_stored_order, ship, stored, table, tables_stored
 
 #: Texts that score less are kept.
 TOXIC = toxicity.THRESHOLD
@@ -59,7 +59,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), len(tables_stored(spark))
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        discard(spark, before, keep=1)  # what the stage stored on its way, and what it read
     return STAGES[-1][1](spark, docs, sf_dir)
