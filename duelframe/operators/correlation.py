@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,17 +20,35 @@ def _numeric(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
     return metrics.select(*[to_double(named(c), dtype(metrics, c)).alias(c) for c in names])
 
 
-def _pairs(metrics: DataFrame, stats: list[str], outcomes: list[str]) -> DataFrame:
-    """(i, stat, j, metric, r, n) for attribute i and outcome j, a row for every pair also without input.
+#: Pairs whose states fit into one row of an aggregation; its code grows with them.
+MOST_PAIRS = 48
 
-    Each row is unpivoted to its attribute/outcome pairs and aggregated by pair: one compiled stage, of
-    which one row per pair and task is shuffled. The result stays long and is joined to the pairs of names,
-    so that nothing in the plan grows with the number of pairs.
 
+def _moments(metrics: DataFrame, stats: list[str], outcomes: list[str], more: Sequence[Column] = ()) -> DataFrame:
+    """One row with r{i}_{j} and n{i}_{j} for attribute i and outcome j and what else is asked for, also without input.
+
+    Every task keeps one state for all pairs: their counts, means and co-moments, which merge pairwise. So a row of
+    metrics is read once as it is, one row per task is shuffled, and figures that lie far from zero lose no digits.
     r uses rows where both are present and is NULL for a constant column, where the
     built-in corr divides by zero and raises under ANSI mode.
     """
-    require_columns(metrics, outcomes + stats, "metrics")
+    names = list(dict.fromkeys(outcomes + stats))
+    numbers = metrics.withColumns({c: to_double(named(c), dtype(metrics, c)) for c in names})
+    found = list(more)
+    for i, s in enumerate(stats):
+        for j, m in enumerate(outcomes):
+            x, y = named(s), named(m)
+            spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+            found.append(clip(F.try_divide(F.regr_sxy(y, x), spread), -1.0, 1.0).alias(f"r{i}_{j}"))
+            found.append(F.regr_count(y, x).alias(f"n{i}_{j}"))
+    return numbers.agg(*found)
+
+
+def _by_rows(metrics: DataFrame, stats: list[str], outcomes: list[str]) -> DataFrame:
+    """stat, metric, r, n for many pairs: each row is taken apart into its pairs, aggregated by pair.
+
+    The same states as in _moments, one per pair and task, but nothing in the plan grows with the number of pairs.
+    """
     numbers = _numeric(metrics, list(dict.fromkeys(outcomes + stats)))
     # Copies under names of their own, as a column may be both attribute and outcome.
     numbers = numbers.select(
@@ -38,21 +56,17 @@ def _pairs(metrics: DataFrame, stats: list[str], outcomes: list[str]) -> DataFra
         *[named(m).alias(f"m{j}") for j, m in enumerate(outcomes)],
     )
     m_names = [f"m{j}" for j in range(len(outcomes))]
-    by_stat = numbers.unpivot(m_names, [f"s{i}" for i in range(len(stats))], "stat", "x")
-    pairs = by_stat.unpivot(["stat", "x"], m_names, "metric", "y")
-    x, y = F.col("x"), F.col("y")
-    both = x.isNotNull() & y.isNotNull()
-    pairs = pairs.select("stat", "metric", F.when(both, x).alias("x"), F.when(both, y).alias("y"))
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    found = pairs.groupBy("stat", "metric").agg(
-        clip(F.try_divide(F.covar_pop("x", "y"), spread), -1.0, 1.0).alias("r"), F.count("x").alias("n")
+    by_stat = numbers.unpivot(m_names, [f"s{i}" for i in range(len(stats))], "_s", "x")
+    pairs = by_stat.unpivot(["_s", "x"], m_names, "_m", "y")
+    spread = F.sqrt(F.regr_sxx("y", "x")) * F.sqrt(F.regr_syy("y", "x"))
+    found = pairs.groupBy("_s", "_m").agg(
+        clip(F.try_divide(F.regr_sxy("y", "x"), spread), -1.0, 1.0).alias("r"), F.regr_count("y", "x").alias("n")
     )
-    found = found.withColumnsRenamed({"stat": "_s", "metric": "_m"})
     names = metrics.sparkSession.range(1).select(F.posexplode(F.array(*map(F.lit, stats))).alias("i", "stat"))
     names = names.select("*", F.posexplode(F.array(*map(F.lit, outcomes))).alias("j", "metric"))
     names = names.withColumns({"_s": F.concat(F.lit("s"), "i"), "_m": F.concat(F.lit("m"), "j")})
     joined = names.join(found, ["_s", "_m"], "left")
-    return joined.select("i", "stat", "j", "metric", "r", F.coalesce("n", F.lit(0)).alias("n"))
+    return joined.select("stat", "metric", "r", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def attribute_correlation(
@@ -60,9 +74,24 @@ def attribute_correlation(
     *,
     metric_columns: Sequence[str] = OUTCOME_COLUMNS,
     stat_columns: Sequence[str] = STAT_COLUMNS,
+    more: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Pearson r and pair count for every attribute and outcome: (stat, metric, r, n)."""
-    return _pairs(metrics, list(stat_columns), list(metric_columns)).select("stat", "metric", "r", "n")
+    """Pearson r and pair count for every attribute and outcome: (stat, metric, r, n).
+
+    ``more`` names further aggregates over the metrics, which come from the same pass and stand in every row.
+    """
+    more = more or {}
+    stats, outcomes = list(stat_columns), list(metric_columns)
+    require_columns(metrics, outcomes + stats, "metrics")
+    if len(stats) * len(outcomes) > MOST_PAIRS and not more:
+        return _by_rows(metrics, stats, outcomes)
+    rows = [
+        F.struct(F.lit(s).alias("stat"), F.lit(m).alias("metric"), F.col(f"r{i}_{j}").alias("r"), F.col(f"n{i}_{j}").alias("n"), *[F.col(c) for c in more])
+        for i, s in enumerate(stats)
+        for j, m in enumerate(outcomes)
+    ]
+    found = _moments(metrics, stats, outcomes, [c.alias(n) for n, c in more.items()])
+    return found.select(F.inline(F.array(*rows)))
 
 
 def correlation_matrix(
@@ -72,9 +101,16 @@ def correlation_matrix(
     stat_columns: Sequence[str] = STAT_COLUMNS,
 ) -> DataFrame:
     """The same correlations as a matrix: one row per attribute, one column per outcome."""
-    outcomes = list(metric_columns)
-    pairs = _pairs(metrics, list(stat_columns), outcomes)
-    return pairs.groupBy("i", "stat").pivot("metric", outcomes).agg(F.first("r")).drop("i")
+    stats, outcomes = list(stat_columns), list(metric_columns)
+    require_columns(metrics, outcomes + stats, "metrics")
+    if len(stats) * len(outcomes) > MOST_PAIRS:
+        found = _by_rows(metrics, stats, outcomes)
+        return found.groupBy("stat").agg(*[F.max(F.when(F.col("metric") == m, F.col("r"))).alias(m) for m in outcomes])
+    rows = [
+        F.struct(F.lit(s).alias("stat"), *[F.col(f"r{i}_{j}").alias(m) for j, m in enumerate(outcomes)])
+        for i, s in enumerate(stats)
+    ]
+    return _moments(metrics, stats, outcomes).select(F.inline(F.array(*rows)))
 
 
 def influence(
@@ -108,13 +144,18 @@ def top_attribute(
     default_label: str | None = None,
     default_r: float | None = None,
     labels: Mapping[str, str] = lb.STAT_LABELS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row (label, r): the most influential attribute, or the defaults if there is none."""
+    """One row (label, r): the most influential attribute, or the defaults if there is none.
+
+    ``keep`` names further columns of the correlations, the same in all rows, that the row is to have.
+    """
     known = (F.col("metric") == metric) & F.col("r").isNotNull()
     # Smaller names win ties, which max_by alone would leave open.
     best = F.min(F.when(known, F.struct((-F.abs("r")).alias("s"), F.col("stat"), F.col("r"))))
-    row = correlations.agg(best.alias("best"))
+    row = correlations.agg(best.alias("best"), *[F.max(c).alias(c) for c in keep])
     return row.select(
+        *keep,
         F.coalesce(lb.label(F.col("best.stat"), labels), F.lit(default_label).cast("string")).alias("label"),
         F.coalesce(F.col("best.r"), F.lit(default_r).cast("double")).alias("r"),
     )

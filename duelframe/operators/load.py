@@ -108,14 +108,25 @@ def upsert_entities(stored: DataFrame, incoming: DataFrame, *, partial: bool = F
     return both.select(*[value(c).alias(c) for c in names])
 
 
+def raw_entity_counts(raw: DataFrame, *, max_id: int | None = None) -> list[Column]:
+    """raw, out_of_range and unnamed over the raw rows of a load, as aggregates."""
+    valid, has_name = _valid(raw, max_id)
+    return [F.count(F.lit(1)).alias("raw"), F.count_if(~valid).alias("out_of_range"), F.count_if(valid & ~has_name).alias("unnamed")]
+
+
+def _valid(raw: DataFrame, max_id: int | None) -> tuple[Column, Column]:
+    c = to_long(named(ENTITY_ID), dtype(raw, ENTITY_ID))
+    valid = F.coalesce(c.isNotNull() if max_id is None else c <= max_id, F.lit(False))
+    return valid, F.col("name").isNotNull() if "name" in raw.columns else F.lit(False)
+
+
 def entity_load_report(raw: DataFrame, stored: DataFrame, *, max_id: int | None = None) -> DataFrame:
     """One row: raw, out_of_range, unnamed, source_duplicates, inserted, updated.
 
     Rows are counted per key before the join, so the join sees one row per key.
     """
     c = to_long(named(ENTITY_ID), dtype(raw, ENTITY_ID))
-    valid = F.coalesce(c.isNotNull() if max_id is None else c <= max_id, F.lit(False))
-    has_name = F.col("name").isNotNull() if "name" in raw.columns else F.lit(False)
+    valid, has_name = _valid(raw, max_id)
     per_key = raw.groupBy(F.when(valid & has_name, c).alias(ENTITY_ID)).agg(
         F.count(F.lit(1)).alias("copies"), F.count_if(~valid).alias("invalid"), F.count_if(valid & ~has_name).alias("unnamed")
     )
@@ -135,7 +146,7 @@ def entity_load_report(raw: DataFrame, stored: DataFrame, *, max_id: int | None
 
 
 #: Ids that are looked for as frequent, counters their sketch keeps, and tasks that the rows of one are dealt to.
-FREQUENT, COUNTERS, SHARES = 200, 20_000, 64
+FREQUENT, COUNTERS, SHARES = 200, 4_096, 64
 
 
 def _total(c: Column) -> Column:
@@ -264,15 +275,15 @@ def contests_to_insert(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("status") == "new").select(*CONTEST_KEY)
 
 
-def contest_load_report(classified: DataFrame) -> DataFrame:
-    """One row with the counts of a load.
+def contest_load_counts() -> list[Column]:
+    """The counts of a load over classified contests, as aggregates.
 
     raw, out_of_range, unknown_entity and source_duplicates count rows; unique_valid,
     already_present and inserted count distinct contests.
     """
     status, copies = F.col("status"), F.col("copies")
     valid = status.isin("present", "new")
-    return classified.agg(
+    return [
         _total(copies).alias("raw"),
         _total(F.when(status == "out_of_range", copies)).alias("out_of_range"),
         _total(F.when(status == "unknown_entity", copies)).alias("unknown_entity"),
@@ -280,7 +291,12 @@ def contest_load_report(classified: DataFrame) -> DataFrame:
         F.count_if(valid).alias("unique_valid"),
         F.count_if(status == "present").alias("already_present"),
         F.count_if(status == "new").alias("inserted"),
-    )
+    ]
+
+
+def contest_load_report(classified: DataFrame) -> DataFrame:
+    """One row with the counts of a load (see contest_load_counts)."""
+    return classified.agg(*contest_load_counts())
 
 
 def delete_by_key(stored: DataFrame, keys: DataFrame, on: Sequence[str] = (ENTITY_ID,)) -> DataFrame:

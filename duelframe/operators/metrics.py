@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,22 @@ def outcome_counts(
     )
 
 
+def counts_and_totals(contests: DataFrame) -> DataFrame:
+    """Like outcome_counts, from the same pass, with one more row: no id, and all contests and victories in ``contests`` and ``victories``."""
+    c = keyed_contests(contests, FIRST_ID, SECOND_ID, WINNER_ID)
+
+    def role(id_: Column | None, battles: int, wins: int) -> Column:
+        here = {"contests": F.lit(0), "victories": F.lit(0)}
+        if id_ is None:
+            here = {"contests": F.lit(1), "victories": F.col(WINNER_ID).isNotNull().cast("int")}
+        values = {ENTITY_ID: F.lit(None).cast("bigint") if id_ is None else id_, "total_battles": F.lit(battles), "total_wins": F.lit(wins), **here}
+        return F.struct(*[v.alias(n) for n, v in values.items()])
+
+    roles = c.select(F.inline(F.array(role(F.col(FIRST_ID), 1, 0), role(F.col(SECOND_ID), 1, 0), role(F.col(WINNER_ID), 0, 1), role(None, 0, 0))))
+    roles = roles.filter(F.col(ENTITY_ID).isNotNull() | (F.col("contests") == 1))
+    return roles.groupBy(ENTITY_ID).agg(*[F.sum(n).alias(n) for n in ("total_battles", "total_wins", "contests", "victories")])
+
+
 def total_battles(
     contests: DataFrame, *, first_column: str = FIRST_ID, second_column: str = SECOND_ID
 ) -> DataFrame:

@@ -357,6 +357,14 @@ def paged_ingest_limited(spark, folder):
     return landing.first_records(rows, 500).select("page", "pos", ENTITY_ID, "hp")
 
 
+@query
+def paged_contests_half(spark, folder):
+    """The first half of all landed contests, which is more than one task should sort out."""
+    rows = landing.raw_contests(landing.records(landing.page_items(bridge.contest_pages(spark, folder))))
+    half = rows.count() // 2
+    return landing.first_records(rows, half, folder=tables.scratch_folder(spark, "paged-contests-half"))
+
+
 @query
 def paged_ingest_repeated_keys(spark, folder):
     """Pages in which one record of three repeats a field, and one repeats a field further inside."""
@@ -404,10 +412,11 @@ def detail_fallback(spark, folder):
     landed = details(spark, folder)
     listing = bridge.entities(spark, folder).select(F.col(ENTITY_ID).cast("string").alias(ENTITY_ID), F.lit("listing").alias("origin"))
     unheard = listing.select(F.concat(F.lit("-1"), ENTITY_ID).alias(ENTITY_ID), "origin")
-    found = [
-        landing.details_or_listing(landing.details_for(ids, landed).select(ENTITY_ID, F.lit("details").alias("origin")), ids)
-        for ids in (listing, unheard)
-    ]
+    found = []
+    for ids in (listing, unheard):
+        wanted = landing.details_for(ids, landed).select(ENTITY_ID, F.lit("details").alias("origin"))
+        wanted = pipeline.staged(wanted, tables.scratch_folder(spark, "detail-fallback"))  # computed once
+        found.append(landing.details_or_listing(wanted, ids))
     return found[0].unionByName(found[1])
 
 
@@ -457,9 +466,7 @@ def quality_report_raw(spark, folder):
 
 @query
 def kpi_summary(spark, folder):
-    return reports.kpi_summary(
-        bridge.entities(spark, folder), bridge.contests(spark, folder), correlations(spark, folder)
-    )
+    return reports.kpi_summary(bridge.entities(spark, folder), bridge.contests(spark, folder))
 
 
 @query

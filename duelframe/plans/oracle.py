@@ -251,6 +251,10 @@ BODIES = {
         count(*) FILTER (status = 'new') AS inserted FROM classified""",
     "paged_ingest": "SELECT * FROM landed",
     "paged_ingest_limited": "SELECT page, pos, entity_id, hp FROM landed ORDER BY page, pos LIMIT 500",
+    "paged_contests_half": """SELECT l_orderkey AS page, CAST(0 AS INTEGER) AS pos, first_id::VARCHAR AS first_id, second_id::VARCHAR AS second_id,
+        winner_id::VARCHAR AS winner_id FROM (SELECT l_orderkey, """
+    + ", ".join(f"{text} AS {name}" for name, text in bridge.CONTESTS.items())
+    + """ FROM lineitem) t ORDER BY page, pos, first_id, second_id, winner_id LIMIT (SELECT count(*) // 2 FROM lineitem)""",
     "paged_contests": "SELECT * FROM con",
     "quarantined_records": """SELECT p_partkey AS page, CAST(1 AS INTEGER) AS pos, 'record is not an object' AS reason,
         CASE WHEN p_size >= 49 THEN 'null' ELSE '3' END AS text FROM part WHERE p_size >= 49 OR (p_size > 25 AND p_size <= 30)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import count
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.errors import ConcurrentLoadError, ValidationError
@@ -47,6 +47,17 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, path: str, counts: Sequence[Column]) -> tuple[DataFrame, dict[str, int]]:
+    """Like ``staged``, with aggregates that are taken from the rows while they are written."""
+    watch = Observation()
+    written = staged(df.observe(watch, *counts), path)
+    return written, watch.get
+
+
+def one_row(spark: SparkSession, values: dict[str, int], names: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame([tuple(values[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 def settled(report: DataFrame) -> DataFrame:
     """A report of a few rows by value, so that it outlives the batch it was read from."""
     return report.sparkSession.createDataFrame(report.collect(), report.schema)
@@ -65,7 +76,7 @@ def entity_source(
     """Raw entity rows, staged: details for the listed ids, or the listing if there are none."""
     name = batch.rsplit("/", 1)[1]
     listing = landing.raw_entities(usable(listing_pages, warehouse, "listing", name))
-    listing = staged(landing.first_records(listing, max_entities), f"{batch}/listing")
+    listing = staged(landing.first_records(listing, max_entities, folder=f"{batch}/listed"), f"{batch}/listing")
     if detail_pages is None:
         return listing
     details = landing.raw_entities(usable(detail_pages, warehouse, "details", name))
@@ -89,28 +100,36 @@ def load_entities(
     """
     batch = new_batch(warehouse)
     name = batch_name or batch.rsplit("/", 1)[1]
-    cleaned = clean_entities(raw, max_id=max_id)
+    rows = resolve_aliases(raw, ENTITY_ALIASES)
+    watch = Observation()
+    cleaned = clean_entities(rows, max_id=max_id)
     place = [F.col(c).cast(t) if c in cleaned.columns else F.lit(None).cast(t) for c, t in (("page", "bigint"), ("pos", "int"))]
     unnamed = load.unnamed_entities(cleaned, max_id=max_id)
     unnamed = unnamed.select(place[0].alias("page"), place[1].alias("pos"), F.lit(NO_NAME).alias("reason"), F.to_json(F.struct("*")).alias("text"))
     tables.set_aside(unnamed, warehouse, "entities", name)
     ordinal = [c for c in ("page", "pos") if c in cleaned.columns]
-    conformed = load.conform_entities(cleaned, max_id=max_id, keep=ordinal)
-    incoming = staged(load.last_per_key(conformed, ordinal).drop(*ordinal), f"{batch}/incoming")
+    watched = clean_entities(rows.observe(watch, *load.raw_entity_counts(rows, max_id=max_id)), max_id=max_id)
+    conformed = load.conform_entities(watched, max_id=max_id, keep=ordinal)
+    incoming, found = counted(load.last_per_key(conformed, ordinal).drop(*ordinal), f"{batch}/incoming", [F.count(F.lit(1)).alias("keys")])
+    found |= watch.get
 
-    def upsert() -> DataFrame:
+    def upsert() -> int:
+        """Rows that the touched ranges have more than before."""
         at = tables.entity_ranges(spark, warehouse)
         touched = tables.ranges_with(incoming, at)
+        if not touched:
+            return 0
         stored = tables.read_entities(spark, warehouse, sorted(touched), at)
-        report = settled(load.entity_load_report(resolve_aliases(raw, ENTITY_ALIASES), stored, max_id=max_id))
-        if touched:
-            tables.replace_ranges(spark, warehouse, at, touched, load.upsert_entities(stored, incoming), range_rows)
-        return report
-
-    report = again_if_overtaken(upsert)
-    release_waiting(spark, warehouse, incoming.select(ENTITY_ID), max_id=max_id)
+        now = tables.replace_ranges(spark, warehouse, at, touched, load.upsert_entities(stored, incoming), range_rows)
+        return sum(e["rows"] for e in now.entries) - sum(e["rows"] for e in at.entries)
+
+    found["inserted"] = again_if_overtaken(upsert)
+    found["updated"] = found["keys"] - found["inserted"]
+    found["source_duplicates"] = found["raw"] - found["out_of_range"] - found["unnamed"] - found["keys"]
+    if found["keys"]:
+        release_waiting(spark, warehouse, incoming.select(ENTITY_ID), max_id=max_id)
     tables.remove(spark, batch)
-    return report
+    return one_row(spark, found, ["raw", "out_of_range", "unnamed", "source_duplicates", "inserted", "updated"])
 
 
 #: Times that a load is tried when others change the table in between.
@@ -130,8 +149,8 @@ def again_if_overtaken(step: Callable[[], T]) -> T:
 def load_contests(spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id: int | None = None) -> DataFrame:
     """Append the contests that are valid and new; returns the load report.
 
-    The batch is written as distinct keys, then with statuses. Both the appended rows and
-    the report are read from there, so they cannot disagree, and running the same batch
+    The batch is written as distinct keys, then with statuses. The appended rows are read from there and the
+    report is counted while they are written, so they cannot disagree, and running the same batch
     again adds nothing. Of the stored contests only row groups are read that may hold one of the keys. Contests that
     name an entity not stored yet are filed by the id they wait for.
     """
@@ -142,27 +161,25 @@ def load_contests(spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id
     entities = tables.read_entities(spark, warehouse, at=entities_at)
     tries = count()
 
-    def append() -> DataFrame:
+    def append() -> tuple[DataFrame, dict[str, int]]:
         at = tables.contest_batches(spark, warehouse)
         stored = tables.read_contests(spark, warehouse, condition, at)
         found = load.classify_contests(keys, entities, load.existing_contests(stored, keys), missing="missing")
-        found = staged(found, f"{batch}/classified-{next(tries)}")
-        fresh = load.contests_to_insert(found)
-        if not fresh.isEmpty():
-            tables.change_contests(spark, warehouse, at, fresh)
-        return found
-
-    classified = again_if_overtaken(append)
-    waiting = classified.filter(F.col("status") == "unknown_entity")
-    if not waiting.isEmpty():
+        found, counts = counted(found, f"{batch}/classified-{next(tries)}", load.contest_load_counts())
+        if counts["inserted"]:
+            tables.change_contests(spark, warehouse, at, load.contests_to_insert(found))
+        return found, counts
+
+    classified, counts = again_if_overtaken(append)
+    if counts["unknown_entity"]:
+        waiting = classified.filter(F.col("status") == "unknown_entity")
         again_if_overtaken(lambda: tables.change_waiting(spark, warehouse, waiting))
         now = tables.entity_ranges(spark, warehouse)
         if now.number != entities_at.number:  # what they wait for may have come while they were looked up
             come = load.existing_ids(tables.read_entities(spark, warehouse, at=now), waiting.select(F.col("missing").alias(ENTITY_ID)))
             release_waiting(spark, warehouse, come, max_id=max_id)
-    report = settled(load.contest_load_report(classified))
     tables.remove(spark, batch)
-    return report
+    return one_row(spark, counts, list(counts))
 
 
 def release_waiting(spark: SparkSession, warehouse: str, ids: DataFrame, *, max_id: int | None = None) -> None:
@@ -248,7 +265,8 @@ def run_pipeline(
     raw = entity_source(listing_pages, detail_pages, warehouse, batch, max_entities)
     entity_report = load_entities(spark, raw, warehouse, max_id=max_id, batch_name=name)
     contests = landing.raw_contests(usable(contest_pages, warehouse, "contests", name))
-    contest_report = load_contests(spark, landing.first_records(contests, max_records), warehouse, max_id=max_id)
+    contests = landing.first_records(contests, max_records, folder=f"{batch}/pages")
+    contest_report = load_contests(spark, contests, warehouse, max_id=max_id)
     aside = tables.read_quarantine(spark, warehouse).filter(F.col("batch") == name)
     tables.remove(spark, batch)
     return LoadResult(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -13,28 +13,38 @@ from duelframe.functions.columns import format_fixed
 from duelframe.operators import categories as cat
 from duelframe.operators import correlation as corr
 from duelframe.operators.checks import available
-from duelframe.operators.quality import side_by_side
+from duelframe.operators.metrics import counts_and_totals, with_rates
 from duelframe.operators.team import diverse_top_n
-from duelframe.schemas import ENTITY_ID, METRIC_COLUMNS, WINNER_ID
+from duelframe.schemas import ENTITY_ID, METRIC_COLUMNS, STAT_COLUMNS
 
 
 def kpi_summary(
     entities: DataFrame,
     contests: DataFrame,
-    correlations: DataFrame,
     *,
+    metric: str = "win_rate",
+    stat_columns: Sequence[str] = STAT_COLUMNS,
     default_label: str | None = None,
     default_r: float | None = None,
+    digits: int = 9,
 ) -> DataFrame:
-    """One row: total entities, contests and victories, and the top attribute with its r."""
-    top = corr.top_attribute(correlations, default_label=default_label, default_r=default_r)
-    row = side_by_side(
-        [
-            entities.agg(F.count(F.lit(1)).alias("total_entities")),
-            contests.agg(F.count(F.lit(1)).alias("total_contests"), F.count(WINNER_ID).alias("total_victories")),
-            top.withColumnsRenamed({"label": "top_attribute", "r": "top_attribute_r"}),
-        ]
-    )
+    """One row: total entities, contests and victories, and the top attribute with its r, rounded to ``digits``.
+
+    Both tables are read once: the totals over the contests are a row of their own among the battles and wins per id,
+    which the entities are joined with, and all is aggregated in one pass.
+    """
+    counts = counts_and_totals(contests).withColumnRenamed(ENTITY_ID, "_id")
+    mine = entities.drop(*METRIC_COLUMNS).withColumn("_entity", F.lit(1))
+    joined = mine.join(counts, mine[ENTITY_ID] == counts["_id"], "full_outer").fillna(0, ["total_battles", "total_wins"])
+    totals = {
+        "total_entities": F.count("_entity"),
+        "total_contests": F.coalesce(F.max("contests"), F.lit(0)),
+        "total_victories": F.coalesce(F.max("victories"), F.lit(0)),
+    }
+    found = corr.attribute_correlation(with_rates(joined), metric_columns=[metric], stat_columns=stat_columns, more=totals)
+    found = found.withColumn("r", F.round("r", digits))
+    top = corr.top_attribute(found, metric=metric, default_label=default_label, default_r=default_r, keep=list(totals))
+    row = top.withColumnsRenamed({"label": "top_attribute", "r": "top_attribute_r"})
     return row.withColumn("top_attribute_r_text", format_fixed(F.col("top_attribute_r"), 2))
 
 

@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from duelframe.errors import ValidationError
 from duelframe.functions.columns import dtype, quoted, to_long, truncate
 from duelframe.operators.checks import not_negative
 from duelframe.operators.clean import category_parts
@@ -88,15 +90,47 @@ def records(items: DataFrame) -> DataFrame:
     return items.filter(F.col("reason").isNull()).select("page", "pos", "rec")
 
 
-def first_records(rows: DataFrame, max_records: int | None) -> DataFrame:
-    """The first rows in page order, all of them for None.
+#: Records up to which the first ones are sorted out in one task.
+FEW_RECORDS = 10_000
 
-    It takes decoded rows (raw_entities, raw_contests): each task then keeps its own first rows, which are
-    narrow, and only those are moved. They meet in one task, so it is meant for samples.
+
+def first_records(rows: DataFrame, max_records: int | None, *, folder: str | None = None) -> DataFrame:
+    """The first rows in the order of page, place in it and content; all of them for None.
+
+    It takes decoded rows (raw_entities, raw_contests). Up to FEW_RECORDS each task keeps its own first rows,
+    which are narrow, and those meet in one task. Beyond, records are counted by page in the map tasks; the pages with their
+    counts are written to ``folder``, a new one on shared storage, in ranges, and running totals say
+    which page holds the last record. Pages before it are taken whole by a filter, and its own records alone are sorted.
     """
     if max_records is None:
         return rows
-    return rows.orderBy("page", "pos").limit(not_negative(max_records, "max_records"))
+    order = [F.col(c).asc_nulls_first() for c in ["page", "pos", *[c for c in rows.columns if c not in ("page", "pos", "rec")]]]
+    if not_negative(max_records, "max_records") <= FEW_RECORDS:
+        return rows.orderBy(*order).limit(max_records)
+    if folder is None:
+        raise ValidationError(f"more than {FEW_RECORDS} records need a folder for the counts of their pages")
+    spark = rows.sparkSession
+    counts = rows.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+    in_order = F.col("page").asc_nulls_first()
+    ranged = counts.repartitionByRange(in_order).sortWithinPartitions(in_order).withColumn("part", F.spark_partition_id())
+    ranged.write.parquet(folder)
+    ranged = spark.read.schema(ranged.schema).parquet(folder)
+    before, last = 0, None
+    for row in ranged.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # one row per range
+        if before + row["n"] >= max_records:
+            last = row["part"]
+            break
+        before += row["n"]
+    if last is None:
+        return rows
+    upto = F.sum("n").over(W.partitionBy("part").orderBy(in_order))
+    totals = ranged.filter(F.col("part") == last).select("page", "n", upto.alias("upto"))  # one range of pages
+    page, n, reached = totals.filter(F.col("upto") >= max_records - before).orderBy("upto").first()
+    rest = max_records - before - (reached - n)
+    if page is None:  # records without a page come first
+        return rows.filter(F.col("page").isNull()).orderBy(*order).limit(rest)
+    earlier = rows.filter(F.col("page").isNull() | (F.col("page") < F.lit(page)))
+    return earlier.unionByName(rows.filter(F.col("page") == F.lit(page)).orderBy(*order).limit(rest))
 
 
 def quarantine(items: DataFrame) -> DataFrame:

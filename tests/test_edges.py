@@ -1,6 +1,7 @@
 """Edge cases on small literal frames."""
 
 import math
+import random
 import time
 
 import pytest
@@ -13,11 +14,12 @@ from duelframe import (
     top_win_rate,
 )
 from duelframe.functions import columns as fn
-from duelframe.operators import clean, load
+from duelframe.operators import clean, correlation, load
 from duelframe.operators.grouping import top_rows_per_group
 from duelframe.plans import reports
 from duelframe.schemas import CONTEST, ENTITY, ENTITY_ALIASES
 from duelframe.sources import landing
+from duelframe.sources.tables import scratch_folder
 
 CONTESTS = "first_id bigint, second_id bigint, winner_id bigint"
 
@@ -488,3 +490,37 @@ def test_details(spark):
     wanted = spark.createDataFrame([(1,), (1,), (2,)], "entity_id bigint")
     assert [(r.entity_id, r.hp) for r in landing.details_for(wanted, detail).collect()] == [("1", 1)]
     assert column(landing.missing_details(wanted, detail), "entity_id") == [2]
+
+
+def test_correlation_keeps_its_digits_far_from_zero(spark, monkeypatch):
+    rows = [(float(i % 7), float(i * i % 11), i % 3 / 3) for i in range(500)]
+    near = spark.createDataFrame(rows, "hp double, attack double, win_rate double").repartition(6)
+    far = near.select((F.col("hp") + 1e9).alias("hp"), (F.col("attack") - 1e9).alias("attack"), "win_rate")
+    r = lambda df: {(x.stat, x.metric): x.r for x in attribute_correlation(df, metric_columns=["win_rate"], stat_columns=["hp", "attack"]).collect()}
+    a, b = r(near), r(far)
+    monkeypatch.setattr(correlation, "MOST_PAIRS", 1)  # many pairs go another way
+    assert all(abs(x[k] - a[k]) < 1e-6 for x in (r(near), r(far)) for k in a)
+    assert all(abs(a[k] - b[k]) < 1e-6 and a[k] is not None for k in a)
+
+
+def test_first_records_by_their_pages(spark, monkeypatch):
+    monkeypatch.setattr(landing, "FEW_RECORDS", 5)
+    draw = random.Random(7)
+    rows = [(draw.choice([None, *range(40)]), draw.randrange(3), str(draw.randrange(4))) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "page long, pos int, first_id string").repartition(5)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    for n in (5, 6, 7, 100, 203, 399, 400, 1000):
+        found = landing.first_records(frame, n, folder=scratch_folder(spark, "first-records"))
+        assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, order[:n])), n
+    with pytest.raises(ValidationError):
+        landing.first_records(frame, 100)
+    assert landing.first_records(frame.limit(0), 100, folder=scratch_folder(spark, "first-records")).count() == 0
+
+
+def test_key_figures_count_contests_with_missing_ids(spark):
+    rows = spark.createDataFrame([(1, 2, 1), (None, 2, 2), (1, None, None), (None, None, 5)], "first_id long, second_id long, winner_id long")
+    full = spark.createDataFrame([(i, "n", "A", None, 1, False, i, i, i, i, i, i) for i in (1, 2)], ENTITY)
+    row = reports.kpi_summary(full, rows).collect()[0]
+    assert (row.total_entities, row.total_contests, row.total_victories) == (2, 4, 3)
+    row = reports.kpi_summary(full.limit(0), rows.limit(0), default_label="x", default_r=0.5).collect()[0]
+    assert (row.total_entities, row.total_contests, row.total_victories, row.top_attribute, row.top_attribute_r_text) == (0, 0, 0, "x", "0.50")

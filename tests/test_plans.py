@@ -9,7 +9,7 @@ from duelframe.plans.catalog import QUERIES
 from duelframe.sources import bridge
 from tests.conftest import SMALL
 
-JOBS = {"load_job", "stream_load_job", "load_job_quarantine", "stream_late_entities", "detail_fallback", "contests_batch_load", "entities_load_ranges", "metrics_after_loads", "contests_deleted", "entities_deleted"}
+JOBS = {"load_job", "stream_load_job", "load_job_quarantine", "stream_late_entities", "detail_fallback", "contests_batch_load", "entities_load_ranges", "metrics_after_loads", "contests_deleted", "entities_deleted", "paged_contests_half"}
 LAZY = sorted(set(QUERIES) - JOBS)
 
 
@@ -45,6 +45,13 @@ def test_limits_do_not_sort_everything(spark, name):
     assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SMALL))
 
 
+def test_key_figures_read_each_table_once(spark):
+    df = QUERIES["kpi_summary"](spark, SMALL)
+    df.collect()
+    text = plan(df).split("Initial Plan")[0]
+    assert scans(text, "l_partkey") == 1 and scans(text, "p_partkey") == 1
+
+
 def test_only_needed_columns_are_read(spark):
     text = plan(QUERIES["category_list"](spark, SMALL))
     assert "ReadSchema: struct<p_brand:string,p_type:string>" in text
@@ -66,11 +73,16 @@ def test_costly_keys_are_not_copied_into_filters(spark):
     assert all("try_cast" not in line for line in text.split("\n") if "Filter" in line)
 
 
-def test_correlation_is_one_compiled_stage(spark):
-    df = QUERIES["attribute_correlation"](spark, SMALL)
+@pytest.mark.parametrize("name", ["attribute_correlation", "correlation_matrix"])
+def test_correlation_shuffles_one_row_per_task(spark, name):
+    df = QUERIES[name](spark, SMALL)
     df.collect()
     text = plan(df).split("Initial Plan")[0]
-    assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[stat#\d+, metric#\d+\], functions=\[partial_covar_pop", text)
+    assert re.search(r"HashAggregate\(keys=\[\], functions=\[partial_regr", text)
+    # The metrics are joined from two shuffles; after them there is the one exchange of the states, and no rows are multiplied.
+    after = text[: text.index("partial_regr")]
+    assert after.count("Exchange") == 1 and "Exchange SinglePartition" in after
+    assert "Expand" not in after and text.count("Generate") <= 1 + text.count("unpivot")
 
 
 def exchanges(text):
