@@ -104,3 +104,9 @@ def test_an_upsert_reads_each_input_once_and_joins_once(spark, no_broadcast):
 def test_limited_records_are_decoded_before_they_are_ordered(spark):
     text = plan(QUERIES["paged_ingest_limited"](spark, SMALL))
     assert "TakeOrderedAndProject" in text and "Exchange rangepartitioning" not in text
+
+
+def test_whole_texts_are_not_broadcast(spark):
+    """The texts are made from a small file and much larger than it."""
+    text = plan(QUERIES["quarantined_whole_texts"](spark, SMALL))
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
