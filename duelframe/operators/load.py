@@ -189,7 +189,8 @@ def known_contests(contests: DataFrame, entities: DataFrame) -> DataFrame:
     tasks in the joins, as it can't match there. So no task gets all rows of an id.
     """
     keys = contests.select(*CONTEST_KEY).filter(" AND ".join(f"{c} IS NOT NULL" for c in CONTEST_KEY))
-    unknown = unknown_ids(keys, entities).select(ENTITY_ID, F.lit(0).alias("_share"))
+    # Always 0, but no literal: Spark would put that into the join condition and partition by the id alone.
+    unknown = unknown_ids(keys, entities).withColumn("_share", F.col(ENTITY_ID) % 1)
     stored = entities.select(ENTITY_ID, F.lit(True).alias("_known"))
     frequent = frequent_ids(keys).join(stored, ENTITY_ID, "left").withColumn("_known", F.col("_known").isNotNull())
     rows = keys
@@ -197,8 +198,8 @@ def known_contests(contests: DataFrame, entities: DataFrame) -> DataFrame:
         here = frequent.withColumnsRenamed({ENTITY_ID: name, "_known": f"_{name}"})
         rows = rows.join(F.broadcast(here), name, "left").filter(F.coalesce(F.col(f"_{name}"), F.lit(True)))
     for name in CONTEST_KEY:
-        share = F.pmod(F.xxhash64(*CONTEST_KEY, F.spark_partition_id()), F.lit(SHARES)).cast("int") + 1
-        rows = rows.withColumn("_share", F.when(F.col(f"_{name}").isNull(), F.lit(0)).otherwise(share))
+        share = F.pmod(F.xxhash64(*CONTEST_KEY, F.spark_partition_id()), F.lit(SHARES)) + 1
+        rows = rows.withColumn("_share", F.when(F.col(f"_{name}").isNull(), F.lit(0).cast("bigint")).otherwise(share))
         rows = rows.join(unknown.withColumnRenamed(ENTITY_ID, name), [name, "_share"], "left_anti")
     return rows.select(*CONTEST_KEY)
 

@@ -110,3 +110,8 @@ def test_whole_texts_are_not_broadcast(spark):
     """The texts are made from a small file and much larger than it."""
     text = plan(QUERIES["quarantined_whole_texts"](spark, SMALL))
     assert "SortMergeJoin" in text and "BroadcastExchange" not in text
+
+
+def test_rows_of_a_frequent_id_are_spread_in_every_join(spark, no_broadcast):
+    found = re.findall(r"Exchange hashpartitioning\(((?:first|second|winner)_id)#\d+L?, (\w+)", plan(QUERIES["contests_fk_filter_hot"](spark, SMALL)))
+    assert set(found) == {("first_id", "_share"), ("second_id", "_share"), ("winner_id", "_share")}
