@@ -63,11 +63,19 @@ def settled(report: DataFrame) -> DataFrame:
     return report.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
-def usable(pages: DataFrame, warehouse: str, source: str, batch: str) -> DataFrame:
-    """The usable records of landed pages; the rest is kept in the quarantine table."""
-    items = landing.page_items(pages)
+def usable(pages: DataFrame, decode: Callable[..., DataFrame], folder: str, warehouse: str, source: str, batch: str) -> DataFrame:
+    """The usable records of landed pages, decoded (raw_entities, raw_contests); the rest is kept in the quarantine table.
+
+    Pages are parsed once: all records are written to ``folder``, a new one, decoded or with the reason why not.
+    """
+    items = staged(decode(landing.page_items(pages), ["reason", "text"]), folder)
     tables.set_aside(landing.quarantine(items), warehouse, source, batch)
-    return landing.records(items)
+    return items.filter(F.col("reason").isNull()).drop("reason", "text")
+
+
+def spread(pages: DataFrame) -> DataFrame:
+    """Pages of one small file, whose records take long to decode, dealt to all tasks."""
+    return pages.repartition(F.xxhash64(*pages.columns))
 
 
 def entity_source(
@@ -75,11 +83,12 @@ def entity_source(
 ) -> DataFrame:
     """Raw entity rows, staged: details for the listed ids, or the listing if there are none."""
     name = batch.rsplit("/", 1)[1]
-    listing = landing.raw_entities(usable(listing_pages, warehouse, "listing", name))
-    listing = staged(landing.first_records(listing, max_entities, folder=f"{batch}/listed"), f"{batch}/listing")
+    listing = usable(spread(listing_pages), landing.raw_entities, f"{batch}/listing-items", warehouse, "listing", name)
+    if max_entities is not None:
+        listing = staged(landing.first_records(listing, max_entities, folder=f"{batch}/listed"), f"{batch}/listing")
     if detail_pages is None:
         return listing
-    details = landing.raw_entities(usable(detail_pages, warehouse, "details", name))
+    details = usable(spread(detail_pages), landing.raw_entities, f"{batch}/details-items", warehouse, "details", name)
     return landing.details_or_listing(staged(landing.details_for(listing, details), f"{batch}/details"), listing)
 
 
@@ -156,13 +165,13 @@ def load_contests(spark: SparkSession, raw: DataFrame, warehouse: str, *, max_id
     """
     batch = new_batch(warehouse)
     keys = staged(load.batch_keys(raw, max_id=max_id), f"{batch}/keys")
-    condition = tables.lookup(keys)
     entities_at = tables.entity_ranges(spark, warehouse)
     entities = tables.read_entities(spark, warehouse, at=entities_at)
     tries = count()
 
     def append() -> tuple[DataFrame, dict[str, int]]:
         at = tables.contest_batches(spark, warehouse)
+        condition = tables.lookup(keys) if at.entries else None  # nothing to look up in a new table
         stored = tables.read_contests(spark, warehouse, condition, at)
         found = load.classify_contests(keys, entities, load.existing_contests(stored, keys), missing="missing")
         found, counts = counted(found, f"{batch}/classified-{next(tries)}", load.contest_load_counts())
@@ -195,7 +204,7 @@ def release_waiting(spark: SparkSession, warehouse: str, ids: DataFrame, *, max_
     batch = new_batch(warehouse)
     freed = staged(tables.read_waiting(spark, warehouse, condition, at).join(ids, "missing", "left_semi"), f"{batch}/freed")
     if not freed.isEmpty():
-        load_contests(spark, freed.select(*CONTEST_KEY).distinct(), warehouse, max_id=max_id)
+        load_contests(spark, freed.select(*CONTEST_KEY), warehouse, max_id=max_id)  # makes them distinct
         again_if_overtaken(lambda: tables.change_waiting(spark, warehouse, freed.select("missing").distinct(), "delete"))
     tables.remove(spark, batch)
 
@@ -264,7 +273,7 @@ def run_pipeline(
     name = batch.rsplit("/", 1)[1]
     raw = entity_source(listing_pages, detail_pages, warehouse, batch, max_entities)
     entity_report = load_entities(spark, raw, warehouse, max_id=max_id, batch_name=name)
-    contests = landing.raw_contests(usable(contest_pages, warehouse, "contests", name))
+    contests = usable(contest_pages, landing.raw_contests, f"{batch}/contests-items", warehouse, "contests", name)
     contests = landing.first_records(contests, max_records, folder=f"{batch}/pages")
     contest_report = load_contests(spark, contests, warehouse, max_id=max_id)
     aside = tables.read_quarantine(spark, warehouse).filter(F.col("batch") == name)

@@ -12,8 +12,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from duelframe.plans.pipeline import load_contests, usable
-from duelframe.sources import landing
+from duelframe.plans.pipeline import load_contests, new_batch, usable
+from duelframe.sources import landing, tables
 
 
 def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
@@ -29,8 +29,10 @@ def append_stream(
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(batch: DataFrame, number: int) -> None:
-        recs = usable(batch, warehouse, "contests", f"stream-{stream}-{number}")
-        load_contests(batch.sparkSession, landing.raw_contests(recs), warehouse, max_id=max_id)
+        spark, folder = batch.sparkSession, new_batch(warehouse)
+        found = usable(batch, landing.raw_contests, folder, warehouse, "contests", f"stream-{stream}-{number}")
+        load_contests(spark, found, warehouse, max_id=max_id)
+        tables.remove(spark, folder)
 
     writer = pages.writeStream.option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).foreachBatch(load).start()

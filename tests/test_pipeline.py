@@ -207,3 +207,17 @@ def test_folders_do_not_pile_up(spark, tmp_path):
 def test_scratch_folder_uses_the_shared_setting(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert tables.scratch_folder(spark, "x").startswith(f"{shared}/x-")
+
+
+def test_pages_are_parsed_once(spark, tmp_path, monkeypatch):
+    plans, real = [], tables.set_aside
+
+    def watched(rows, *rest):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString().replace("_", "").lower())
+        real(rows, *rest)
+
+    monkeypatch.setattr(tables, "set_aside", watched)
+    result = run(spark, str(tmp_path), details=[[entity(1), 7], {"detail": "none"}])
+    assert len(plans) == 4 and not any("parsejson" in p for p in plans)
+    counts = {(r.source, r.reason): r.n for r in result.quarantine_report.collect()}
+    assert counts == {("listing", landing.NOT_AN_OBJECT): 1, ("details", landing.NOT_AN_OBJECT): 1, ("details", landing.NO_RECORDS): 1}

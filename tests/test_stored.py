@@ -219,3 +219,14 @@ def test_frequent_ids_are_found_and_few(spark):
     found = [r[0] for r in load.frequent_ids(rows).collect()]
     assert {7, 9} <= set(found) and len(found) <= load.FREQUENT
     assert load.frequent_ids(rows.limit(0)).collect() == []
+
+
+def test_nothing_is_looked_up_in_a_new_table(spark, tmp_path, monkeypatch):
+    warehouse = str(tmp_path)
+    load_entities(spark, entities(spark, 1, 2), warehouse)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "lookup", None)
+        load_contests(spark, contests(spark, (1, 2, 1), (1, 2, 1), (1, 8, 8)), warehouse)
+    report = load_contests(spark, contests(spark, (1, 2, 1), (2, 1, 1)), warehouse).collect()[0]
+    assert (report.already_present, report.inserted) == (1, 1)
+    assert stored(spark, warehouse) == [(1, 2, 1), (2, 1, 1)]
