@@ -236,9 +236,11 @@ def delete_entities(spark: SparkSession, warehouse: str, ids: DataFrame) -> int:
     Raises if a stored contest names one of them, by the counts kept beside the contests. Only the
     ranges that the ids fall into are written anew.
     """
-    ids = ids.select(ENTITY_ID).filter(F.col(ENTITY_ID).isNotNull()).distinct()
+    batch = new_batch(warehouse)
+    ids = staged(ids.select(ENTITY_ID).filter(F.col(ENTITY_ID).isNotNull()).distinct(), f"{batch}/ids")
     named = tables.read_counts(spark, warehouse).filter("total_battles > 0 OR total_wins > 0").join(ids, ENTITY_ID, "left_semi")
     if not named.isEmpty():
+        tables.remove(spark, batch)
         raise ValidationError("stored contests name an entity that is to be deleted")
 
     def delete() -> int:
@@ -250,7 +252,9 @@ def delete_entities(spark: SparkSession, warehouse: str, ids: DataFrame) -> int:
             tables.replace_ranges(spark, warehouse, at, dict.fromkeys(touched, 0), load.delete_by_key(stored, ids))
         return n
 
-    return again_if_overtaken(delete)
+    n = again_if_overtaken(delete)
+    tables.remove(spark, batch)
+    return n
 
 
 def run_pipeline(

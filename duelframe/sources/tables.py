@@ -34,6 +34,8 @@ ROW_GROUP = 8 << 20
 LOOKED_UP = 10_000
 #: Folders of counts, and of waiting contests, that are read together before a load merges them.
 MERGED = 16
+#: Tasks at most that list the folders of a table.
+LISTERS = 64
 COUNT = T.StructType([T.StructField(c, T.LongType()) for c in (ENTITY_ID, "total_battles", "total_wins")])
 WAITING = T.StructType([*CONTEST.fields, T.StructField("missing", T.LongType(), False)])
 
@@ -95,7 +97,13 @@ def entity_ranges(spark: SparkSession, warehouse: str) -> commits.Commit:
 def _read_folders(spark: SparkSession, table: str, folders: Sequence[str], schema: T.StructType) -> DataFrame:
     if not folders:
         return spark.createDataFrame([], schema)
-    return read_table(spark, [f"{table}/{folder}" for folder in folders], schema)
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), LISTERS)))  # or else a task per folder lists them
+    try:
+        return read_table(spark, [f"{table}/{folder}" for folder in folders], schema)
+    finally:
+        spark.conf.set(name, before)
 
 
 def read_entities(spark: SparkSession, warehouse: str, ranges: Sequence[int] | None = None, at: commits.Commit | None = None) -> DataFrame:
@@ -154,7 +162,7 @@ def replace_ranges(spark: SparkSession, warehouse: str, at: commits.Commit, touc
     placed = rows.select(*ENTITY.fieldNames()).withColumn("part", range_of(lows, F.col(ENTITY_ID)))
     placed.repartition("part").sortWithinPartitions("part", ENTITY_ID).write.partitionBy("part").parquet(f"{table}/{name}")
     kept = [e for n, e in enumerate(at.entries) if n not in touched]
-    written = spark.read.schema(T.StructType([ENTITY[ENTITY_ID], T.StructField("part", T.IntegerType())])).parquet(f"{table}/{name}")
+    written = _read_folders(spark, table, [name], T.StructType([ENTITY[ENTITY_ID], T.StructField("part", T.IntegerType())]))
     sizes = written.groupBy("part").agg(F.count(F.lit(1)).alias("rows")).collect()  # a row per range
     made = [{"folder": f"{name}/part={r['part']}", "low": lows[r["part"] - 1] if r["part"] else None, "rows": r["rows"]} for r in sizes]
     entries = sorted([*kept, *made], key=lambda e: (e["low"] is not None, e["low"] or 0))

@@ -230,3 +230,31 @@ def test_nothing_is_looked_up_in_a_new_table(spark, tmp_path, monkeypatch):
     report = load_contests(spark, contests(spark, (1, 2, 1), (2, 1, 1)), warehouse).collect()[0]
     assert (report.already_present, report.inserted) == (1, 1)
     assert stored(spark, warehouse) == [(1, 2, 1), (2, 1, 1)]
+
+
+def test_a_few_tasks_list_the_folders_of_a_table(spark, tmp_path, monkeypatch):
+    tables.publish_entities(entities(spark, *range(400)), str(tmp_path), range_rows=10)
+    monkeypatch.setattr(tables, "LISTERS", 3)
+    context = spark.sparkContext
+    context.setLocalProperty("spark.jobGroup.id", "listing")
+    found = tables.read_entities(spark, str(tmp_path))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    seen = context.statusTracker()
+    tasks = [seen.getStageInfo(s).numTasks for j in seen.getJobIdsForGroup("listing") for s in seen.getJobInfo(j).stageIds]
+    assert tasks and max(tasks) == 3
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
+    assert len(ranges(spark, str(tmp_path))) == 40 and found.count() == 400
+
+
+def test_ids_to_delete_are_computed_once(spark, tmp_path):
+    tables.publish_entities(entities(spark, *range(100)), str(tmp_path), range_rows=10)
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(i):
+        rows.add(1)
+        return i
+
+    ids = spark.range(0, 40, 2, 2).select(F.udf(counted, "long").asNondeterministic()("id").alias("entity_id"))
+    assert delete_entities(spark, str(tmp_path), ids) == 20 == rows.value
+    left = sorted(r.entity_id for r in tables.read_entities(spark, str(tmp_path)).collect())
+    assert left == [*range(1, 40, 2), *range(40, 100)]
